@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import fusion, sampling, similar, tokens
+from terrace.llm import fusion, leaks, sampling, similar, tokens
 from terrace.llm.sql import SQL  # noqa: F401
 from terrace.runtime import table
 
@@ -54,5 +54,17 @@ def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
     return tokens.decode(tokens.encode(table(spark, d, "documents")))
 
 
-_ALL = (p1_found, p1_report, p1_sample, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded)
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).filter("kind = 'verbatim'").select("doc_id", "item_id")
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).withColumns({"cosine": F.round("cosine", 4), "lcs_share": F.round("lcs_share", 4)})
+
+
+_ALL = (p1_found, p1_report, p1_sample, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report)
 QUERIES = {f.__name__: f for f in _ALL}
