@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import fusion, leaks, sampling, similar, tokens
+from terrace.llm import fusion, leaks, quality, sampling, similar, tokens
 from terrace.llm.sql import SQL  # noqa: F401
 from terrace.runtime import table
 
@@ -66,5 +66,18 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).withColumns({"cosine": F.round("cosine", 4), "lcs_share": F.round("lcs_share", 4)})
 
 
-_ALL = (p1_found, p1_report, p1_sample, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report)
+def _quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _quality(spark, d).filter("prose_share < 0.5").select("doc_id").distinct()
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    rounded = ("mean_word_length", "symbol_ratio", "closed_lines", "common_share", "prose_share")
+    return _quality(spark, d).withColumns({c: F.round(c, 6) for c in rounded})
+
+
+_ALL = (p1_found, p1_report, p1_sample, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_statistics)
 QUERIES = {f.__name__: f for f in _ALL}
