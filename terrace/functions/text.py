@@ -68,6 +68,15 @@ def normalize_iri(value: Column) -> Column:
     return F.when(x.rlike(shape) & (host != ""), F.concat(F.lit("http://"), host, path)).otherwise(x)
 
 
+def normalize_if_needed(value: Column) -> Column:
+    """``normalize_iri`` where a percent sign, https or a trailing slash calls for it; else only a host in capitals is
+    lowered, so the # of a namespace stays."""
+    needed = value.contains("%") | value.startswith("https://") | value.endswith("/")
+    host = F.regexp_extract(value, "^http://([^/]*)", 1)
+    lowered = F.concat(F.lit("http://"), F.lower(host), F.substring(value, F.char_length(host) + 8, F.lit(1 << 20)))
+    return F.when(needed, normalize_iri(value)).when(host.rlike("[A-Z]"), lowered).otherwise(value)
+
+
 def local_name(iri: Column) -> Column:
     """What follows the last # or, without one, the last slash; decoded, underscores as blanks."""
     tail = F.when(iri.contains("#"), F.substring_index(iri, "#", -1)).otherwise(F.substring_index(iri, "/", -1))

@@ -11,7 +11,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions.text import escape_literal, normalize_iri, unescape_literal
+from terrace.functions.text import escape_literal, normalize_if_needed, unescape_literal
 
 # Hosts that are no language editions.
 OTHER_HOSTS = ("commons", "wikidata", "species", "meta", "global", "wikimedia")
@@ -25,13 +25,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_triples(lines: DataFrame, value: str = "value") -> DataFrame:
     """``s, p, o, o_is_iri, lang, datatype``: comments, blank and unreadable lines dropped, escapes decoded, IRIs
-    normalised. IRIs are always normalised, so hosts in capitals are too."""
+    normalised where they need it, hosts in capitals included."""
     line = F.col(value)
     got = lambda n: F.regexp_extract(line, _TRIPLE, n)
     rows = lines.filter(~line.rlike(r"^\s*(#|\z)") & line.rlike(_TRIPLE))
     fields = rows.select(*[c for c in lines.columns if c != value], got(1).alias("s"), got(2).alias("p"), got(3).alias("o"), got(4).alias("t"), F.nullif(got(5), F.lit("")).alias("lang"), F.nullif(got(6), F.lit("")).alias("datatype"))
     inner = lambda c: F.regexp_replace(c, "^<|>$", "")
-    iri = lambda c: normalize_iri(unescape_literal(inner(F.col(c))))
+    iri = lambda c: normalize_if_needed(unescape_literal(inner(F.col(c))))
     node = lambda c: F.when(F.col(c).startswith("_:"), F.col(c)).otherwise(iri(c))
     literal = F.col("o").startswith('"')
     extra = [c for c in lines.columns if c != value]
