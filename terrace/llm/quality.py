@@ -57,20 +57,21 @@ def segments(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     """One row per segment with its statistics."""
     wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
     narrow = "".join(chr(c) for c in range(0x21, 0x7F))
-    text = F.regexp_replace(F.translate(F.regexp_replace("text", r"[\u00ad\u200b]", ""), wide, narrow), r"\r\n?|[\u2028\u2029\u0085]", "\n")
+    text = F.regexp_replace(F.translate(F.regexp_replace("text", r"(?U)[\u00ad\u200b]|^\s++", ""), wide, narrow), r"\r\n?|[\u2028\u2029\u0085]", "\n")
     piece = rf"(?U)\S++(?:\s++\S++){{0,{SEGMENT - 1}}}+(?:(?:\s++\S++){{1,{REST}}}+\s*+\z)?+"
     rows = documents.filter("text is not null").select("doc_id", F.lower("lang").alias("lang"), F.xxhash64("text").alias("h"), text.alias("text"))
-    parts = rows.select("doc_id", "lang", "h", F.explode(F.split("text", r"(?U)\n\s*\n")).alias("part"))
-    cut_ = parts.select("doc_id", "lang", "h", F.explode(F.regexp_extract_all(F.replace("part", F.lit("\n"), F.lit(f" {BREAK} ")), F.lit(piece), F.lit(0))).alias("seg"))
+    parts = rows.select("doc_id", "lang", "h", F.posexplode(F.split("text", r"(?U)\n\s*\n")).alias("at", "part"))
+    cut_ = parts.select("doc_id", "lang", "h", "at", F.posexplode(F.regexp_extract_all(F.replace("part", F.lit("\n"), F.lit(f" {BREAK} ")), F.lit(piece), F.lit(0))).alias("in_part", "seg"))
     tokens = F.filter(F.split("seg", r"(?U)\s+"), lambda x: (x != "") & (x != BREAK))
     bare = F.transform("tok", lambda x: F.regexp_replace(F.lower(x), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", ""))
-    s = cut_.select("doc_id", "lang", "h", "seg", tokens.alias("tok")).filter(F.size("tok") > 0).withColumn("bare", bare)
+    first = ((F.col("at") == 0) & (F.col("in_part") == 0)).cast("int").alias("first")  # one for each row, repeated ones too
+    s = cut_.select("doc_id", "lang", "h", first, "seg", tokens.alias("tok")).filter(F.size("tok") > 0).withColumn("bare", bare)
     plain = F.replace("seg", F.lit(BREAK), F.lit(""))
     chars = lambda pattern: F.char_length(F.regexp_replace(plain, pattern, ""))
     every = sorted({w for ws in common.values() for w in ws}) or [""]
     n = F.size("tok")
     s = s.select(
-        "doc_id", "lang", "h",
+        "doc_id", "lang", "h", "first",
         n.alias("n"),
         chars(r"(?U)\s+").alias("chars"),
         chars(r"[^\p{L}]+").alias("letters"),
@@ -144,17 +145,17 @@ def statistics(documents: DataFrame, words: DataFrame) -> DataFrame:
     total = lambda c: F.sum(c)
     junk = F.col("prose") < 0.5
     by_doc = judged.groupBy("doc_id", "h").agg(
-        total("n").alias("words"), total("chars").alias("chars"), total("letters").alias("letters"), total("digits").alias("digits"),
+        total("n").alias("all_words"), F.greatest(total("first"), F.lit(1)).alias("copies"), total("chars").alias("chars"), total("letters").alias("letters"), total("digits").alias("digits"),
         total(F.when(~junk, F.col("chars")).otherwise(0)).alias("prose_chars"),
         total(F.when(junk & (F.substring("pattern", 5, 1) == "2") | junk & (F.substring("pattern", 8, 1) == "2"), F.col("chars")).otherwise(0)).alias("table_chars"),
         total(F.when(junk & (F.substring("pattern", 4, 1) != "2") & (F.substring("pattern", 6, 1) == "2"), F.col("chars")).otherwise(0)).alias("list_chars"),
         total("breaks").alias("breaks"), total("closed").alias("closed"), total(mine).alias("common"),
     )
     found = by_doc.select(
-        "doc_id", "words", (F.col("chars") / F.col("words")).alias("mean_word_length"),
+        "doc_id", F.floor(F.col("all_words") / F.col("copies")).cast("bigint").alias("words"), (F.col("chars") / F.col("all_words")).alias("mean_word_length"),
         ((F.col("chars") - F.col("letters") - F.col("digits")) / F.col("chars")).alias("symbol_ratio"),
         F.when(F.col("breaks") > 0, F.col("closed") / F.col("breaks")).alias("closed_lines"),
-        (F.col("common") / F.col("words")).alias("common_share"),
+        (F.col("common") / F.col("all_words")).alias("common_share"),
         (F.col("prose_chars") / F.col("chars")).alias("prose_share"),
         F.when(F.col("prose_chars") * 2 >= F.col("chars"), "prose").when(F.col("table_chars") * 2 > F.col("chars"), "table")
         .when(F.col("list_chars") * 2 > F.col("chars"), "list").otherwise("junk").alias("text_type"),
