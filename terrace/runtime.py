@@ -59,6 +59,17 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, where the input has fewer splits than there are cores.
+
+    For scans whose rows take much computing, such as whole texts in one small file; larger inputs stay as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
