@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.runtime import cut
+from terrace.runtime import cut, spread
 
 RUN = 10
 PASSAGE, STEP = 15, 5
@@ -39,7 +39,7 @@ MIN_COSINE = 0.45
 PARAPHRASE_COSINE = 0.6
 PARAPHRASE_SHARE = 0.7
 ANSWER_WORDS = 3
-BLOCK_WORDS = 100_000
+BLOCK_WORDS = 40_000
 DOCS_PER_TASK = 5_000
 SEED = 8
 
@@ -125,12 +125,12 @@ def randomised_svd(triples: DataFrame, columns: int, rank: int = RANK, power: in
                 np.add.at(ay, row, weight[:, None] * y[col])
                 np.add.at(total, col, weight[:, None] * ay[row])
                 used = np.unique(col)
-                yield pd.DataFrame({"col": used, "v": list(total[used])})
+                yield pd.DataFrame({"col": used, "v": [v.tobytes() for v in total[used].astype(np.float32)]})
 
-        sums = triples.repartition(F.pmod("row", F.lit(4))).mapInPandas(part, "col bigint, v array<double>")
+        sums = triples.repartition(F.pmod("row", F.lit(4))).mapInPandas(part, "col bigint, v binary")
         total = np.zeros((columns, width))
-        for r in sums.toLocalIterator():
-            total[r["col"]] += np.array(r["v"])
+        for r in sums.collect():
+            total[r["col"]] += np.frombuffer(r["v"], dtype=np.float32)
         shared.unpersist()
         return total
 
@@ -152,7 +152,7 @@ def _coded(documents: DataFrame, items: Items) -> DataFrame:
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "codes": [[known.get(w, -1) for w in words(t)] for t in frame["text"]]})
 
-    rows = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    rows = spread(documents.filter("doc_id is not null and text is not null").select("doc_id", "text"))
     return cut(rows.mapInPandas(run, "doc_id bigint, codes array<int>"))
 
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.runtime import cut
+from terrace.runtime import cut, spread
 
 SEGMENT, REST = 30, 9
 MAX_COMMON_WORDS = 100_000
@@ -136,7 +136,7 @@ def statistics(documents: DataFrame, words: DataFrame) -> DataFrame:
     """doc_id, words, mean_word_length, symbol_ratio, closed_lines, common_share, prose_share, text_type."""
     spark = documents.sparkSession
     common = common_words(words)
-    seg = cut(votes(segments(documents, common)).drop("flags", "low", "title", "kinds"))
+    seg = cut(votes(segments(spread(documents.select("doc_id", "lang", "text")), common)).drop("flags", "low", "title", "kinds"))
     seen = seg.groupBy("pattern").agg(F.count("*").alias("n")).toPandas().sort_values("pattern")
     posterior = learn(list(seen["pattern"]), seen["n"].to_numpy(dtype=float)) if len(seen) else np.zeros(0)
     known = spark.createDataFrame(pd.DataFrame({"pattern": seen["pattern"].astype(str), "prose": posterior}), "pattern string, prose double")
