@@ -1,6 +1,8 @@
 """The build as seven stages with Parquet between them, and a command line.
 
-    python -m terrace STAGE|all|cost --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
+    python -m terrace STAGE|all|cost|gate --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
+
+``gate`` lists what forbids a release of the output and ends with 1 if anything does, 2 without output.
 
 A stage is skipped when its stamp matches the configuration and the stamps of the stages before it; a change of the
 configuration runs everything it may touch again. Stages compose DataFrames only; the driver sees counts and reports.
@@ -213,13 +215,20 @@ def run(b: Build, stages: tuple[str, ...] = STAGES, force: bool = False) -> bool
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="terrace")
-    p.add_argument("stage", choices=[*STAGES, "all", "cost"])
+    p.add_argument("stage", choices=[*STAGES, "all", "cost", "gate"])
     p.add_argument("--config", required=True)
     p.add_argument("--force", action="store_true")
     p.add_argument("--from", dest="start", choices=STAGES)
     p.add_argument("--allow-short", action="store_true")
     p.add_argument("--skip-pageviews", action="store_true")
     a = p.parse_args(argv)
+    if a.stage == "gate":
+        out = load_config(a.config).out
+        if not out.is_dir():
+            return 2
+        problems = checks.release_gate(str(out))
+        print(json.dumps(problems, sort_keys=True))
+        return int(bool(problems))
     spark = SparkSession.builder.appName("terrace").getOrCreate()
     b = Build(spark, load_config(a.config), a.allow_short, a.skip_pageviews)
     if a.stage == "cost":

@@ -168,3 +168,22 @@ def test_bad_config(tmp_path):
     (tmp_path / "c.toml").write_text(CONFIG.replace("[4, 6, 8]", "[4, 4, 8]"))
     with pytest.raises(ValueError):
         load_config(str(tmp_path / "c.toml"))
+
+
+def test_gate_breaks_one_thing_at_a_time(tmp_path):
+    import hashlib
+
+    data = b"x"
+    good = {"embedder": "service", "tiers": [{"name": "t4", "count": 4}, {"name": "t10", "count": 10}], "files": {"a": {"bytes": 1, "sha256": hashlib.sha256(data).hexdigest()}}}
+
+    def gate(manifest=good, report='[{"check": "full", "passed": true}]', content=data):
+        (tmp_path / "a").write_bytes(content)
+        (tmp_path / "manifest.json").write_text(json.dumps(manifest))
+        (tmp_path / "report.json").write_text(report)
+        return {p["check"] for p in checks.release_gate(str(tmp_path))}
+
+    assert gate() == set()
+    assert gate(good | {"embedder": "seeded"}) == {"embedder"}
+    assert gate(report='[{"check": "full", "passed": false}]') == {"report"}
+    assert gate(content=b"y") == {"files"} and gate(content=b"xy") == {"files"}
+    assert gate(good | {"tiers": [{"name": "t4", "count": 10}, {"name": "t10", "count": 4}]}) == {"tiers"}
