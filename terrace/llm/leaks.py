@@ -2,13 +2,16 @@
 
 Latent semantic retrieval. Evaluation texts are cut into passages, weighted by TF-IDF with document frequencies of the
 whole corpus, and a randomised SVD (range finding with power iterations, its products summed over tasks) gives the
-latent space. Every window of every document is projected into it; windows whose cosine to a passage reaches
-``MIN_COSINE`` make the document a candidate for the passage's item. Candidates are then checked on whole texts: a
-shared run of ``RUN`` words (all words, if the item has fewer) is a verbatim leak; else the longest common subsequence
-and the presence of the item's rarest words, its answers, decide on a paraphrase.
+latent space. A shared run of ``RUN`` words (all words, if the item has fewer) is a verbatim leak. Every window of just
+that many words, at step 1, is projected on one direction of the latent space in whole numbers; a run has the very
+value of the item's own window, so no threshold is needed, and windows of equal value are compared word by word.
 
-Any shared run lies whole within one window and one passage: windows are 2n words at steps of n, passages 15 words at
-steps of 5, for runs of n = 10; items shorter than 6 words get windows of their own length class.
+For paraphrases wider windows are projected whole; those whose cosine to a passage reaches ``PARAPHRASE_COSINE`` make
+the document a candidate for the passage's item, on which the longest common subsequence and the presence of the item's
+rarest words, its answers, decide. The cosine reported of a verbatim leak is that of its best window, however low.
+
+Any shared run lies whole within one wide window and one passage: windows are 2n words at steps of n, passages 15 words
+at steps of 5, for runs of n = 10; items shorter than 6 words get windows of their own length class.
 
 Evaluation items are read in blocks of at most ``BLOCK_WORDS`` words, so what is broadcast is bounded however many
 there are. Documents are never joined with each other and nothing of the corpus but word counts reaches the driver.
@@ -35,7 +38,6 @@ RUN = 10
 PASSAGE, STEP = 15, 5
 RANK = 256
 POWER = 2
-MIN_COSINE = 0.45
 PARAPHRASE_COSINE = 0.6
 PARAPHRASE_SHARE = 0.7
 ANSWER_WORDS = 3
@@ -189,19 +191,45 @@ def _common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return int(best[-1])
 
 
+class Runs:
+    """All runs of the items by length, found by the value of their projection on one direction of the latent space.
+
+    The values of words are whole numbers, so a window has the same sum wherever it stands and whatever is summed
+    before it (overflow wraps round on both sides alike). Equal values only select what is compared word by word.
+    """
+
+    def __init__(self, items: Items, word_rows: np.ndarray):
+        direction = np.random.default_rng(SEED).standard_normal(word_rows.shape[1])
+        self.value = np.rint(word_rows.astype(np.float64) @ direction * 2.0**32).astype(np.int64)
+        self.owners: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for k, codes in enumerate(items.codes):
+            n = items.run_length(k)
+            for run in {codes[s : s + n].tobytes() for s in range(len(codes) - n + 1)}:
+                self.owners[n][run].append(k)
+        self.values = {n: np.unique([self.value[np.frombuffer(r, dtype=np.int32)].sum() for r in runs]) for n, runs in self.owners.items()}
+
+    def found(self, codes: np.ndarray) -> set[int]:
+        """Items of which ``codes`` holds a run."""
+        out: set[int] = set()
+        sums = np.concatenate([[0], np.cumsum(self.value[codes])])
+        inside = np.concatenate([[0], np.cumsum(codes >= 0)])
+        for n, values in self.values.items():
+            at = np.flatnonzero(inside[n:] - inside[:-n] == n) if len(codes) >= n else []
+            if len(at):
+                for s in at[np.isin(sums[at + n] - sums[at], values)]:
+                    out.update(self.owners[n].get(codes[s : s + n].tobytes(), ()))
+        return out
+
+
 def _search(items: Items, idf: np.ndarray, space: np.ndarray, owner: np.ndarray, latent: np.ndarray):
     word_rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]), dtype=np.float32)])
-    runs: list[tuple[int, set[bytes]]] = []
-    for k, codes in enumerate(items.codes):
-        n = items.run_length(k)
-        runs.append((n, {codes[s : s + n].tobytes() for s in range(len(codes) - n + 1)}))
     answers = [codes[np.argsort(-idf[codes], kind="stable")][:ANSWER_WORDS] for codes in items.codes]
     by_class = items.classes()
     member = {step: np.flatnonzero(np.isin(owner, ks)) for step, ks in by_class.items()}
     least = {step: min(items.run_length(k) for k in ks) for step, ks in by_class.items()}
 
-    def candidates(docs: list[np.ndarray]) -> dict[tuple[int, int], tuple[float, int]]:
-        """(document, item) -> best cosine and where its window starts."""
+    def candidates(docs: list[np.ndarray], verbatim: list[set[int]]) -> dict[tuple[int, int], tuple[float, int]]:
+        """(document, item) -> best cosine and where its window starts, verbatim pairs at any cosine."""
         out: dict[tuple[int, int], tuple[float, int]] = {}
         for step, rows in member.items():
             size, target, own = 2 * step, latent[rows].T, owner[rows]
@@ -213,7 +241,11 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, owner: np.ndarray,
                 m = np.vstack([b[2] for b in block])
                 m /= np.linalg.norm(m, axis=1, keepdims=True) + 1e-12
                 cos = m @ target
-                for i, j in zip(*np.nonzero(cos >= MIN_COSINE)):
+                near = cos >= PARAPHRASE_COSINE
+                for i, (d, _, _) in enumerate(block):
+                    if verbatim[d]:
+                        near[i] |= np.isin(own, list(verbatim[d]))
+                for i, j in zip(*np.nonzero(near)):
                     key = (block[i][0], int(own[j]))
                     if key not in out or out[key][0] < cos[i, j]:
                         out[key] = (float(cos[i, j]), block[i][1])
@@ -240,23 +272,17 @@ def _search(items: Items, idf: np.ndarray, space: np.ndarray, owner: np.ndarray,
         return out
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs = Runs(items, word_rows)
         for frame in frames:
             for lo in range(0, len(frame), 512):
                 part = frame.iloc[lo : lo + 512]
                 docs = [np.asarray(c, dtype=np.int32) for c in part["codes"]]
                 ids = part["doc_id"].to_numpy()
-                rows, doc_runs, last = [], {}, -1
-                for (d, k), (cosine, at) in sorted(candidates(docs).items()):
-                    if d != last:
-                        doc_runs, last = {}, d
-                    codes, (n, wanted) = docs[d], runs[k]
-                    if n not in doc_runs:
-                        doc_runs[n] = {codes[s : s + n].tobytes() for s in range(len(codes) - n + 1) if codes[s] >= 0}
-                    verbatim = not wanted.isdisjoint(doc_runs[n])
-                    share = None
+                exact = [runs.found(c) for c in docs]
+                rows = []
+                for (d, k), (cosine, at) in sorted(candidates(docs, exact).items()):
+                    codes, verbatim, share = docs[d], k in exact[d], None
                     if not verbatim:
-                        if cosine < PARAPHRASE_COSINE:
-                            continue
                         item = items.codes[k]
                         near = codes[max(0, at - len(item)) : at + 2 * RUN + len(item)]
                         if not np.isin(answers[k], near).all() or np.isin(item, near).mean() < PARAPHRASE_SHARE:

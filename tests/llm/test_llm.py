@@ -189,6 +189,20 @@ def test_leaks(spark):
     assert leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([], "item_id bigint, suite string, text string")).count() == 0
 
 
+def test_run_between_rarer_words_of_other_items(spark):
+    rng = random.Random(7)
+    common, rare = [f"c{k}" for k in range(60)], [f"r{k}" for k in range(600)]
+    texts = [" ".join(rng.sample(common, 30)), *(" ".join(rare[k : k + 15]) for k in range(0, 600, 15)), " ".join(common[:3])]
+    items = [(k, "s", t) for k, t in enumerate(texts)]
+    run = texts[0].split()[7:17]
+    mixed = lambda middle: " ".join([*rng.sample(rare, 15), *middle, *rng.sample(rare, 15)])
+    docs = [doc(k, " ".join(rng.sample(common, 40))) for k in range(200)]
+    docs += [doc(1000 + k, mixed(run)) for k in range(20)] + [doc(2000 + k, mixed([*run[5:], *run[:5]])) for k in range(20)] + [doc(3000, mixed(common[:3]))]
+    got = leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, suite string, text string")).filter("kind = 'verbatim' and doc_id >= 1000").collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1000 + k, 0) for k in range(20)} | {(3000, len(texts) - 1)}
+    assert min(r["cosine"] for r in got) < 0.45
+
+
 def test_subsequence():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 1, 3, 9, 5, 4])
     assert leaks._common_subsequence(a, b) == 3 and leaks._common_subsequence(a, a) == 5
