@@ -68,6 +68,12 @@ def normalize_iri(value: Column) -> Column:
     return F.when(x.rlike(shape) & (host != ""), F.concat(F.lit("http://"), host, path)).otherwise(x)
 
 
+def normalize_title(title: Column) -> Column:
+    """The title as it stands in the normalised IRI of its page."""
+    host = "http://x.org/"
+    return F.substring(normalize_iri(F.concat(F.lit(host), title)), len(host) + 1, 1 << 20)
+
+
 def normalize_if_needed(value: Column) -> Column:
     """``normalize_iri`` where a percent sign, https or a trailing slash calls for it; else only a host in capitals is
     lowered, so the # of a namespace stays."""

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from terrace.functions.text import normalize_title
+
 MAX_BUCKETS = 10_000
 
 
@@ -124,14 +126,17 @@ def demand(scored: DataFrame, buckets: list[Bucket], floors: dict[str, int], n:
 
 def needed_titles(english: DataFrame, sisters: DataFrame) -> DataFrame:
     """``lang``, ``title`` of each entity's English page and of its pages in sister editions (joined on q)."""
-    return english.select(F.lit("en").alias("lang"), "title").union(english.join(sisters, "q").select(sisters["lang"], sisters["title"])).distinct()
+    return english.select(F.lit("en").alias("lang"), "title").union(english.select("q").join(sisters, "q").select("lang", "title")).distinct()
 
 
 def views_per_entity(monthly: DataFrame, english: DataFrame, sisters: DataFrame) -> DataFrame:
     """``iri``, ``views``: views of the English title plus those of the sister editions, over all months.
 
-    Months are semi-joined to the titles needed before they are summed.
+    Titles are joined in their normalised form, as logs hold them raw or percent-encoded. Months are semi-joined to the
+    titles needed before they are summed.
     """
+    monthly, english, sisters = (df.withColumn("title", normalize_title(F.col("title"))) for df in (monthly, english, sisters))
+    sisters = sisters.distinct()
     needed = needed_titles(english, sisters)
     total = monthly.join(needed, ["lang", "title"], "left_semi").groupBy("lang", "title").agg(F.sum("views").alias("views"))
     own = english.select("iri", F.lit("en").alias("lang"), "title")

@@ -11,7 +11,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions.text import escape_literal, normalize_if_needed, unescape_literal
+from terrace.functions.text import escape_literal, normalize_if_needed, normalize_title, unescape_literal
 
 # Hosts that are no language editions.
 OTHER_HOSTS = ("commons", "wikidata", "species", "meta", "global", "wikimedia")
@@ -50,11 +50,13 @@ def convert(spark: SparkSession, source: str, target: str) -> tuple[int, list[st
 
 def parse_edition_links(lines: DataFrame, value: str = "value") -> DataFrame:
     """``q, lang, title`` of links from items to language editions; no language means English; pages of namespaces
-    (a colon in the title) and of hosts that are no editions are left out."""
+    (a colon in the title) and of hosts that are no editions are left out. Titles with a percent sign are normalised as
+    the IRIs of ``parse_triples`` are."""
     shape = r"^<[^>]*/(Q\d+)>\s+<[^>]*sameAs>\s+<https?://(?:([a-z0-9-]+)\.)?[^/>.]+\.[^/>]+/resource/([^>]+)>\s*\.\s*\z"
     line = F.col(value)
     rows = lines.filter(line.rlike(shape)).select(F.regexp_extract(line, shape, 1).alias("q"), F.coalesce(F.nullif(F.regexp_extract(line, shape, 2), F.lit("")), F.lit("en")).alias("lang"), F.regexp_extract(line, shape, 3).alias("title"))
-    return rows.filter(~F.col("lang").isin(*OTHER_HOSTS) & ~F.col("title").contains(":"))
+    rows = rows.filter(~F.col("lang").isin(*OTHER_HOSTS) & ~F.col("title").contains(":"))
+    return rows.withColumn("title", F.when(F.col("title").contains("%"), normalize_title(F.col("title"))).otherwise(F.col("title")))
 
 
 def parse_pageviews(lines: DataFrame, suffix: str, langs: list[str] | None = None, methods: list[str] | None = None, value: str = "value") -> DataFrame:

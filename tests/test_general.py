@@ -182,6 +182,19 @@ def test_triples_and_logs(spark):
     assert as_set(ntriples.parse_pageviews(log, "kb")) == {("en", "A", 11), ("en", '"B', 2)}
 
 
+def test_encoded_titles_meet_their_entities(spark):
+    names = ["Caf%C3%A9", "%22Heroes%22", "100%25_Wolf", "Plain_(x)"]
+    of = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string")
+    iris = {r["s"] for r in ntriples.parse_triples(of(f"<http://kb.example/resource/{n}> <http://a/p> <http://a/o> ." for n in names)).collect()}
+    same = [f"<http://w/entity/Q{i}> <http://a/sameAs> <http://{lang}kb.example/resource/{n}> ." for i, n in enumerate(names) for lang in ("", "de.")]
+    links = ntriples.parse_edition_links(of(same))
+    english = links.filter("lang = 'en'").select(F.concat(F.lit("http://kb.example/resource/"), "title").alias("iri"), "q", "title")
+    assert {r["iri"] for r in english.collect()} == iris
+    logs = ["en.kb Café 1 desktop 1 Z", "en.kb Caf%C3%A9 1 desktop 2 Z", 'en.kb "Heroes" 1 desktop 4 Z', "de.kb 100%_Wolf 1 desktop 8 Z", "de.kb Plain_(x) 1 desktop 16 Z", "de.kb Other 1 desktop 32 Z"]
+    views = ranking.views_per_entity(ntriples.parse_pageviews(of(logs), "kb"), english, links.filter("lang <> 'en'").union(links.filter("q = 'Q3' and lang <> 'en'")))
+    assert {(r["iri"].rpartition("/")[2], r["views"]) for r in views.collect()} == {("Café", 3), ("%22Heroes%22", 4), ("100%25_Wolf", 8), ("Plain_(x)", 16)}
+
+
 def test_nearest_for_probes(spark):
     rows = spark.createDataFrame([(i, vectors.seeded_vector(str(i % 7), 8).tolist()) for i in range(20)], "id bigint, v array<float>")
     got = vectors.nearest(rows, rows.filter("id < 2"), 3).collect()
