@@ -43,6 +43,9 @@ class Config:
     dims: int
     chars_per_token: float
     price: float
+    label_languages: list[str]
+    drop_non_ascii: bool
+    drop_external: bool
     text: str = field(default="", repr=False)
 
 
@@ -58,7 +61,7 @@ def load_config(path: str) -> Config:
     onto, res = raw["namespaces"]["ontology"], raw["namespaces"]["resource"]
     listed = raw["buckets"]
     buckets = normalised([Bucket(b["name"], float(b["share"])) for b in listed])
-    geo, rank, props, emb = raw["geography"], raw["ranking"], raw["properties"], raw.get("embedding", {})
+    geo, rank, props, emb, tbox = raw["geography"], raw["ranking"], raw["properties"], raw.get("embedding", {}), raw.get("tbox", {})
     rules = Resolution({g: [Property(onto + p["property"], tuple(p.get("inherit", ()))) for p in ps] for g, ps in geo["resolution"].items()})
     for g, ps in rules.groups.items():
         for p in ps:
@@ -77,4 +80,5 @@ def load_config(path: str) -> Config:
         weights={k: float(v) for k, v in rank["weights"].items()}, floors={k: int(v) for k, v in rank["floors"].items()},
         literals={onto + p["property"]: (p["column"], p["type"]) for p in props.get("literals", [])}, objects={onto + p["property"]: f"{p['column']}_label" for p in props.get("objects", [])},
         dims=emb.get("dims", 64), chars_per_token=emb.get("chars_per_token", 4.06), price=emb.get("price_per_million", 0.02), text=text,
+        label_languages=tbox.get("label_languages", ["en"]), drop_non_ascii=tbox.get("drop_non_ascii", True), drop_external=tbox.get("drop_external", True),
     )

@@ -157,11 +157,12 @@ class Profile:
 
 
 def split_profile(triples: DataFrame, profile: Profile) -> DataFrame:
-    """Every triple with ``reason`` (null: kept). A blank node is bad if it carries a forbidden predicate of an
-    expression, or refers to a bad blank node; a triple of a bad node, or one that points at it, is removed."""
+    """Every triple, other columns kept, with ``reason`` (null: kept). A blank node is bad if it carries a forbidden
+    predicate of an expression or a forbidden type, or refers to a bad blank node; a triple of a bad node, or one that
+    points at it, is removed."""
     t = triples.withColumn("_id", F.xxhash64("s", "p", "o"))
     is_blank = lambda c: F.col(c).startswith("_:")
-    bad = cut(t.filter(is_blank("s") & F.col("p").isin(*profile.expression)).select(F.col("s").alias("b")).distinct())
+    bad = cut(t.filter(is_blank("s") & (F.col("p").isin(*profile.expression) | ((F.col("p") == profile.rdf_type) & F.col("o").isin(*profile.types)))).select(F.col("s").alias("b")).distinct())
     links = cut(t.filter(is_blank("s") & is_blank("o")).select("s", "o").distinct())
     before, n = -1, bad.count()
     while n != before:
@@ -174,11 +175,11 @@ def split_profile(triples: DataFrame, profile: Profile) -> DataFrame:
         .when((F.col("p") == profile.rdf_type) & F.col("o").isin(*profile.types), F.concat(F.lit("type:"), F.col("o")))
         .when(F.col("_s"), "in_expression").when(F.col("_o"), "points_at_expression")
     )
-    return marked.select("s", "p", "o", reason.alias("reason"))
+    return marked.select(*triples.columns, reason.alias("reason"))
 
 
 def clean_axioms(triples: DataFrame, rules: list[tuple[str, Column]], declared: DataFrame | None = None) -> DataFrame:
-    """Every triple with the first ``rule`` that removes it (null: kept). With ``declared`` (cls), rules may use the
+    """Every triple, other columns kept, with the first ``rule`` that removes it (null: kept). With ``declared`` (cls), rules may use the
     column ``o_declared``."""
     t = triples
     if declared is not None:
@@ -186,7 +187,7 @@ def clean_axioms(triples: DataFrame, rules: list[tuple[str, Column]], declared:
     rule = None
     for name, test in rules:
         rule = F.when(test, name) if rule is None else rule.when(test, name)
-    return t.select("s", "p", "o", rule.alias("rule"))
+    return t.select(*triples.columns, rule.alias("rule"))
 
 
 # ---------------------------------------------------------------- comparison

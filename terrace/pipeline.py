@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from terrace.config import Config, load_config
 from terrace.functions.text import title_of
 from terrace.operators import checks, enrich, graph, ranking, vectors
+from terrace.runtime import cut
 from terrace.sources import ntriples
 
 STAGES = ("acquire", "candidates", "geography", "rank", "enrich", "emit", "validate")
@@ -30,6 +31,17 @@ RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 SUBCLASS = "http://www.w3.org/2000/01/rdf-schema#subClassOf"
 EQUIVALENT = "http://www.w3.org/2002/07/owl#equivalentClass"
 LABEL = "http://www.w3.org/2000/01/rdf-schema#label"
+COMMENT = "http://www.w3.org/2000/01/rdf-schema#comment"
+SUBPROPERTY = "http://www.w3.org/2000/01/rdf-schema#subPropertyOf"
+OWL = "http://www.w3.org/2002/07/owl#"
+XSD = "http://www.w3.org/2001/XMLSchema#"
+# What lies outside the OWL 2 EL profile.
+_FORBIDDEN = frozenset(OWL + n for n in (
+    "inverseOf", "unionOf", "complementOf", "allValuesFrom", "oneOf", "disjointUnionOf", "cardinality", "minCardinality", "maxCardinality",
+    "qualifiedCardinality", "minQualifiedCardinality", "maxQualifiedCardinality", "hasSelf", "hasKey",
+))
+_FORBIDDEN_TYPES = frozenset(OWL + n + "Property" for n in ("Functional", "InverseFunctional", "Symmetric", "Asymmetric", "Irreflexive"))
+EL = graph.Profile(_FORBIDDEN, _FORBIDDEN_TYPES, _FORBIDDEN, RDF_TYPE)
 TRIPLES = ("ontology", "types", "objects", "literals", "abstracts", "disambiguations", "redirects")
 
 
@@ -66,12 +78,44 @@ def acquire(b: Build) -> None:
             b.write(months, "pageviews")
 
 
-def _hierarchy(b: Build, equivalent: str | None = None) -> DataFrame:
-    return graph.hierarchy_edges(b.read("ontology").filter("o_is_iri").select("s", "p", "o"), b.cfg.ontology, SUBCLASS, equivalent)
+def _hierarchy(b: Build, ontology: DataFrame, equivalent: str | None = None) -> DataFrame:
+    return graph.hierarchy_edges(ontology.filter("o_is_iri").select("s", "p", "o"), b.cfg.ontology, SUBCLASS, equivalent)
+
+
+def _tbox(b: Build) -> DataFrame:
+    """The ontology's triples with the cleaning ``rule`` or else the profile's ``reason`` that removes them (both null:
+    kept). Parents are held against the declared classes only in an ontology that declares any."""
+    cfg, t = b.cfg, b.read("ontology").distinct()
+    declared = t.filter((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + "Class")).select(F.col("s").alias("cls"))
+    own = lambda c: F.col(c).startswith(cfg.ontology)
+    iri, odd = F.col("o_is_iri"), r"[^\x00-\x7F]"
+    rules = []
+    if declared.limit(1).count():
+        rules.append(("subclass_of_non_class", (F.col("p") == SUBCLASS) & iri & own("o") & ~F.col("o_declared")))
+    if cfg.drop_non_ascii:
+        rules.append(("non_ascii", (own("s") & F.col("s").rlike(odd)) | (iri & own("o") & F.col("o").rlike(odd))))
+    if cfg.drop_external:
+        outward = F.col("p").isin(EQUIVALENT, OWL + "equivalentProperty", OWL + "sameAs", SUBCLASS, SUBPROPERTY)
+        rules.append(("external", outward & iri & ~own("o") & (F.col("o") != OWL + "Thing")))
+    rules.append(("foreign_language", F.col("p").isin(LABEL, COMMENT) & ~iri & F.col("lang").isNotNull() & ~F.lower("lang").isin(cfg.label_languages)))
+    cleaned = cut(graph.clean_axioms(t, rules, declared))
+    split = graph.split_profile(cleaned.filter("rule is null").drop("rule"), EL)
+    return cut(split.withColumn("rule", F.lit(None).cast("string")).unionByName(cleaned.filter("rule is not null").withColumn("reason", F.lit(None).cast("string"))))
+
+
+def _tbox_counts(b: Build, tbox: DataFrame, kept: DataFrame, up: DataFrame) -> dict:
+    own = lambda c: F.col(c).startswith(b.cfg.ontology)
+    by = lambda c: {r[c]: r["count"] for r in tbox.filter(F.col(c).isNotNull()).groupBy(c).count().collect()}
+    declared = kept.filter((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + "Class") & own("s")).select("s").distinct()
+    named = kept.filter(F.col("p").isin(SUBCLASS, EQUIVALENT) & F.col("o_is_iri") & own("s") & own("o"))
+    return {
+        "kept_triples": kept.count(), "cleaned": by("rule"), "removed_by_reason": by("reason"), "classes_declared": declared.count(),
+        "hierarchy_nodes": declared.union(named.select(F.explode(F.array("s", "o")))).distinct().count(), "subsumptions": up.filter(F.col("a") != b.cfg.ontology + "Thing").count(),
+    }
 
 
 def candidates(b: Build) -> None:
-    edges = _hierarchy(b)
+    edges = _hierarchy(b, b.read("ontology"))
     roots = b.spark.createDataFrame(b.cfg.roots, "root string, bucket string, ord int")
     classes = edges.select(F.explode(F.array("c", "p")).alias("cls")).union(roots.select("root")).distinct()
     missing = roots.join(classes.select(F.col("cls").alias("root")), "root", "left_anti").limit(1).count()
@@ -153,7 +197,9 @@ def enrich_stage(b: Build) -> None:
 def emit(b: Build) -> None:
     cfg, ents, edges = b.cfg, b.read("entities"), b.read("edges")
     shutil.rmtree(cfg.out, ignore_errors=True)
-    hierarchy = _hierarchy(b, EQUIVALENT)
+    tbox = _tbox(b)
+    kept = tbox.filter("rule is null and reason is null")
+    hierarchy = _hierarchy(b, kept, EQUIVALENT)
     up = graph.closure(hierarchy)
     tiers = []
     for n in cfg.tiers:
@@ -166,13 +212,15 @@ def emit(b: Build) -> None:
         ntriples.write_parquet(graph.inferred_types(inst, up), f"{folder}/types_inferred")
         triple = lambda s, p, o, iri, lang=None: [F.col(s).alias("s"), p.alias("p"), F.col(o).alias("o"), F.lit(iri).alias("o_is_iri"), F.lit(lang).cast("string").alias("lang"), F.lit(None).cast("string").alias("datatype")]
         abox = inst.select(triple("iri", F.lit(RDF_TYPE), "type", True)).union(part.select(triple("iri", F.lit(LABEL), "title", False, "en"))).union(inside.select(triple("s", F.col("p"), "o", True)))
+        if cfg.literals:
+            abox = abox.union(ntriples.literal_triples(part, cfg.literals, XSD))
         ntriples.format_triples(abox).orderBy("value").write.mode("overwrite").text(f"{folder}/abox")
         ntriples.import_lines(hierarchy, inst, inside).write.mode("overwrite").text(f"{folder}/import_lines")
         tiers.append({"name": name, "count": part.count(), "edges": inside.count(), "buckets": {r["bucket"]: r["count"] for r in part.groupBy("bucket").count().collect()}})
-    tbox = hierarchy.select(F.col("c").alias("s"), F.lit(SUBCLASS).alias("p"), F.col("p").alias("o"), F.lit(True).alias("o_is_iri"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("datatype"))
-    ntriples.format_triples(tbox).orderBy("value").coalesce(1).write.mode("overwrite").text(str(cfg.out / "tbox"))
+    for name, rows in (("tbox", kept), ("tbox_removed", tbox.filter("reason is not null"))):
+        ntriples.format_triples(rows).orderBy("value").coalesce(1).write.mode("overwrite").text(str(cfg.out / name))
     files = {str(p.relative_to(cfg.out)): {"bytes": p.stat().st_size, "sha256": hashlib.sha256(p.read_bytes()).hexdigest()} for p in sorted(cfg.out.rglob("part-*")) if p.is_file()}
-    ntriples.write_manifest(str(cfg.out / "manifest.json"), {"name": cfg.name, "embedder": "seeded", "tiers": tiers, "files": files})
+    ntriples.write_manifest(str(cfg.out / "manifest.json"), {"name": cfg.name, "embedder": "seeded", "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files})
 
 
 def validate(b: Build) -> bool:

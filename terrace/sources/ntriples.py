@@ -8,8 +8,10 @@ import shutil
 from pathlib import Path
 from urllib.parse import urlparse
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from terrace.functions.text import escape_literal, normalize_if_needed, normalize_title, unescape_literal
 
@@ -124,6 +126,28 @@ def infer_datatype(value: Column, xsd: str) -> Column:
     return F.when(value.rlike(r"^-?\d{4}-\d{2}-\d{2}\z"), xsd + "date").when(value.rlike(r"^-?\d{4}\z"), xsd + "gYear")
 
 
+@F.pandas_udf(StringType())
+def double_text(value: pd.Series) -> pd.Series:
+    """The shortest text that reads back as the same double."""
+    odd = {"inf": "INF", "-inf": "-INF"}
+    return value.map(lambda v: odd.get(repr(float(v)), repr(float(v))), na_action="ignore").astype(object)
+
+
+def literal_triples(entities: DataFrame, names: dict[str, tuple[str, str]], xsd: str) -> DataFrame:
+    """``s, p, o, o_is_iri, lang, datatype`` of every non-null literal column of ``props`` (names: predicate -> column,
+    kind). A column of several predicates is written under the first."""
+    first = {c: (p, k) for p, (c, k) in reversed(names.items())}
+
+    def one(column: str, predicate: str, kind: str) -> Column:
+        value = F.col("props")[column]
+        text = double_text(value) if kind == "float" else value.cast("string")
+        datatype = {"int": F.lit(xsd + "integer"), "float": F.lit(xsd + "double")}.get(kind, infer_datatype(text, xsd))
+        return F.struct(F.lit(predicate).alias("p"), text.alias("o"), datatype.cast("string").alias("datatype"))
+
+    rows = entities.select(F.col("iri").alias("s"), F.explode(F.array(*[one(c, p, k) for c, (p, k) in sorted(first.items())])).alias("t"))
+    return rows.filter("t.o is not null").select("s", "t.p", "t.o", F.lit(False).alias("o_is_iri"), F.lit(None).cast("string").alias("lang"), "t.datatype")
+
+
 def import_lines(subclasses: DataFrame, instances: DataFrame, links: DataFrame) -> DataFrame:
     """``value``: SUBCLASS, INSTANCE and PROPERTY lines for a line importer."""
     return (

@@ -164,6 +164,40 @@ def test_stages_are_skipped_when_fresh_and_gate_refuses_test_vectors(build):
     assert "embedder" in {p["check"] for p in checks.release_gate(str(build.cfg.out))}
 
 
+def test_literals_and_whole_tbox(build, spark, tmp_path):
+    from dataclasses import replace
+
+    from pyspark.sql import Row
+
+    from terrace.pipeline import LABEL, OWL, XSD, emit
+    from terrace.sources import ntriples
+
+    abox = {r["value"] for r in spark.read.text(str(build.cfg.out / "t8/abox")).collect()}
+    assert f'<{R}Poet_1> <{O}born> "1901"^^<{XSD}integer> .' in abox
+    names = {O + k: (k, "float" if k == "area" else "string") for k in ("area", "day", "year", "motto")}
+    props = [Row(area=1e7, day="1901-02-03", year="1901", motto='a "b"'), Row(area=1e-4, day=None, year=None, motto=None), None]
+    ents = spark.createDataFrame([(R + str(i), p) for i, p in enumerate(props)], "iri string, props struct<area double, day string, year string, motto string>")
+    got = {r["value"].removesuffix(" .").split("/ontology/")[1] for r in ntriples.format_triples(ntriples.literal_triples(ents, names, XSD)).collect()}
+    assert got == {f'area> "10000000.0"^^<{XSD}double>', f'area> "0.0001"^^<{XSD}double>', f'day> "1901-02-03"^^<{XSD}date>', f'year> "1901"^^<{XSD}gYear>', 'motto> "a \\"b\\""'}
+
+    keep = [triple(O + c, TYPE, OWL + "Class") for c in ("Poet", "OdePoet", "Person", "Town", "Place")]
+    keep += [triple(O + "Poet", SUB, O + "Person"), triple(O + "OdePoet", SUB, O + "Poet"), triple(O + "Town", SUB, O + "Place"), triple(O + "Poet", LABEL, '"poet"@en'), triple(O + "Place", OWL + "equivalentClass", O + "Site"), triple(O + "Person", SUB, OWL + "Thing")]
+    cleaned = [triple(O + "Poet", SUB, O + "wrote"), triple(O + "Poet", OWL + "equivalentClass", "http://other.example/Poet"), triple(O + "Poet", LABEL, '"Dichter"@de'), triple(O + "شاعر", TYPE, OWL + "Class")]
+    removed = [triple(O + "born", TYPE, OWL + "FunctionalProperty"), "_:u <" + OWL + "unionOf> _:l .\n", f"<{O}Town> <{SUB}> _:u .\n"]
+    b = Build(spark, replace(build.cfg, work=tmp_path / "work", out=tmp_path / "out", tiers=[4]))
+    for name in ("entities", "edges"):
+        b.write(build.read(name), name)
+    b.write(ntriples.parse_triples(spark.createDataFrame([(x.strip(),) for x in keep + cleaned + removed], "value string")), "ontology")
+    emit(b)
+    lines = lambda name: {r["value"] for r in spark.read.text(str(b.cfg.out / name)).collect()}
+    assert lines("tbox") == {x.strip() for x in keep} and lines("tbox_removed") == {x.strip() for x in removed}
+    counts = json.loads((b.cfg.out / "manifest.json").read_text())["tbox"]
+    assert counts["cleaned"] == {"subclass_of_non_class": 1, "external": 1, "foreign_language": 1, "non_ascii": 1}
+    assert (counts["kept_triples"], sum(counts["removed_by_reason"].values()), counts["classes_declared"], counts["hierarchy_nodes"], counts["subsumptions"]) == (11, 3, 5, 6, 7)
+    inferred = {r["type"] for r in spark.read.parquet(str(b.cfg.out / "t4/types_inferred")).collect()}
+    assert O + "Person" in inferred and O + "wrote" not in inferred
+
+
 def test_bad_config(tmp_path):
     (tmp_path / "c.toml").write_text(CONFIG.replace("[4, 6, 8]", "[4, 4, 8]"))
     with pytest.raises(ValueError):
