@@ -194,8 +194,10 @@ def typed_literals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def loader_payload(spark: SparkSession, d: str) -> DataFrame:
-    rows = enrich.first_of(table(spark, d, "entities").filter("title is not null"), "iri", "title", "languages")
-    return ntriples.payload(rows, 400).select("body")
+    e = table(spark, d, "entities").filter("iri is not null").withColumn("untitled", F.col("title").isNull())
+    rows = enrich.first_of(e, "iri", "untitled", "title", "languages", "abstract", "types", "props", "vector")
+    edges = enrich.edges_within(_objects(spark, d).distinct(), rows)
+    return ntriples.payload(ntriples.entity_bodies(rows, edges, ONT, LABEL, "entities"), 400)
 
 
 # ---------------------------------------------------------------- hierarchies and places

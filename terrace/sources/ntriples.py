@@ -10,10 +10,12 @@ from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from terrace.functions.text import escape_literal, normalize_if_needed, normalize_title, unescape_literal
+from terrace.runtime import cut
 
 # Hosts that are no language editions.
 OTHER_HOSTS = ("commons", "wikidata", "species", "meta", "global", "wikimedia")
@@ -157,10 +159,39 @@ def import_lines(subclasses: DataFrame, instances: DataFrame, links: DataFrame)
     )
 
 
-def payload(df: DataFrame, per_request: int) -> DataFrame:
-    """``batch``, ``body``: JSON rows for a loader, numbered in requests of ``per_request`` rows by hash of the iri."""
-    n = max(1, -(-df.count() // per_request))
-    return df.select(F.pmod(F.xxhash64("iri"), F.lit(n)).alias("batch"), F.to_json(F.struct(*df.columns)).alias("body"))
+def entity_bodies(entities: DataFrame, edges: DataFrame, namespace: str, label: str, collection: str) -> DataFrame:
+    """``iri``, ``body``: each entity as a JSON row for a loader: classes, label, abstract, literal and object properties
+    and the vector rounded to 6 places. Null and NaN values have no property.
+
+    ``entities``: iri, title, abstract, types, props, vector, one row per iri; ``edges``: s, p, o.
+    """
+
+    def prop(name: Column, kind: str, value: Column) -> Column:
+        return F.to_json(F.struct(name.alias("property"), F.lit(kind).alias("kind"), value.alias("value")))
+
+    literals = {f.name: f.dataType for f in entities.schema["props"].dataType.fields if not isinstance(f.dataType, ArrayType)}
+    values = [(label, F.col("title")), (namespace + "abstract", F.col("abstract"))]
+    values += [(namespace + c, F.nanvl(F.col("props")[c], F.lit(None).cast("double")) if isinstance(t, DoubleType) else F.col("props")[c]) for c, t in sorted(literals.items())]
+    data = F.array_compact(F.array(*[F.when(v.isNotNull(), prop(F.lit(p), "data", v)) for p, v in values]))
+    links = edges.groupBy(F.col("s").alias("iri")).agg(F.array_sort(F.collect_set(prop(F.col("p"), "object", F.col("o")))).alias("links"))
+    vector = F.to_json(F.struct(F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("values"), F.lit(collection).alias("collection")))
+    head = F.regexp_replace(F.to_json(F.struct("iri", F.coalesce("types", F.array().cast("array<string>")).alias("classes"))), r"\}\z", "")
+    listed = F.array_join(F.concat(data, F.coalesce("links", F.array().cast("array<string>"))), ",")
+    tail = F.when(F.col("vector").isNotNull(), F.concat(F.lit(',"vector":'), vector)).otherwise("")
+    return entities.join(links, "iri", "left").select("iri", F.concat(head, F.lit(',"properties":['), listed, F.lit("]"), tail, F.lit("}")).alias("body"))
+
+
+def payload(bodies: DataFrame, per_request: int) -> DataFrame:
+    """``batch``, ``body``: rows numbered in full requests of ``per_request`` rows, only the last one smaller.
+
+    Rows are counted within hash classes of the iri, the classes by prefix sums.
+    """
+    rows = cut(bodies)
+    n = max(1, -(-rows.count() // per_request))
+    rows = rows.withColumn("_c", F.pmod(F.xxhash64("iri"), F.lit(n)))
+    before = rows.groupBy("_c").count().select("_c", F.coalesce(F.sum("count").over(W.orderBy("_c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    placed = rows.withColumn("_r", F.row_number().over(W.partitionBy("_c").orderBy("iri", "body"))).join(before, "_c")
+    return placed.select(F.floor((F.col("_b") + F.col("_r") - 1) / per_request).alias("batch"), "body")
 
 
 def write_manifest(path: str, content: dict) -> None:

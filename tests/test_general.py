@@ -195,6 +195,24 @@ def test_encoded_titles_meet_their_entities(spark):
     assert {(r["iri"].rpartition("/")[2], r["views"]) for r in views.collect()} == {("Café", 3), ("%22Heroes%22", 4), ("100%25_Wolf", 8), ("Plain_(x)", 16)}
 
 
+def test_loader_rows_are_whole_and_requests_bounded(spark):
+    import json
+
+    schema = "iri string, title string, abstract string, types array<string>, props struct<area double, born bigint, place_label array<string>>, vector array<float>"
+    data = [("http://a/0", 'A "b"', "text", ["http://o/T"], (float("nan"), 1901, ["x"]), [0.12345678, 1.0]), ("http://a/1", None, None, None, None, None)]
+    data += [(f"http://a/{i}", "t", "x", ["http://o/T"], (1.5, None, None), [1.0]) for i in range(2, 1000)]
+    edges = spark.createDataFrame([("http://a/0", "http://o/p", "http://a/1")], "s string, p string, o string")
+    got = ntriples.payload(ntriples.entity_bodies(spark.createDataFrame(data, schema), edges, "http://o/", "http://l", "c"), 400).collect()
+    sizes = [sum(r["batch"] == b for r in got) for b in range(3)]
+    assert sizes == [400, 400, 200] and len(got) == 1000
+    by = {r["iri"]: r for r in (json.loads(g["body"]) for g in got)}
+    assert by["http://a/0"] == {
+        "iri": "http://a/0", "classes": ["http://o/T"], "vector": {"values": [0.123457, 1.0], "collection": "c"},
+        "properties": [{"property": "http://l", "kind": "data", "value": 'A "b"'}, {"property": "http://o/abstract", "kind": "data", "value": "text"}, {"property": "http://o/born", "kind": "data", "value": 1901}, {"property": "http://o/p", "kind": "object", "value": "http://a/1"}],
+    }
+    assert by["http://a/1"] == {"iri": "http://a/1", "classes": [], "properties": []}
+
+
 def test_nearest_for_probes(spark):
     rows = spark.createDataFrame([(i, vectors.seeded_vector(str(i % 7), 8).tolist()) for i in range(20)], "id bigint, v array<float>")
     got = vectors.nearest(rows, rows.filter("id < 2"), 3).collect()
