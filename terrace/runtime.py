@@ -70,6 +70,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(2 * cores)
 
 
+LOOKUP_ROWS = 200_000
+SALTS = 32
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with a table that is small by its nature, such as one row per group or per target.
+
+    It is broadcast only if it is counted to have at most ``LOOKUP_ROWS`` rows. Beyond that both sides are shuffled, the
+    small one repeated for each of ``SALTS`` salts, so that a key with a third of all rows is spread over many tasks.
+    """
+    if small.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
+        return big.join(F.broadcast(small), on)
+    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")).join(salted, [*on, "_salt"]).drop("_salt")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
