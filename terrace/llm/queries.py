@@ -26,6 +26,10 @@ def p1_sample(spark: SparkSession, d: str) -> DataFrame:
     return _draw(spark, d).sample
 
 
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    return p1_sample(spark, d).groupBy("draw_id", "cat").agg(F.count("*").alias("drawn"), F.count_distinct("iri").alias("iris"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = similar.vectors(table(spark, d, "entities"), "entity_id", "vector")
     pairs = similar.all_pairs(similar.similar_pairs(rows, 0.95))
@@ -79,5 +83,5 @@ def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     return _quality(spark, d).withColumns({c: F.round(c, 6) for c in rounded})
 
 
-_ALL = (p1_found, p1_report, p1_sample, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_statistics)
+_ALL = (p1_found, p1_report, p1_sample, p1_shares, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_statistics)
 QUERIES = {f.__name__: f for f in _ALL}

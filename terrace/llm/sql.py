@@ -3,12 +3,31 @@
 from __future__ import annotations
 
 _TRIM = r"lower(regexp_replace({0}, '^\s+|\s+$', '', 'g'))"
+_DRAW = "draw_id, build, max_rank"
+_SAME = "a.draw_id IS NOT DISTINCT FROM b.draw_id AND a.build IS NOT DISTINCT FROM b.build AND a.max_rank IS NOT DISTINCT FROM b.max_rank"
 _REPORT = f"""WITH valid AS (SELECT build, iri, rank, {_TRIM.format("bucket")} AS cat
     FROM (SELECT *, row_number() OVER (PARTITION BY build, iri ORDER BY loaded_at DESC NULLS LAST) AS r FROM ranked) WHERE r = 1),
-  target AS (SELECT DISTINCT draw_id, build, max_rank, bucket, {_TRIM.format("bucket")} AS cat,
-    greatest(coalesce(min_rows, 0), coalesce(sample_size, 0)::bigint * coalesce(target_permille, 0) // 1000) AS need FROM sample_targets),
-  report AS (SELECT draw_id, bucket, need, count(iri) AS pool FROM target LEFT JOIN valid
-    ON valid.build = target.build AND valid.cat = target.cat AND valid.rank <= max_rank GROUP BY ALL)"""
+  target AS (SELECT DISTINCT {_DRAW}, bucket, {_TRIM.format("bucket")} AS cat, greatest(coalesce(sample_size, 0), 0)::bigint AS size,
+    greatest(coalesce(target_permille, 0), 0)::bigint AS w, greatest(coalesce(min_rows, 0), 0)::bigint AS m FROM sample_targets),
+  per AS (SELECT {_DRAW}, cat, max(size) AS size, max(w) AS w, max(m) AS m FROM target GROUP BY ALL),
+  pooled AS (SELECT per.*, count(iri) AS pool FROM per LEFT JOIN valid ON valid.build = per.build AND valid.cat = per.cat AND valid.rank <= max_rank GROUP BY ALL),
+  c AS (SELECT *, least(m, pool) AS low, max(size) OVER (PARTITION BY {_DRAW}) AS s FROM pooled),
+  point AS (SELECT DISTINCT {_DRAW}, s, unnest([low / w, pool / w]) AS t FROM c WHERE w > 0),
+  reached AS (SELECT a.draw_id, a.build, a.max_rank, a.s, a.t, sum(CASE WHEN w = 0 THEN low ELSE greatest(low, least(pool, w * t)) END) AS f
+    FROM point a JOIN c b ON {_SAME} GROUP BY ALL),
+  level AS (SELECT {_DRAW}, max(t) AS t FROM reached WHERE f <= s GROUP BY ALL),
+  state AS (SELECT a.*, CASE WHEN w = 0 OR b.t IS NULL OR low / w > b.t THEN 'low' WHEN pool / w <= b.t THEN 'full' ELSE 'open' END AS st FROM c a LEFT JOIN level b ON {_SAME}),
+  rest AS (SELECT *, s - sum(CASE st WHEN 'low' THEN low WHEN 'full' THEN pool ELSE 0 END) OVER (PARTITION BY {_DRAW}) AS r,
+    sum(CASE WHEN st = 'open' THEN w END) OVER (PARTITION BY {_DRAW}) AS ws FROM state),
+  part AS (SELECT *, CASE WHEN st = 'open' THEN r * w // ws END AS p, CASE WHEN st = 'open' THEN r * w % ws END AS x FROM rest),
+  solved AS (SELECT *, CASE st WHEN 'low' THEN low WHEN 'full' THEN pool ELSE p + (row_number() OVER (PARTITION BY {_DRAW} ORDER BY x DESC NULLS LAST, cat)
+    <= r - sum(p) OVER (PARTITION BY {_DRAW}))::int END::bigint AS quota FROM part),
+  summed AS (SELECT *, sum(quota) OVER (PARTITION BY {_DRAW}) AS total, sum(w) OVER (PARTITION BY {_DRAW}) AS weights FROM solved),
+  report AS (SELECT a.draw_id, a.bucket, greatest(a.m, a.size * a.w // 1000) AS need, pool, quota, CASE WHEN weights > 0 THEN round(b.w / weights, 6) END AS target_share,
+    CASE WHEN total > 0 THEN round(quota / total, 6) END AS share,
+    CASE WHEN pool < greatest(a.m, a.size * a.w // 1000) THEN 'pool_below_need' WHEN total > a.size THEN 'minimums_exceed_sample'
+      WHEN quota = pool AND b.w > 0 AND quota * weights < a.w * a.size THEN 'exhausted' WHEN total < a.size THEN 'draw_exhausted' END AS reason
+    FROM target a JOIN summed b ON {_SAME} AND a.cat IS NOT DISTINCT FROM b.cat)"""
 
 _VALID = """valid AS (SELECT build, iri, views::double AS views, languages::double AS languages, score
     FROM (SELECT *, row_number() OVER (PARTITION BY build, iri ORDER BY loaded_at DESC NULLS LAST) AS r FROM ranked) WHERE r = 1)"""
@@ -19,7 +38,8 @@ _LEADS = f"""led AS (SELECT *, count(*) OVER (PARTITION BY build) AS n, {_HIGHER
 
 SQL = {
     "p1_found": f"{_REPORT} SELECT draw_id, bucket FROM report WHERE pool < need",
-    "p1_report": f"{_REPORT} SELECT draw_id, bucket, need, pool, least(need, pool) AS taken, pool < need AS short FROM report",
+    "p1_report": f"{_REPORT} SELECT *, pool < need AS short FROM report",
+    "p1_shares": f"{_REPORT} SELECT draw_id, cat, quota AS drawn, quota AS iris FROM solved WHERE quota > 0",
     "p3_found": """WITH e AS (SELECT DISTINCT entity_id, vector::DOUBLE[] AS v FROM entities
         WHERE len(vector) = 64 AND NOT list_bool_or([isnan(x) OR isinf(x) OR x IS NULL FOR x IN vector]) AND list_dot_product(vector::DOUBLE[], vector::DOUBLE[]) > 0),
       u AS (SELECT entity_id, v, sqrt(list_dot_product(v, v)) AS n FROM e)

@@ -28,10 +28,14 @@ def test_sampling(spark):
     rows += [("b", "j5", "cat", 5, None, None, None, "2", "x", 0), ("b", "k", None, 1, None, None, None, "1", "x", 0), ("b", "l", "dog", None, None, None, None, "1", "x", 0), ("c", "z", "cat", 1, None, None, None, "1", "x", 0)]
     targets = [(1, "b", 50, 40, "Cat", 500, 3), (1, "b", 50, 40, "dog", 10, 6), (1, "b", 50, 40, "fish", 0, 0), (1, "b", 50, 40, "bird", 25, 0), (1, "b", 50, 40, "Cat", 500, 3), (2, "b", 50, None, None, None, 1), (3, "b", 50, 39, "dog", 52, 1)]
     out = sampling.draw(spark.createDataFrame(rows, RANKED), spark.createDataFrame(targets, TARGETS))
-    report = {(r["draw_id"], r["bucket"]): (r["need"], r["pool"], r["taken"], r["short"]) for r in out.report.collect()}
-    assert report == {(1, "Cat"): (20, 51, 20, False), (1, "dog"): (6, 4, 4, True), (1, "fish"): (0, 0, 0, False), (1, "bird"): (1, 0, 0, True), (2, None): (1, 0, 0, True), (3, "dog"): (2, 4, 2, False)}
+    report = {(r["draw_id"], r["bucket"]): (r["need"], r["pool"], r["quota"], r["reason"]) for r in out.report.collect()}
+    # draw 1: 40 rows, dog has 4 of its least 6, bird none; Cat gets all the rest
+    assert report == {
+        (1, "Cat"): (20, 51, 36, None), (1, "dog"): (6, 4, 4, "pool_below_need"), (1, "fish"): (0, 0, 0, None), (1, "bird"): (1, 0, 0, "pool_below_need"),
+        (2, None): (1, 0, 0, "pool_below_need"), (3, "dog"): (2, 4, 4, "exhausted"),
+    }
     sample = out.sample.collect()
-    assert len({(r["draw_id"], r["iri"]) for r in sample}) == len(sample) == 26
+    assert len({(r["draw_id"], r["iri"]) for r in sample}) == len(sample) == 44
     again = sampling.draw(spark.createDataFrame(rows, RANKED).repartition(7), spark.createDataFrame(targets, TARGETS)).sample
     assert as_set(again) == {tuple(r) for r in sample}
 
@@ -47,6 +51,44 @@ def test_sampling_is_uniform_and_mergeable(spark, monkeypatch):
     assert empty.sample.count() == 0 and empty.report.count() == 0
 
 
+def brute_quotas(size, cats):
+    """(weight, least, pool) -> real quotas by bisection on the common level."""
+    low = [min(m, p) for _, m, p in cats]
+    at = lambda t: [lo if w == 0 else max(lo, min(p, w * t)) for lo, (w, _, p) in zip(low, cats)]
+    if sum(low) >= size:
+        return low
+    a, b = 0.0, 1e9
+    for _ in range(200):
+        a, b = ((a + b) / 2, b) if sum(at((a + b) / 2)) <= size else (a, (a + b) / 2)
+    return at(a)
+
+
+def test_quotas_are_within_a_row_of_the_solution(spark):
+    rng = random.Random(11)
+    draws = {d: (rng.choice([0, 10, 100, 1000]), [(rng.choice([0, 1, 40, 333]), rng.choice([0, 0, 5, 60]), rng.choice([0, 3, 50, 700])) for _ in range(rng.randrange(1, 9))]) for d in range(60)}
+    rows = [(d, "b", 9, f"c{k}", size, w, m, p) for d, (size, cats) in draws.items() for k, (w, m, p) in enumerate(cats)]
+    df = spark.createDataFrame(rows, "draw_id bigint, build string, max_rank int, cat string, size bigint, weight bigint, least bigint, pool bigint")
+    got = {}
+    for r in sampling.solve(df).collect():
+        got.setdefault(r["draw_id"], {})[r["cat"]] = r["quota"]
+    for d, (size, cats) in draws.items():
+        want, mine = brute_quotas(size, cats), [got[d][f"c{k}"] for k in range(len(cats))]
+        assert all(abs(q - w) < 1 + 1e-6 for q, w in zip(mine, want))
+        feasible = sum(p if w else min(m, p) for w, m, p in cats)
+        assert sum(mine) == max(sum(min(m, p) for _, m, p in cats), min(size, feasible))
+
+
+def test_reservoirs_keep_the_least_whatever_the_batches(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    whole = pd.DataFrame({"draw_id": 1, "build": "b", "max_rank": 9, "cat": rng.choice(["x", "y"], 60_000), "iri": [f"i{k}" for k in range(60_000)], "rank": 1, "prio": rng.permutation(60_000), "need": 70})
+    out = pd.concat(sampling._reservoirs(iter([whole[k : k + 7_000] for k in range(0, 60_000, 7_000)])))
+    for cat in "xy":
+        mine = out[out["cat"] == cat]
+        assert sorted(mine["prio"].dropna()) == sorted(whole[whole["cat"] == cat]["prio"])[:70] and mine["n"].sum() == (whole["cat"] == cat).sum()
+
+
 # ---------------------------------------------------------------- p6
 
 
