@@ -14,7 +14,7 @@ def _split(spark: SparkSession, d: str) -> badrows.Parsed:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return hierarchy.components(hierarchy.links(table(spark, d, "hierarchy_parents"))).select("cls")
+    return hierarchy.cyclic_classes(table(spark, d, "hierarchy_parents"))
 
 
 def _hierarchy(spark: SparkSession, d: str) -> hierarchy.Hierarchy:
@@ -22,12 +22,13 @@ def _hierarchy(spark: SparkSession, d: str) -> hierarchy.Hierarchy:
 
 
 def p2_hierarchy(spark: SparkSession, d: str) -> DataFrame:
-    nodes = _hierarchy(spark, d).nodes
-    return nodes.select("cls", "component", "in_cycle", "depth", "root", F.array_join("path", " > ").alias("path"), "n_below")
+    h = _hierarchy(spark, d)
+    return h.nodes.join(h.paths(), "component").select("cls", "component", "in_cycle", "depth", "root", F.array_join("path", " > ").alias("path"), "n_below")
 
 
 def p2_ranges(spark: SparkSession, d: str) -> DataFrame:
-    return _hierarchy(spark, d).nodes.select("cls", "component", F.col("pre").alias("range_from"), F.col("last").alias("range_to"))
+    """The pairs that the nested ranges hold: a component and each of its descendants in the forest."""
+    return hierarchy.contained(_hierarchy(spark, d))
 
 
 def p2_descendants(spark: SparkSession, d: str) -> DataFrame:
@@ -90,7 +91,11 @@ _FOREST = f"""WITH RECURSIVE {_LINKS}, {_REACH},
     WHERE a.component <> b.component),
   up AS (SELECT c, min(p) AS p FROM lifted GROUP BY c),
   walk AS (SELECT DISTINCT component AS c, component AS root, component AS path, 0 AS depth FROM node WHERE component NOT IN (SELECT c FROM up)
-    UNION ALL SELECT up.c, walk.root, walk.path || ' > ' || up.c, walk.depth + 1 FROM walk JOIN up ON up.p = walk.c)"""
+    UNION ALL SELECT up.c, walk.root, walk.path || ' > ' || up.c, walk.depth + 1 FROM walk JOIN up ON up.p = walk.c),
+  pair AS (SELECT DISTINCT b.component AS component, a.component AS below
+    FROM reach JOIN node a ON reach.c = a.cls JOIN node b ON reach.p = b.cls WHERE a.component <> b.component),
+  under AS (SELECT component, count(*) AS n FROM pair GROUP BY 1),
+  tree AS (SELECT a.c AS component, b.c AS below FROM walk a JOIN walk b ON a.c <> b.c AND starts_with(b.path, a.path || ' > '))"""
 
 _COLUMNS = {
     "area_km2": "float", "attendance": "int", "birth_date": "date", "catalogue_code": "string", "death_date": "date", "elevation_m": "float",
@@ -112,10 +117,10 @@ SQL = {
     "p2_found": f"WITH RECURSIVE {_LINKS}, {_REACH} SELECT c AS cls FROM reach WHERE c = p",
     "p2_hierarchy": _FOREST + """
       SELECT node.cls, node.component, node.in_cycle, walk.depth, walk.root, walk.path,
-        (SELECT count(*) FROM walk w WHERE starts_with(w.path, walk.path || ' > ')) AS n_below
-      FROM node JOIN walk ON node.component = walk.c""",
-    "p2_descendants": f"""{_FOREST} SELECT DISTINCT b.component AS component, a.component AS below
-      FROM reach JOIN node a ON reach.c = a.cls JOIN node b ON reach.p = b.cls WHERE a.component <> b.component""",
+        coalesce(under.n, 0) AS n_below
+      FROM node JOIN walk ON node.component = walk.c LEFT JOIN under ON node.component = under.component""",
+    "p2_descendants": f"{_FOREST} SELECT component, below FROM pair",
+    "p2_ranges": f"{_FOREST} SELECT component, below FROM tree",
     "p4_found": rf"""SELECT line_id FROM mappingbased_objects WHERE NOT coalesce(o <> '' AND (
       (o_is_iri AND lang IS NULL AND datatype IS NULL AND regexp_full_match(o, '{_IRI}'))
       OR (NOT o_is_iri AND lang IS NULL AND datatype IS NULL AND regexp_full_match(o, '_:[A-Za-z0-9]+'))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dir: str | None = None
@@ -46,6 +46,13 @@ def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return back.select([F.col(_quoted(f.name)) for f in schema.fields])
 
 
+def cut_counting(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
+    """``cut`` with aggregates of the rows taken while they are written, so that no further job reads them."""
+    seen = Observation()
+    out = cut(df.observe(seen, *[m.alias(name) for name, m in measures.items()]))
+    return out, seen.get
+
+
 def drop_cut(df: DataFrame) -> None:
     """Remove the files of a table made by ``cut`` that nothing reads any more."""
     spark = df.sparkSession

@@ -6,6 +6,7 @@ import pytest
 
 from terrace.operators import badrows, graph, hierarchy, ranking, vectors, widen
 from terrace.sources import ntriples
+from terrace import runtime
 from terrace.functions import text
 from tests.conftest import as_set
 from pyspark.sql import functions as F
@@ -33,23 +34,71 @@ def brute_components(links):
 PARENTS = "cls string, parent string, via string, loaded_at string"
 
 
-@pytest.mark.parametrize("local", [200_000, 0])
-def test_cycles_in_one_task_and_by_contraction(spark, local):
-    rng = random.Random(3)
+@pytest.mark.parametrize("seed", [3, 4])
+def test_cycles_by_contraction(spark, seed):
+    rng = random.Random(seed)
     links = [(f"n{i}", f"n{(i + 1) % 9}") for i in range(9)] + [("s", "s"), ("a", "b"), ("b", "a"), ("b", "n0"), ("n3", "m"), ("m", "top"), ("x", "y"), ("y", "x"), ("y", "z"), ("z", "y")]
     links += [(f"r{rng.randrange(12)}", f"r{rng.randrange(12)}") for _ in range(16)]
     rows = [(f" {c} ", p, "v", "") for c, p in links] * 2 + [("lone", None, "v", ""), ("lone", " ", "v", ""), (None, "n0", "v", "")]
-    got = as_set(hierarchy.components(hierarchy.links(spark.createDataFrame(rows, PARENTS)), local))
-    assert dict(got) == brute_components(set(links)) and len(got) == len(dict(got))
+    links += [(f"q{i}", f"q{i + 1}") for i in range(40)] + [("q13", "q12"), ("r1", "q0"), ("t0", "t1"), ("t1", "t2"), ("t2", "t0"), ("t1", "q5"), ("k0", "k1"), ("k1", "k2"), ("k2", "k3"), ("k3", "k0"), ("k0", "k9"), ("k2", "k8"), ("k7", "k1")]
+    rows += [(c, p, "v", "") for c, p in links[len(rows) // 2 :]]
+    df = spark.createDataFrame(rows, PARENTS)
+    g = hierarchy.numbered(hierarchy.links(df))
+    name = dict(as_set(g.names))
+    got = [(name[r["node"]], name[r["component"]]) for r in hierarchy.components(g.edges).collect()]
+    want = brute_components({(c.strip(), p.strip()) for c, p, *_ in rows if c and p and p.strip()})
+    assert dict(got) == want and len(got) == len(dict(got)) and {x for (x,) in as_set(hierarchy.cyclic_classes(df))} == set(want)
+
+
+def test_long_chains_take_few_tables(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(hierarchy, "cut", lambda df: tables.append(1) or runtime.cut(df))
+    monkeypatch.setattr(hierarchy, "cut_counting", lambda df, **m: tables.append(1) or runtime.cut_counting(df, **m))
+    n = 10_000
+    parents = spark.range(n).selectExpr("format_string('c%05d', id + 1) as cls", "format_string('c%05d', id) as parent", "'v' as via", "'' as loaded_at")
+    parents = parents.union(spark.createDataFrame([("c00000", "r", "v", ""), ("x", "c09990", "v", ""), ("x", "c00003", "v", ""), ("y", "x", "v", "")], PARENTS))
+    h = hierarchy.build(parents.select("cls"), parents)
+    assert len(tables) < 40
+    got = {r["cls"]: r for r in h.nodes.filter("cls in ('r', 'c00000', 'c00004', 'c10000', 'c09990', 'x')").collect()}
+    assert got["r"]["n_below"] == n + 3 and got["c10000"]["depth"] == n + 1 and got["c00004"]["n_below"] == n - 4 + 2 - 2 + 2 and got["x"]["depth"] == 5
+    assert got["c09990"]["n_below"] == 12 and all(r["root"] == "r" and not r["in_cycle"] for r in got.values())
+
+
+def test_hierarchies_against_brute_force(spark):
+    rng = random.Random(8)
+    nodes = [f"n{k:02d}" for k in range(40)]
+    links = {(nodes[rng.randrange(1, 40)], nodes[rng.randrange(40)]) for _ in range(12)} | {(nodes[k], nodes[rng.randrange(k)]) for k in range(5, 40) for _ in range(rng.choice([1, 1, 2, 3]))}
+    h = hierarchy.build(spark.createDataFrame([(x,) for x in nodes], "cls string"), spark.createDataFrame([(c, p, "v", "") for c, p in links], PARENTS))
+    comp = brute_components(links)
+    of = lambda x: comp.get(x, x)
+    below = {}
+    for c, p in links:
+        below.setdefault(of(p), set()).add(of(c))
+    want = set()
+    for start in {of(x) for x in nodes}:
+        todo, seen = [start], set()
+        while todo:
+            for y in below.get(todo.pop(), ()):
+                if y != start and y not in seen:
+                    seen.add(y)
+                    todo.append(y)
+        want |= {(start, y) for y in seen}
+    got = [tuple(r) for r in hierarchy.descendants(h).collect()]
+    assert set(got) == want and len(got) == len(want)
+    count = {r["component"]: r["n_below"] for r in h.nodes.collect()}
+    assert count == {c: sum(a == c for a, _ in want) for c in count}
+    path = {r["component"]: r["path"] for r in h.paths().collect()}
+    tree = as_set(hierarchy.contained(h))
+    assert tree == {(a, b) for b, p in path.items() for a in p[:-1]} and tree <= want and set(path) == set(count)
 
 
 def test_hierarchy_paths_ranges_and_descendants(spark):
     parents = [("kbo:B", "http://kb.example/ontology/A"), ("kbo:C", "kbo:B"), ("kbo:D", "kbo:B"), ("kbo:E", "kbo:D"), ("kbo:E", "kbo:Z"), ("kbo:U", "kbo:V"), ("kbo:V", "kbo:U"), ("kbo:W", "kbo:U")]
     classes = spark.createDataFrame([("kbo:A", None, 1), ("kbo:Q", "q", 2), ("kbo:A", None, 1)], "cls string, cls_label string, parent int")
     h = hierarchy.build(classes, spark.createDataFrame([(c, p, "v", "") for c, p in parents], PARENTS))
-    n = {r["cls"].rsplit("/", 1)[1]: r for r in h.nodes.collect()}
+    n = {r["cls"].rsplit("/", 1)[1]: r for r in h.nodes.join(h.paths(), "component").collect()}
     assert [x.rsplit("/", 1)[1] for x in n["E"]["path"]] == ["A", "B", "D", "E"] and n["E"]["depth"] == 3
-    assert n["A"]["n_below"] == 4 and n["B"]["pre"] > n["A"]["pre"] and n["E"]["pre"] <= n["B"]["last"] <= n["A"]["last"]
+    assert n["A"]["n_below"] == 4 and n["Z"]["n_below"] == 1 and n["B"]["pre"] > n["A"]["pre"] and n["E"]["pre"] <= n["B"]["last"] <= n["A"]["last"]
     assert n["U"]["component"] == n["V"]["component"] and n["V"]["in_cycle"] and not n["W"]["in_cycle"] and n["W"]["depth"] == 1
     assert sorted({(r["pre"]) for r in n.values()}) == list(range(len({r["component"] for r in n.values()})))
     below = {(r["component"].rsplit("/", 1)[1], r["below"].rsplit("/", 1)[1]) for r in hierarchy.descendants(h).collect()}
