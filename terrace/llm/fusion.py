@@ -2,28 +2,39 @@
 
 Each score is standardised robustly within its build (median and median absolute deviation, heavy-tailed counts on a
 log scale), squashed by the logistic function to (0, 1), and the bounded values are combined by a weighted geometric
-mean. Medians, deviations and places are exact: values are first counted, then ranked in bins of a build, so neither a
-build that holds a third of all rows nor a value shared by many rows is ranked in one task.
-
-Defined results: for each (build, iri) the row loaded last is valid; null and NaN scores are lower than all others
-and squash to ``FLOOR``; a deviation of 0 counts as 1; equal combined values share a place; empty tables give empty
-results; rows with null build form a build of their own.
+mean. All is done with the logarithms of the bounded values, which neither round to 1 nor to 0, so no clamp is needed
+and the mean is a weighted sum.
+
+Medians, deviations and leading values are exact order statistics. A mergeable sketch brackets each within a small
+share of the ranks; one pass then counts what lies below the bracket and the values inside, where the ranks are read
+off. A bracket that should miss is taken again without bounds. No build is ever sorted or gathered: what is shuffled
+are sketches and counts. Places come from ranges of the combined value over all builds, bounded in size.
+
+Defined results: for each (build, iri) the row loaded last is valid; scores are compared as doubles; a null or NaN
+score is lower than all others, its bounded value is half of the least one of the build (one half, if there is none); a
+deviation of 0 counts as 1; equal combined values share a place; empty tables give empty results; rows with null build
+form a build of their own.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrace.llm.sampling import valid_rows
-from terrace.runtime import cut
+from terrace.runtime import cut, cut_counting, lookup_join
 
-BINS = 256
-FLOOR = 0.0005
 MAD_SCALE = 1.4826
+ACCURACY, SLACK = 5_000, 0.001
+RANGE_ROWS = 1_000_000
+#: A row leads a score if fewer than one in so many rows of its build are strictly higher.
+LEAD_SHARE = 50
+LOWEST = float("-inf")
 
 
 @dataclass(frozen=True)
@@ -32,100 +43,116 @@ class Score:
     weight: float
     log: bool = False
 
+    def scaled(self, value: Column) -> Column:
+        return F.signum(value) * F.log1p(F.abs(value)) if self.log else value
+
 
 SCORES = (Score("views", 0.4, log=True), Score("languages", 0.3, log=True), Score("score", 0.3))
-#: A row leads a score if fewer than this share of its build is strictly higher.
-LEAD_SHARE = 50
 
 
-def value_places(rows: DataFrame, group: list[str], value: str) -> DataFrame:
-    """Distinct values of each group: ``n`` rows have it, ``lower`` rows are strictly lower, ``total`` rows in all."""
-    return _places(cut(rows.groupBy(*group, value).agg(F.count("*").alias("n"))), group, value)
+@dataclass(frozen=True)
+class Ask:
+    """The values of ``value`` at the ascending positions (from 1) that ``at`` gives for the number of its values;
+    ``share`` says about which part of them lies below."""
+
+    name: str
+    value: Column
+    share: float
+    at: Callable[[Column], tuple[Column, Column]]
 
 
-def _places(counted: DataFrame, group: list[str], value: str) -> DataFrame:
-    cuts = [i / BINS for i in range(1, BINS)]
-    edges = cut(counted.groupBy(*group).agg(F.percentile_approx(value, cuts, 2000).alias("_edges"), F.sum("n").alias("total")))
-    same = [counted[g].eqNullSafe(edges[g]) for g in group]
-    on = same[0]
-    for one in same[1:]:
-        on = on & one
-    binned = counted.join(edges, on).select(*[counted[g] for g in group], counted[value], "n", "total", F.size(F.filter("_edges", lambda e: e < F.col(value))).alias("_bin"))
-    sums = binned.groupBy(*group, "_bin").agg(F.sum("n").alias("_n"))
-    base = sums.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_bin").alias("_b"), F.sum("_n").over(W.partitionBy(*group).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)).alias("_base"))
-    within = binned.withColumn("_before", F.sum("n").over(W.partitionBy(*group, "_bin").orderBy(value).rowsBetween(W.unboundedPreceding, -1)))
-    on = F.col("_bin") == F.col("_b")
-    for g in group:
-        on = on & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    return within.join(base, on).select(*group, value, "n", (F.coalesce("_before", F.lit(0)) + F.coalesce("_base", F.lit(0))).alias("lower"), "total")
+def middle(count: Column) -> tuple[Column, Column]:
+    return F.floor((count + 1) / 2), F.floor((count + 2) / 2)
 
 
-def medians(places: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
-    """Exact median of each group: the mean of the two middle rows."""
-    holds = lambda pos: (F.col("lower") < pos) & (pos <= F.col("lower") + F.col("n"))
-    low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    middle = places.filter(holds(low) | holds(high))
-    return middle.groupBy(*group).agg(((F.min(value) + F.max(value)) / 2).alias(name))
+def order_statistics(rows: DataFrame, key: str, asks: list[Ask], *more: Column) -> DataFrame:
+    """``key``, for each ask ``{name}_low`` and ``{name}_high``, and the aggregates ``more``."""
+    values = rows.select(key, *[a.value.alias(f"v{i}") for i, a in enumerate(asks)])
+    brackets = [[max(a.share - SLACK, 0.0), min(a.share + SLACK, 1.0)] for a in asks]
+    sketch = rows.groupBy(key).agg(
+        *[F.count(a.value).alias(f"c{i}") for i, a in enumerate(asks)], *[F.percentile_approx(a.value, b, ACCURACY).alias(f"b{i}") for i, (a, b) in enumerate(zip(asks, brackets))], *more
+    )
+    sketch = cut(sketch)
+    positions = F.array(*[F.struct(*[x.cast("bigint").alias(n) for x, n in zip(a.at(F.col(f"c{i}")), ("first", "last"))]) for i, a in enumerate(asks)])
+    bounds = sketch.select(key, *[F.col(f"b{i}")[j].alias(f"{n}{i}") for i in range(len(asks)) for j, n in enumerate(("lo", "hi"))])
+    places = sketch.select(F.col(key).alias("_key"), positions.alias("at"))
+
+    def within(limits: DataFrame) -> DataFrame:
+        pieces = [F.struct(F.lit(i).alias("ask"), F.when(F.col(f"v{i}") >= F.col(f"lo{i}"), F.col(f"v{i}")).alias("x"), (F.col(f"v{i}") <= F.col(f"hi{i}")).alias("ok")) for i in range(len(asks))]
+        seen = lookup_join(values, limits, [key]).select(key, F.explode(F.array(*pieces)).alias("p")).filter("p.ok")
+        counted = seen.groupBy(key, "p.ask", "p.x").agg(F.count("*").alias("c"))
+        upto = F.sum("c").over(W.partitionBy(key, "ask").orderBy(F.col("x").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0))
+        met = counted.withColumn("upto", upto).join(places, F.col(key) == F.col("_key")).withColumn("at", F.col("at")[F.col("ask")])
+        near = met.filter("x is not null and upto >= at.first and upto - c < at.last")
+        read = near.groupBy(key, "ask", "at").agg(F.min("x").alias("low"), F.max("x").alias("high"), F.min(F.col("upto") - F.col("c")).alias("below"), F.max("upto").alias("upto"))
+        return read.filter("below < at.first and upto >= at.last").select(key, "ask", "low", "high")
+
+    found = cut(within(bounds))
+    due = places.select(F.col("_key").alias(key), F.posexplode("at").alias("ask", "a")).filter("a.first > 0").join(found, [key, "ask"], "left_anti")
+    due, seen = cut_counting(due, n=F.count("*"))
+    if seen["n"]:
+        open_ = lambda i, bound: F.max(F.when(F.col("ask") == i, F.lit(bound)))
+        found = found.union(within(due.groupBy(key).agg(*[open_(i, b).alias(f"{n}{i}") for i in range(len(asks)) for n, b in (("lo", LOWEST), ("hi", math.inf))])))
+    wide = found.groupBy(key).agg(*[F.max(F.when(F.col("ask") == i, F.col(end))).alias(f"{a.name}_{end}") for i, a in enumerate(asks) for end in ("low", "high")])
+    return sketch.select(key, *[c for c in sketch.columns if c != key and c not in {f"{x}{i}" for x in "bc" for i in range(len(asks))}]).join(wide, key, "left")
+
+
+def log_logistic(z: Column) -> Column:
+    """ln(1 / (1 + exp(-z))), without overflow on either side and growing with z throughout."""
+    return F.when(z > 0, -F.log1p(F.exp(-z))).otherwise(z - F.log1p(F.exp(z)))
 
 
 def fuse(ranked: DataFrame, scores: tuple[Score, ...] = SCORES) -> DataFrame:
-    """build, iri, the scores, ``fused``, ``place`` (1 is best) and ``leads`` (strictly led by fewer than 1/50 in each)."""
-    rows = valid_rows(ranked, *[s.name for s in scores])
-    clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-    rows = cut(rows.select("build", "iri", *[clean(s.name).alias(s.name) for s in scores]))
-    lowest = float("-inf")
-    long = rows.select(
-        "build", F.explode(F.array(*[F.struct(F.lit(s.name).alias("m"), F.coalesce(F.col(s.name), F.lit(lowest)).alias("v")) for s in scores])).alias("x")
-    ).select("build", "x.m", "x.v")
-    places = cut(value_places(long, ["build", "m"], "v"))
-    leading = places.filter((F.col("total") - F.col("lower") - F.col("n")) * LEAD_SHARE < F.col("total")).groupBy("build", "m").agg(F.min("v").alias("least"))
-
-    # medians leave out what has no value; the logarithm keeps the order, so both come from the same places
-    is_log = F.col("m").isin([s.name for s in scores if s.log])
-    scaled = lambda v: F.when(is_log, F.signum(v) * F.log1p(F.abs(v))).otherwise(v)
-    none = places.filter(F.col("v") == lowest).select(F.col("build").alias("_b"), F.col("m").alias("_m"), F.col("n").alias("_none"))
-    known = (
-        places.filter(F.col("v") > lowest).join(none, F.col("build").eqNullSafe(F.col("_b")) & (F.col("m") == F.col("_m")), "left")
-        .withColumn("_none", F.coalesce("_none", F.lit(0)))
-        .select("build", "m", scaled(F.col("v")).alias("x"), "n", (F.col("lower") - F.col("_none")).alias("lower"), (F.col("total") - F.col("_none")).alias("total"))
-    )
-    med = cut(medians(known, ["build", "m"], "x", "med"))
-    med_on = med.select(F.col("build").alias("_b"), F.col("m").alias("_m"), "med")
-    away = known.join(med_on, F.col("build").eqNullSafe(F.col("_b")) & (F.col("m") == F.col("_m"))).select("build", "m", F.abs(F.col("x") - F.col("med")).alias("dev"), "n")
-    mad = medians(value_places_weighted(away, ["build", "m"], "dev"), ["build", "m"], "dev", "mad")
-
-    stats = leading.withColumnRenamed("build", "_b").withColumnRenamed("m", "_m")
-    every = (
-        stats.join(med.withColumnsRenamed({"build": "_b2", "m": "_m2"}), F.col("_b").eqNullSafe(F.col("_b2")) & (F.col("_m") == F.col("_m2")), "left")
-        .join(mad.withColumnsRenamed({"build": "_b3", "m": "_m3"}), F.col("_b").eqNullSafe(F.col("_b3")) & (F.col("_m") == F.col("_m3")), "left")
-    )
-    pick = lambda c, s: F.max(F.when(F.col("_m") == s.name, F.col(c))).alias(f"_{c}_{s.name}")
-    per_build = cut(every.groupBy("_b").agg(*[pick(c, s) for s in scores for c in ("least", "med", "mad")]))
+    """build, iri, the scores, ``log_fused`` (logarithm of the combined value), ``fused`` and ``leads`` (in each score
+    fewer than 1/50 of the build are strictly higher).
 
-    def squashed(s: Score):
-        x = F.col(s.name)
-        x = F.signum(x) * F.log1p(F.abs(x)) if s.log else x
-        spread = F.col(f"_mad_{s.name}") * MAD_SCALE
-        z = (x - F.col(f"_med_{s.name}")) / F.when(spread > 0, spread).otherwise(1.0)
-        return F.greatest(F.coalesce(1 / (1 + F.exp(-z)), F.lit(FLOOR)), F.lit(FLOOR))
+    Rows that lead are found by the ranking: all steps from score to combined value keep the order, so a row that
+    leads every score has bounded values and a combined value of at least those of the leading values; on such rows the
+    scores themselves decide, as different scores may have equal bounded values.
+    """
+    rows = valid_rows(ranked, *[s.name for s in scores])
+    clean = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double") + F.lit(0.0))
+    rows = cut(rows.select(F.coalesce(F.concat(F.lit("b"), F.col("build").cast("string")), F.lit("n")).alias("_b"), "build", "iri", *[clean(s.name).alias(s.name) for s in scores]))
+    filled = {s.name: F.coalesce(F.col(s.name), F.lit(LOWEST)) for s in scores}
+
+    def leading(count: Column) -> tuple[Column, Column]:
+        at = count - F.ceil(count / LEAD_SHARE) + 1
+        return at, at
+
+    asks = [Ask(f"med_{s.name}", F.col(s.name), 0.5, middle) for s in scores] + [Ask(f"lead_{s.name}", filled[s.name], 1 - 1 / LEAD_SHARE, leading) for s in scores]
+    first = order_statistics(rows, "_b", asks, *[F.min(s.name).alias(f"min_{s.name}") for s in scores])
+    median = lambda s: (s.scaled(F.col(f"med_{s.name}_low")) + s.scaled(F.col(f"med_{s.name}_high"))) / 2
+    first = cut(first.select("_b", *[median(s).alias(f"med_{s.name}") for s in scores], *[F.col(f"lead_{s.name}_low").alias(f"lead_{s.name}") for s in scores], *[f"min_{s.name}" for s in scores]))
+    away = lookup_join(rows, first, ["_b"]).select("_b", *[F.abs(s.scaled(F.col(s.name)) - F.col(f"med_{s.name}")).alias(s.name) for s in scores])
+    second = order_statistics(away, "_b", [Ask(s.name, F.col(s.name), 0.5, middle) for s in scores])
+    mad = lambda s: (F.col(f"{s.name}_low") + F.col(f"{s.name}_high")) / 2 * MAD_SCALE
+    spread = lambda s: F.when(mad(s) > 0, mad(s)).otherwise(1.0)
+    stats = cut(first.join(second.select("_b", *[spread(s).alias(f"spread_{s.name}") for s in scores]), "_b"))
+
+    def bounded(s: Score, value: Column) -> Column:
+        one = lambda v: log_logistic((s.scaled(v) - F.col(f"med_{s.name}")) / F.col(f"spread_{s.name}"))
+        none = F.coalesce(one(F.col(f"min_{s.name}")), F.lit(0.0)) - math.log(2)
+        return F.when(value > LOWEST, one(value)).otherwise(none)
 
     total = sum(s.weight for s in scores)
-    mean = sum((F.log(squashed(s)) * (s.weight / total) for s in scores), F.lit(0.0))
-    leads = F.lit(True)
+    mean = lambda parts: sum((p * (s.weight / total) for s, p in zip(scores, parts)), F.lit(0.0))
+    stats = cut(stats.select("*", *[bounded(s, F.col(f"lead_{s.name}")).alias(f"at_{s.name}") for s in scores]).withColumn("at", mean([F.col(f"at_{s.name}") for s in scores])))
+    joined = lookup_join(rows, stats, ["_b"]).select("*", *[bounded(s, F.col(s.name)).alias(f"is_{s.name}") for s in scores]).withColumn("log_fused", mean([F.col(f"is_{s.name}") for s in scores]))
+    near, leads = F.col("log_fused") >= F.col("at"), F.lit(True)
     for s in scores:
-        leads = leads & (F.coalesce(F.col(s.name), F.lit(lowest)) >= F.col(f"_least_{s.name}"))
-    joined = rows.join(per_build, F.col("build").eqNullSafe(F.col("_b")))
-    return joined.select("build", "iri", *[s.name for s in scores], F.round(F.exp(mean), 9).alias("fused"), leads.alias("leads"))
-
-
-def value_places_weighted(values: DataFrame, group: list[str], value: str) -> DataFrame:
-    """``value_places`` of values that stand for ``n`` rows each."""
-    counted = cut(values.groupBy(*group, value).agg(F.sum("n").alias("n")))
-    return _places(counted, group, value)
+        near = near & (F.col(f"is_{s.name}") >= F.col(f"at_{s.name}"))
+        leads = leads & (filled[s.name] >= F.col(f"lead_{s.name}"))
+    return joined.select("build", "iri", *[s.name for s in scores], "log_fused", F.exp("log_fused").alias("fused"), (near & leads).alias("leads"))
 
 
 def with_places(fused: DataFrame) -> DataFrame:
     """Adds ``place``: 1 plus the number of rows of the build with a strictly higher combined value."""
-    fused = cut(fused)
-    places = value_places(fused, ["build"], "fused").select(F.col("build").alias("_b"), F.col("fused").alias("_f"), (F.col("total") - F.col("lower") - F.col("n") + 1).alias("place"))
-    return fused.join(places, F.col("build").eqNullSafe(F.col("_b")) & (F.col("fused") == F.col("_f"))).drop("_b", "_f")
+    fused, seen = cut_counting(fused.withColumn("_b", F.coalesce(F.concat(F.lit("b"), F.col("build").cast("string")), F.lit("n"))), n=F.count("*"))
+    counted = fused.groupBy("_b", "log_fused").agg(F.count("*").alias("n"))
+    ranges = counted.repartitionByRange(max(1, -(-seen["n"] // RANGE_ROWS)), "_b", F.desc("log_fused"))
+    ranges = cut(ranges.select("*", F.spark_partition_id().alias("_range")))
+    over = ranges.groupBy("_b", "_range").agg(F.sum("n").alias("_n"))
+    before = over.select("_b", "_range", F.coalesce(F.sum("_n").over(W.partitionBy("_b").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    here = F.coalesce(F.sum("n").over(W.partitionBy("_b", "_range").orderBy(F.desc("log_fused")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    places = lookup_join(ranges.withColumn("_here", here), before, ["_b", "_range"]).select("_b", "log_fused", (F.col("_before") + F.col("_here") + 1).alias("place"))
+    return fused.join(places, ["_b", "log_fused"]).drop("_b")

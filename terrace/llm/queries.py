@@ -47,7 +47,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_ranking(spark: SparkSession, d: str) -> DataFrame:
-    return fusion.with_places(fusion.fuse(table(spark, d, "ranked"))).select("build", "iri", "place", "fused", "leads")
+    return fusion.with_places(fusion.fuse(table(spark, d, "ranked"))).select("build", "iri", "place", F.round("fused", 9).alias("fused"), "leads")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

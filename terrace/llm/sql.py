@@ -36,6 +36,8 @@ _LEADS = f"""led AS (SELECT *, count(*) OVER (PARTITION BY build) AS n, {_HIGHER
     {_HIGHER.format("score")} AS hs FROM valid),
   lead AS (SELECT build, iri, hv * 50 < n AND hl * 50 < n AND hs * 50 < n AS leads FROM led)"""
 
+_BOUNDED = "-ln(1 + exp(-(x.{0} - med.{0}) / CASE WHEN mad.{0} > 0 THEN mad.{0} * 1.4826 ELSE 1 END)) AS {0}"
+
 SQL = {
     "p1_found": f"{_REPORT} SELECT draw_id, bucket FROM report WHERE pool < need",
     "p1_report": f"{_REPORT} SELECT *, pool < need AS short FROM report",
@@ -58,12 +60,10 @@ SQL = {
       med AS (SELECT build, median(v) AS v, median(l) AS l, median(s) AS s FROM x GROUP BY 1),
       mad AS (SELECT x.build, median(abs(x.v - med.v)) AS v, median(abs(x.l - med.l)) AS l, median(abs(x.s - med.s)) AS s
         FROM x JOIN med ON x.build IS NOT DISTINCT FROM med.build GROUP BY 1),
-      q AS (SELECT x.build, x.iri,
-          greatest(coalesce(1 / (1 + exp(-(x.v - med.v) / CASE WHEN mad.v > 0 THEN mad.v * 1.4826 ELSE 1 END)), 0.0005), 0.0005) AS v,
-          greatest(coalesce(1 / (1 + exp(-(x.l - med.l) / CASE WHEN mad.l > 0 THEN mad.l * 1.4826 ELSE 1 END)), 0.0005), 0.0005) AS l,
-          greatest(coalesce(1 / (1 + exp(-(x.s - med.s) / CASE WHEN mad.s > 0 THEN mad.s * 1.4826 ELSE 1 END)), 0.0005), 0.0005) AS s
+      q AS (SELECT x.build, x.iri, {", ".join(_BOUNDED.format(c) for c in "vls")}
         FROM x JOIN med ON x.build IS NOT DISTINCT FROM med.build JOIN mad ON x.build IS NOT DISTINCT FROM mad.build),
-      f AS (SELECT build, iri, round(exp(0.4 * ln(v) + 0.3 * ln(l) + 0.3 * ln(s)), 9) AS fused FROM q)
-      SELECT f.build, f.iri, rank() OVER (PARTITION BY f.build ORDER BY fused DESC) AS place, fused, leads
+      low AS (SELECT build, iri, {", ".join(f"coalesce({c}, min({c}) OVER (PARTITION BY build) - ln(2), -ln(2)) AS {c}" for c in "vls")} FROM q),
+      f AS (SELECT build, iri, 0.4 * v + 0.3 * l + 0.3 * s AS fused FROM low)
+      SELECT f.build, f.iri, rank() OVER (PARTITION BY f.build ORDER BY fused DESC) AS place, round(exp(fused), 9) AS fused, leads
       FROM f JOIN lead ON f.build IS NOT DISTINCT FROM lead.build AND f.iri = lead.iri""",
 }

@@ -97,7 +97,7 @@ def test_fusion_against_brute_force(spark):
     rows = []
     for b, n in (("x", 150), ("y", 7), (None, 3)):
         for k in range(n):
-            rows.append((b, f"i{k}", "c", k, rng.choice([None, float("nan"), rng.gauss(0, 1), 5.0]), rng.choice([None, int(rng.paretovariate(0.5))]), rng.choice([1, 2, 3, 40]), "1", "x", 0))
+            rows.append((b, f"i{k}", "c", k, rng.choice([None, float("nan"), rng.gauss(0, 1), 5.0, -9.0 - rng.random(), -800.0 - rng.random(), 1e4]), rng.choice([None, int(rng.paretovariate(0.5))]), rng.choice([1, 2, 3, 40]), "1", "x", 0))
     df = spark.createDataFrame(rows + rows[:20], RANKED)
     got = {(r["build"], r["iri"]): r for r in fusion.with_places(fusion.fuse(df)).collect()}
     assert len(got) == len(rows)
@@ -113,17 +113,31 @@ def test_fusion_against_brute_force(spark):
             med = float(np.median(known)) if known else 0.0
             mad = float(np.median(np.abs(np.array(known) - med))) if known else 0.0
             spread = 1.4826 * mad if mad > 0 else 1.0
-            part[name] = [max(0.0005, 1 / (1 + math.exp(-(v - med) / spread))) if v != low else 0.0005 for v in x]
-        fused = [round(math.exp(0.4 * math.log(v) + 0.3 * math.log(lang) + 0.3 * math.log(s)), 9) for v, lang, s in zip(part["views"], part["languages"], part["score"])]
+            logs = [-np.logaddexp(0.0, -(v - med) / spread) if v != low else None for v in x]
+            least = min((v for v in logs if v is not None), default=0.0) - math.log(2)
+            part[name] = [least if v is None else v for v in logs]
+            assert all((p == least) == (v == low) for p, v in zip(part[name], vs))
+        fused = [0.4 * v + 0.3 * lang + 0.3 * s for v, lang, s in zip(part["views"], part["languages"], part["score"])]
         for k, r in enumerate(mine):
             g = got[(b, r[1])]
-            assert g["fused"] == pytest.approx(fused[k], abs=2e-9)
+            assert g["log_fused"] == pytest.approx(fused[k], rel=1e-9)
             assert g["leads"] == all(sum(o > vs[k] for o in vs) < len(mine) / 50 for vs in cols.values())
-        places = sorted((got[(b, r[1])]["place"], -got[(b, r[1])]["fused"]) for r in mine)
-        assert places[0][0] == 1 and [f for _, f in places] == sorted(f for _, f in places)
+            assert g["place"] == 1 + sum(o > fused[k] + 1e-9 * abs(fused[k]) for o in fused)
     assert fusion.with_places(fusion.fuse(spark.createDataFrame([], RANKED))).count() == 0
 
 
+def test_order_statistics_whose_bracket_misses(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.choice("xy"), rng.choice([None, 1.0, rng.random(), -math.inf])) for _ in range(3000)]
+    monkeypatch.setattr(fusion, "SLACK", 0.0)
+    monkeypatch.setattr(fusion, "ACCURACY", 3)
+    got = fusion.order_statistics(spark.createDataFrame(rows, "g string, v double"), "g", [fusion.Ask("a", F.col("v"), 0.2, fusion.middle), fusion.Ask("b", F.col("v"), 0.5, lambda c: (c, c))])
+    for r in got.collect():
+        known = sorted(v for g, v in rows if g == r["g"] and v is not None)
+        n = len(known)
+        assert (r["a_low"], r["a_high"], r["b_low"]) == (known[(n + 1) // 2 - 1], known[(n + 2) // 2 - 1], known[-1])
+
+
 # ---------------------------------------------------------------- p3
 
 
