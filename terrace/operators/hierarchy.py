@@ -1,12 +1,13 @@
 """Parent-child links to full hierarchies: paths, depths, roots, descendants and the classes that run in circles.
 
 1. Classes are numbered in the order of their IRIs; everything below works on numbers.
-2. Upward and downward processing: a class without children, or without parents, left is processed. Chains of classes
-   with one child and one parent are not walked: pointers along them double until they reach the chain's end, and the
-   chain becomes one link. A tree of any depth is thus done in as many rounds as the logarithm of its size. Classes
-   never processed reveal the cycles: a chain that closes on itself is one, a link from a class to itself after
-   contraction is another, and what can be neither processed nor contracted goes through forward-backward colouring.
-   Contracted chains get the component of their ends back in reverse order.
+2. Upward and downward processing: a class without children, or without parents, left is processed, layer by layer as
+   long as layers take much. Then up to ``LOCAL_LINKS`` links (their number is counted) are solved in one task. More are
+   contracted: chains of classes with one child and one parent are not walked; pointers along them double until they
+   reach the chain's end, and the chain becomes one link. A tree of any depth is thus done in as many rounds as the
+   logarithm of its size. Classes never processed reveal the cycles: a chain that closes on itself is one, a link from a
+   class to itself after contraction is another, and what can be neither processed nor contracted goes through
+   forward-backward colouring. Contracted chains get the component of their ends back in reverse order.
 3. Cycles count as one component; every component takes the least IRI of its parents, which makes a forest.
 4. Subtree sizes, depths and roots come from doubling: in round k a node adds the sums of those nodes whose 2^k-th
    ancestor it is. Siblings get preorder ranges by prefix sums (in bins of bounded size), which are added up downward,
@@ -36,6 +37,7 @@ from terrace.runtime import cut, cut_counting, drop_cut
 PREFIXES = {"kbo:": "http://kb.example/ontology/"}
 BIN_ROWS = 100_000
 CHUNK = 4096
+LOCAL_LINKS = 200_000
 
 
 def full_iri(value: Column) -> Column:
@@ -149,15 +151,10 @@ def _colour(edges: DataFrame) -> DataFrame:
     return cut(found.groupBy("component").agg(F.count("*").alias("n")).filter("n > 1").select("component").join(found, "component").select("node", "component"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``node``, ``component`` for every class on a cycle; a class linked to itself alone is its own component.
-
-    ``edges``: c, p as numbers. The component is named by its least class.
-    """
-    spark = edges.sparkSession
-    alone = edges.filter("c = p").select(F.col("c").alias("node"))
+def _contracted(left: DataFrame) -> DataFrame:
+    spark = left.sparkSession
     closed = spark.createDataFrame([], "node bigint, component bigint")
-    left, log = edges.filter("c <> p"), []
+    log = []
     while True:
         deg, seen = _degrees(left)
         if not seen["chains"] and not seen["dead"]:
@@ -187,6 +184,88 @@ def components(edges: DataFrame) -> DataFrame:
         inner = back.select(F.col("top"), F.col("c"), own("c").alias("component"), F.col("c_comp").isNull().alias("fresh"))
         first = inner.filter("fresh").select(F.col("c").alias("node"), "component").distinct()
         found = cut(found.union(first).union(members.join(inner.select("top", "component").distinct(), "top").select("node", "component")))
+    return found
+
+
+def _unprocessed(edges: DataFrame) -> tuple[DataFrame, int]:
+    """Links left by processing from the leaves up and from the roots down, as long as two layers of both take a
+    quarter of the links or more; then only long chains and cycles keep the rest together."""
+
+    def layer(left: DataFrame) -> DataFrame:
+        return left.join(left.select(F.col("p").alias("c")), "c", "left_semi").join(left.select(F.col("c").alias("p")), "p", "left_semi").select("c", "p")
+
+    left, n = edges, edges.count()
+    while n:
+        nxt, seen = cut_counting(layer(layer(left)), n=F.count("*"))
+        if left is not edges:
+            drop_cut(left)
+        left, before, n = nxt, n, seen["n"]
+        if 4 * n > 3 * before:
+            break
+    return left, n
+
+
+def _in_one_task(frames):
+    """Strongly connected components of the links of one partition, of two classes or more."""
+    import numpy as np
+    import pandas as pd
+
+    up: dict[int, list[int]] = {}
+    for pdf in frames:
+        for c, p in zip(pdf["c"].tolist(), pdf["p"].tolist()):
+            up.setdefault(c, []).append(p)
+            up.setdefault(p, [])
+    index: dict[int, int] = {}
+    low: dict[int, int] = {}
+    stack: list[int] = []
+    open_: set[int] = set()
+    rows: list[tuple[int, int]] = []
+    for start in up:
+        work = [] if start in index else [(start, iter(up[start]))]
+        while work:
+            node, ahead = work[-1]
+            if node not in index:
+                index[node] = low[node] = len(index)
+                stack.append(node)
+                open_.add(node)
+            for nxt in ahead:
+                if nxt not in index:
+                    work.append((nxt, iter(up[nxt])))
+                    break
+                if nxt in open_:
+                    low[node] = min(low[node], index[nxt])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[node])
+                if low[node] == index[node]:
+                    at = len(stack) - 1
+                    while stack[at] != node:
+                        at -= 1
+                    part = stack[at:]
+                    del stack[at:]
+                    open_.difference_update(part)
+                    if len(part) > 1:
+                        least = min(part)
+                        rows += [(x, least) for x in part]
+    yield pd.DataFrame(np.array(rows, dtype=np.int64).reshape(-1, 2), columns=["node", "component"])
+
+
+def components(edges: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
+    """``node``, ``component`` for every class on a cycle; a class linked to itself alone is its own component.
+
+    ``edges``: c, p as numbers. The component is named by its least class. Up to ``local_links`` unprocessed links are
+    solved in one task, more by contraction, with the same result.
+    """
+    spark = edges.sparkSession
+    alone = edges.filter("c = p").select(F.col("c").alias("node"))
+    left, n = _unprocessed(edges.filter("c <> p"))
+    if n == 0:
+        return alone.select("node", F.col("node").alias("component"))
+    if n <= local_links:
+        found = left.repartition(1).mapInPandas(_in_one_task, "node bigint, component bigint")
+    else:
+        found = _contracted(left)
     least = found.groupBy("component").agg(F.min("node").alias("least"))
     named = found.join(least, "component").select("node", F.col("least").alias("component"))
     single = alone.join(found.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))

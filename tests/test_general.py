@@ -34,8 +34,8 @@ def brute_components(links):
 PARENTS = "cls string, parent string, via string, loaded_at string"
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_cycles_by_contraction(spark, seed):
+@pytest.mark.parametrize("seed,local", [(3, 0), (4, 0), (4, 200_000)])
+def test_cycles_in_one_task_and_by_contraction(spark, seed, local):
     rng = random.Random(seed)
     links = [(f"n{i}", f"n{(i + 1) % 9}") for i in range(9)] + [("s", "s"), ("a", "b"), ("b", "a"), ("b", "n0"), ("n3", "m"), ("m", "top"), ("x", "y"), ("y", "x"), ("y", "z"), ("z", "y")]
     links += [(f"r{rng.randrange(12)}", f"r{rng.randrange(12)}") for _ in range(16)]
@@ -45,13 +45,14 @@ def test_cycles_by_contraction(spark, seed):
     df = spark.createDataFrame(rows, PARENTS)
     g = hierarchy.numbered(hierarchy.links(df))
     name = dict(as_set(g.names))
-    got = [(name[r["node"]], name[r["component"]]) for r in hierarchy.components(g.edges).collect()]
+    got = [(name[r["node"]], name[r["component"]]) for r in hierarchy.components(g.edges, local).collect()]
     want = brute_components({(c.strip(), p.strip()) for c, p, *_ in rows if c and p and p.strip()})
     assert dict(got) == want and len(got) == len(dict(got)) and {x for (x,) in as_set(hierarchy.cyclic_classes(df))} == set(want)
 
 
 def test_long_chains_take_few_tables(spark, monkeypatch):
-    tables = []
+    tables, solve = [], hierarchy.components
+    monkeypatch.setattr(hierarchy, "components", lambda edges: solve(edges, 0))
     monkeypatch.setattr(hierarchy, "cut", lambda df: tables.append(1) or runtime.cut(df))
     monkeypatch.setattr(hierarchy, "cut_counting", lambda df, **m: tables.append(1) or runtime.cut_counting(df, **m))
     n = 10_000
