@@ -3,11 +3,17 @@
 Texts are cut into segments: paragraphs, and within these runs of about ``SEGMENT`` words (a short rest joins the run
 before it). Thresholds on a segment's statistics are noisy labelling functions, each voting prose, no prose or
 nothing. Expectation-maximisation on the counts of all vote patterns learns how often each function is right, without
-labels, and gives every pattern its posterior. A document is no prose if more than half of its non-blank characters
-lie in segments that are not.
+labels: first for prose against the rest, then within the rest for lists, tables and junk. Every pattern thus has a
+posterior of four types, and a document that of its segments, weighted by their characters. A document is no prose if
+more than half of its non-blank characters lie in segments that are not.
 
 All statistics are built-in expressions in one pass over whole texts. There are at most 3^n patterns of n functions,
-whatever the corpus; only their counts reach the driver and only their posteriors are broadcast.
+whatever the corpus; only their counts reach the driver and only their posteriors are broadcast. What is learnt is a
+``Model``: it can be kept as text and given to ``statistics``, so that a document's type does not depend on the corpus
+it comes with.
+
+Lines are those of the whole text, the last one included; a line is closed if it ends in a full stop, question or
+exclamation mark or ellipsis, quotes and brackets after it aside.
 
 Defined results: null, empty and blank texts have null shares, the type ``empty`` and are never found; repeated rows
 count once; a doc_id with several texts has a row for each; languages are compared in lower case, unknown and missing
@@ -16,7 +22,9 @@ ones are judged by the language that fits best; an empty table gives an empty re
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,7 +37,10 @@ SEGMENT, REST = 30, 9
 MAX_COMMON_WORDS = 100_000
 BREAK = "␤"
 ROUNDS = 60
+LINE = r"(?U)\S[^\n]*+"
+CLOSED = r"""(?U)[.!?…。]["'”’»)\]]*+[^\S\n]*+(?:\n|\z)"""
 
+TYPES = ("prose", "list", "table", "junk")
 VOTES = ("common", "distinct_common", "gap", "symbols", "digits", "lower", "length", "marks", "lines", "repeats")
 
 
@@ -60,27 +71,28 @@ def segments(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     text = F.regexp_replace(F.translate(F.regexp_replace("text", r"(?U)[\u00ad\u200b]|^\s++", ""), wide, narrow), r"\r\n?|[\u2028\u2029\u0085]", "\n")
     piece = rf"(?U)\S++(?:\s++\S++){{0,{SEGMENT - 1}}}+(?:(?:\s++\S++){{1,{REST}}}+\s*+\z)?+"
     rows = documents.filter("text is not null").select("doc_id", F.lower("lang").alias("lang"), F.xxhash64("text").alias("h"), text.alias("text"))
-    parts = rows.select("doc_id", "lang", "h", F.posexplode(F.split("text", r"(?U)\n\s*\n")).alias("at", "part"))
+    lines = F.struct(F.regexp_count("text", F.lit(LINE)).alias("all"), F.regexp_count("text", F.lit(CLOSED)).alias("closed")).alias("lines")
+    parts = rows.select("doc_id", "lang", F.struct("h", lines).alias("h"), F.posexplode(F.split("text", r"(?U)\n\s*\n")).alias("at", "part"))
     cut_ = parts.select("doc_id", "lang", "h", "at", F.posexplode(F.regexp_extract_all(F.replace("part", F.lit("\n"), F.lit(f" {BREAK} ")), F.lit(piece), F.lit(0))).alias("in_part", "seg"))
     tokens = F.filter(F.split("seg", r"(?U)\s+"), lambda x: (x != "") & (x != BREAK))
     bare = F.transform("tok", lambda x: F.regexp_replace(F.lower(x), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", ""))
     first = ((F.col("at") == 0) & (F.col("in_part") == 0)).cast("int").alias("first")  # one for each row, repeated ones too
+    every = sorted({w for ws in common.values() for w in ws}) or [""]
     s = cut_.select("doc_id", "lang", "h", first, "seg", tokens.alias("tok")).filter(F.size("tok") > 0).withColumn("bare", bare)
+    s = s.withColumn("hits", F.filter("bare", lambda x: x.isin(every)))
     plain = F.replace("seg", F.lit(BREAK), F.lit(""))
     chars = lambda pattern: F.char_length(F.regexp_replace(plain, pattern, ""))
-    every = sorted({w for ws in common.values() for w in ws}) or [""]
     n = F.size("tok")
     s = s.select(
-        "doc_id", "lang", "h", "first",
+        "doc_id", "lang", F.col("h.h").alias("h"), "h.lines", "first",
         n.alias("n"),
         chars(r"(?U)\s+").alias("chars"),
         chars(r"[^\p{L}]+").alias("letters"),
         chars(r"[^\p{N}]+").alias("digits"),
         F.regexp_count("seg", F.lit(BREAK)).alias("breaks"),
-        F.regexp_count("seg", F.lit(rf"[.!?:;,…\"»”)]\s*+{BREAK}")).alias("closed"),
-        F.array(*[_count(F.col("bare"), _among(ws)) for ws in common.values()] or [F.lit(0)]).alias("by_lang"),
+        F.array(*[_count(F.col("hits"), _among(ws)) for ws in common.values()] or [F.lit(0)]).alias("by_lang"),
         F.array_join(F.transform("bare", lambda x: F.when(x.isin(every), "1").otherwise("0")), "").alias("flags"),
-        F.size(F.array_distinct(F.filter("bare", lambda x: x.isin(every)))).alias("common_kinds"),
+        F.size(F.array_distinct("hits")).alias("common_kinds"),
         _count(F.col("tok"), lambda x: x.rlike(r"^[^\p{L}]*\p{Ll}")).alias("low"),
         _count(F.col("tok"), lambda x: x.rlike(r"^[^\p{L}]*\p{Lu}\p{Ll}")).alias("title"),
         _count(F.col("tok"), lambda x: x.rlike(r"[=|{}<>\[\]\\/_·»•*~^#+@]|^[-–—]+\z|;.|:\d|\d[).]\z")).alias("marked"),
@@ -112,55 +124,109 @@ def votes(seg: DataFrame) -> DataFrame:
     return seg.withColumn("pattern", F.concat(*rules.values()))
 
 
-def learn(patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Posterior of prose for each vote pattern, by expectation-maximisation over two classes.
+def _one_hot(patterns: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    v = np.array([[int(c) for c in p] for p in patterns], dtype=int).reshape(len(patterns), len(VOTES))
+    return v, np.stack([(v == k) for k in range(3)], axis=2).astype(float)
+
+
+def _posterior(one: np.ndarray, prior: np.ndarray, vote: np.ndarray) -> np.ndarray:
+    logs = np.log(prior)[None, :] + np.einsum("ijk,cjk->ic", one, np.log(vote))
+    logs -= logs.max(axis=1, keepdims=True)
+    p = np.exp(logs)
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def _maximise(one: np.ndarray, p: np.ndarray, counts: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the classes and, for each, how often each function gives each vote. Votes are taken as independent
+    given the class; counts of one are added throughout, so nothing becomes certain."""
+    for _ in range(rounds):
+        mass = (p * counts[:, None]).sum(axis=0)
+        prior = (mass + 1) / (mass.sum() + p.shape[1])
+        vote = np.einsum("ic,ijk->cjk", p * counts[:, None], one) + 1
+        vote /= vote.sum(axis=2, keepdims=True)
+        p = _posterior(one, prior, vote)
+    return prior, vote
+
+
+@dataclass
+class Model:
+    """What was learnt: shares and vote probabilities of (prose, rest) and of (list, table, junk) within the rest."""
+
+    prior: np.ndarray
+    vote: np.ndarray
+    kind_prior: np.ndarray
+    kind_vote: np.ndarray
 
-    Votes are taken as independent given the class. The first guess is the majority of the votes cast; counts of one
-    are added throughout, so no accuracy becomes certain.
-    """
-    v = np.array([[int(c) for c in p] for p in patterns])
-    one = np.stack([(v == k) for k in range(3)], axis=2).astype(float)
+    def posterior(self, patterns: list[str]) -> np.ndarray:
+        """One row per pattern, one column per type of ``TYPES``."""
+        one = _one_hot(patterns)[1]
+        first, kinds = _posterior(one, self.prior, self.vote), _posterior(one, self.kind_prior, self.kind_vote)
+        return np.hstack([first[:, :1], first[:, 1:] * kinds])
+
+    def to_json(self) -> str:
+        return json.dumps({k: v.tolist() for k, v in vars(self).items()})
+
+    @staticmethod
+    def from_json(text: str) -> Model:
+        return Model(**{k: np.array(v) for k, v in json.loads(text).items()})
+
+
+def learn(patterns: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """Expectation-maximisation from the counts of vote patterns. The first guess of prose is the majority of the votes
+    cast, that of the other types the votes that speak of each."""
+    v, one = _one_hot(patterns)
     lead = (v == 1).sum(1) - (v == 2).sum(1) + 0.5 * ((v[:, 0] == 1).astype(int) - (v[:, 0] == 2).astype(int))
     p = 1 / (1 + np.exp(-lead.astype(float)))
-    for _ in range(rounds):
-        prior = (p @ counts + 1) / (counts.sum() + 2)
-        yes = np.einsum("i,ijk->jk", p * counts, one) + 1
-        no = np.einsum("i,ijk->jk", (1 - p) * counts, one) + 1
-        yes, no = np.log(yes / yes.sum(1, keepdims=True)), np.log(no / no.sum(1, keepdims=True))
-        odds = np.log(prior / (1 - prior)) + np.einsum("ijk,jk->i", one, yes - no)
-        p = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
-    return p
+    prior, vote = _maximise(one, np.column_stack([p, 1 - p]), counts, rounds)
+    no = _posterior(one, prior, vote)[:, 1]
+    against = lambda *names: sum(v[:, VOTES.index(n)] == 2 for n in names).astype(float)
+    hints = np.column_stack([against("lines", "lower", "gap") + 0.5, against("marks", "symbols", "digits") + 0.5, against("repeats", "length", "distinct_common") + 0.5])
+    kind_prior, kind_vote = _maximise(one, hints / hints.sum(axis=1, keepdims=True), counts * no, rounds)
+    return Model(prior, vote, kind_prior, kind_vote)
 
 
-def statistics(documents: DataFrame, words: DataFrame) -> DataFrame:
-    """doc_id, words, mean_word_length, symbol_ratio, closed_lines, common_share, prose_share, text_type."""
+def _judged(documents: DataFrame, common: dict[str, list[str]], model: Model | None) -> tuple[DataFrame, Model | None]:
+    """Segments with the posterior of each type, and the model, learnt from these documents if none is given."""
     spark = documents.sparkSession
-    common = common_words(words)
-    seg = cut(votes(segments(spread(documents.select("doc_id", "lang", "text")), common)).drop("flags", "low", "title", "kinds"))
+    seg = cut(votes(segments(spread(documents.select("doc_id", "lang", "text")), common)).drop("flags", "low", "title", "kinds", "marked", "common_kinds", "breaks"))
     seen = seg.groupBy("pattern").agg(F.count("*").alias("n")).toPandas().sort_values("pattern")
-    posterior = learn(list(seen["pattern"]), seen["n"].to_numpy(dtype=float)) if len(seen) else np.zeros(0)
-    known = spark.createDataFrame(pd.DataFrame({"pattern": seen["pattern"].astype(str), "prose": posterior}), "pattern string, prose double")
-    judged = seg.join(F.broadcast(known), "pattern")
-    mine = F.coalesce(*[F.when(F.col("lang") == lang, F.col("by_lang")[i]) for i, lang in enumerate(common)], F.array_max("by_lang")) if common else F.lit(0)
-    total = lambda c: F.sum(c)
-    junk = F.col("prose") < 0.5
+    patterns = [str(x) for x in seen["pattern"]]
+    model = model or (learn(patterns, seen["n"].to_numpy(dtype=float)) if patterns else None)
+    share = model.posterior(patterns) if patterns else np.zeros((0, len(TYPES)))
+    known = spark.createDataFrame(pd.DataFrame({"pattern": pd.Series(patterns, dtype=object), **{t: share[:, k] for k, t in enumerate(TYPES)}}), "pattern string, " + ", ".join(f"{t} double" for t in TYPES))
+    return seg.join(F.broadcast(known), "pattern"), model
+
+
+def fit(documents: DataFrame, words: DataFrame) -> Model | None:
+    """The model of a corpus, None if it holds no words."""
+    return _judged(documents, common_words(words), None)[1]
+
+
+def statistics(documents: DataFrame, words: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id, words, mean_word_length, symbol_ratio, closed_lines, common_share, prose_share, the posterior of each type
+    (p_prose, p_list, p_table, p_junk), text_type."""
+    common = common_words(words)
+    judged, _ = _judged(documents, common, model)
+    total = F.sum
+    counts = [total(F.col("by_lang")[i]) for i in range(len(common))]
+    mine = F.coalesce(*[F.when(F.col("lang") == lang, F.col("common")[i]) for i, lang in enumerate(common)], F.array_max("common")) if common else F.lit(0)
     by_doc = judged.groupBy("doc_id", "h").agg(
-        total("n").alias("all_words"), F.greatest(total("first"), F.lit(1)).alias("copies"), total("chars").alias("chars"), total("letters").alias("letters"), total("digits").alias("digits"),
-        total(F.when(~junk, F.col("chars")).otherwise(0)).alias("prose_chars"),
-        total(F.when(junk & (F.substring("pattern", 5, 1) == "2") | junk & (F.substring("pattern", 8, 1) == "2"), F.col("chars")).otherwise(0)).alias("table_chars"),
-        total(F.when(junk & (F.substring("pattern", 4, 1) != "2") & (F.substring("pattern", 6, 1) == "2"), F.col("chars")).otherwise(0)).alias("list_chars"),
-        total("breaks").alias("breaks"), total("closed").alias("closed"), total(mine).alias("common"),
+        total("n").alias("all_words"), F.greatest(total("first"), F.lit(1)).alias("copies"), F.max("lang").alias("lang"), total("chars").alias("chars"), total("letters").alias("letters"),
+        total("digits").alias("digits"), F.max("lines.all").alias("lines"), F.max("lines.closed").alias("closed"), (F.array(*counts) if counts else F.array(F.lit(0))).alias("common"),
+        total(F.when(F.col("prose") >= 0.5, F.col("chars")).otherwise(0)).alias("prose_chars"), *[total(F.col(t) * F.col("chars")).alias(f"_{t}") for t in TYPES],
     )
+    posterior = [(F.col(f"_{t}") / F.col("chars")).alias(f"p_{t}") for t in TYPES]
+    rest = F.greatest(*[F.col(f"_{t}") for t in TYPES[1:]])
+    kind = F.when(F.col("prose_chars") * 2 >= F.col("chars"), "prose")
+    for t in TYPES[1:]:
+        kind = kind.when(F.col(f"_{t}") == rest, t)
     found = by_doc.select(
         "doc_id", F.floor(F.col("all_words") / F.col("copies")).cast("bigint").alias("words"), (F.col("chars") / F.col("all_words")).alias("mean_word_length"),
-        ((F.col("chars") - F.col("letters") - F.col("digits")) / F.col("chars")).alias("symbol_ratio"),
-        F.when(F.col("breaks") > 0, F.col("closed") / F.col("breaks")).alias("closed_lines"),
-        (F.col("common") / F.col("all_words")).alias("common_share"),
-        (F.col("prose_chars") / F.col("chars")).alias("prose_share"),
-        F.when(F.col("prose_chars") * 2 >= F.col("chars"), "prose").when(F.col("table_chars") * 2 > F.col("chars"), "table")
-        .when(F.col("list_chars") * 2 > F.col("chars"), "list").otherwise("junk").alias("text_type"),
+        ((F.col("chars") - F.col("letters") - F.col("digits")) / F.col("chars")).alias("symbol_ratio"), (F.col("closed") / F.col("lines")).alias("closed_lines"),
+        (mine / F.col("all_words")).alias("common_share"), (F.col("prose_chars") / F.col("chars")).alias("prose_share"), *posterior, kind.alias("text_type"),
     )
     blank = documents.filter(F.col("text").isNull() | ~F.col("text").rlike(r"(?U)\S")).select("doc_id").distinct()
     none = lambda c, t: F.lit(None).cast(t).alias(c)
-    empty = blank.select("doc_id", F.lit(0).cast("bigint").alias("words"), *[none(c, "double") for c in ("mean_word_length", "symbol_ratio", "closed_lines", "common_share", "prose_share")], F.lit("empty").alias("text_type"))
+    shares = ("mean_word_length", "symbol_ratio", "closed_lines", "common_share", "prose_share", *[f"p_{t}" for t in TYPES])
+    empty = blank.select("doc_id", F.lit(0).cast("bigint").alias("words"), *[none(c, "double") for c in shares], F.lit("empty").alias("text_type"))
     return found.union(empty)

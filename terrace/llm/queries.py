@@ -78,10 +78,15 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return _quality(spark, d).filter("prose_share < 0.5").select("doc_id").distinct()
 
 
+def p9_counts(spark: SparkSession, d: str) -> DataFrame:
+    counted = ("mean_word_length", "symbol_ratio", "closed_lines", "common_share")
+    return _quality(spark, d).select("doc_id", "words", *[F.round(c, 6).alias(c) for c in counted]).distinct()
+
+
 def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
-    rounded = ("mean_word_length", "symbol_ratio", "closed_lines", "common_share", "prose_share")
-    return _quality(spark, d).withColumns({c: F.round(c, 6) for c in rounded})
+    got = _quality(spark, d)
+    return got.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in got.dtypes])
 
 
-_ALL = (p1_found, p1_report, p1_sample, p1_shares, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_statistics)
+_ALL = (p1_found, p1_report, p1_sample, p1_shares, p3_found, p3_nearest, p6_found, p6_ranking, p7_ids, p7_decoded, p8_found, p8_report, p9_found, p9_counts, p9_statistics)
 QUERIES = {f.__name__: f for f in _ALL}

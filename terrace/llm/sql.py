@@ -38,6 +38,11 @@ _LEADS = f"""led AS (SELECT *, count(*) OVER (PARTITION BY build) AS n, {_HIGHER
 
 _BOUNDED = "-ln(1 + exp(-(x.{0} - med.{0}) / CASE WHEN mad.{0} > 0 THEN mad.{0} * 1.4826 ELSE 1 END)) AS {0}"
 
+_SPACE = r"\t\n\x{0b}\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WS, _SOLID, _BLANK = f"[{_SPACE}]", f"[^{_SPACE}]", f"[{_SPACE.replace(chr(92) + 'n', '', 1)}]"
+_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
+_NARROW = "".join(chr(c) for c in range(0x21, 0x7F)).replace("'", "''")
+
 SQL = {
     "p1_found": f"{_REPORT} SELECT draw_id, bucket FROM report WHERE pool < need",
     "p1_report": f"{_REPORT} SELECT *, pool < need AS short FROM report",
@@ -66,4 +71,18 @@ SQL = {
       f AS (SELECT build, iri, 0.4 * v + 0.3 * l + 0.3 * s AS fused FROM low)
       SELECT f.build, f.iri, rank() OVER (PARTITION BY f.build ORDER BY fused DESC) AS place, round(exp(fused), 9) AS fused, leads
       FROM f JOIN lead ON f.build IS NOT DISTINCT FROM lead.build AND f.iri = lead.iri""",
+    "p7_decoded": "SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents",
+    "p9_counts": rf"""WITH d AS (SELECT DISTINCT doc_id, lower(lang) AS lang, text FROM documents WHERE text IS NOT NULL),
+      t AS (SELECT doc_id, lang, regexp_replace(translate(regexp_replace(regexp_replace(text, '[\x{{ad}}\x{{200b}}]', '', 'g'), '^{_WS}+', ''),
+        '{_WIDE}', '{_NARROW}'), '\r\n?|[\x{{2028}}\x{{2029}}\x{{85}}]', chr(10), 'g') AS x FROM d),
+      u AS (SELECT *, row_number() OVER () AS k, regexp_replace(x, '{_WS}', '', 'g') AS solid, regexp_extract_all(x, '{_SOLID}+') AS tok,
+        len(regexp_extract_all(x, '{_SOLID}[^\n]*')) AS lines, len(regexp_extract_all(x, '[.!?…。]["''”’»)\]]*{_BLANK}*(?:\n|\z)')) AS closed FROM t WHERE regexp_matches(x, '{_SOLID}')),
+      w AS (SELECT k, lang, nfc_normalize(regexp_replace(lower(unnest(tok)), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')) AS word FROM u),
+      c AS (SELECT DISTINCT lower(lang) AS cl, nfc_normalize(lower(word)) AS word FROM common_words WHERE word IS NOT NULL AND lang IS NOT NULL),
+      h AS (SELECT k, cl, any_value(w.lang) AS lang, count(*) AS n FROM w JOIN c USING (word) GROUP BY k, cl),
+      m AS (SELECT k, CASE WHEN any_value(lang) IN (SELECT cl FROM c) THEN coalesce(max(n) FILTER (cl = lang), 0) ELSE max(n) END AS n FROM h GROUP BY k)
+      SELECT DISTINCT doc_id, len(tok) AS words, round(length(solid) / len(tok), 6) AS mean_word_length,
+        round(length(regexp_replace(solid, '[\p{{L}}\p{{N}}]', '', 'g')) / length(solid), 6) AS symbol_ratio, round(closed / lines, 6) AS closed_lines,
+        round(coalesce(m.n, 0) / len(tok), 6) AS common_share FROM u LEFT JOIN m USING (k)
+      UNION ALL SELECT DISTINCT doc_id, 0, NULL, NULL, NULL, NULL FROM documents WHERE text IS NULL OR NOT regexp_matches(text, '{_SOLID}')""",
 }

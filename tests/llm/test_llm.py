@@ -288,4 +288,16 @@ def test_quality(spark):
     for i in (6 + n, 7 + n, 8 + n):
         assert got[i]["text_type"] == "empty" and got[i]["prose_share"] is None and got[i]["words"] == 0
     assert got[0]["words"] == len(PROSE.split()) * 3 and got[0]["mean_word_length"] == pytest.approx(sum(map(len, PROSE.split())) / len(PROSE.split()))
+    assert got[0]["text_type"] == "prose" and {got[4 + k]["text_type"] for k in range(n)} <= set(quality.TYPES[1:])
+    assert all(sum(r[f"p_{t}"] for t in quality.TYPES) == pytest.approx(1) for r in got.values() if r["words"])
     assert quality.statistics(spark.createDataFrame([], DOCS), common).count() == 0
+    model = quality.fit(spark.createDataFrame(rows + more, DOCS), common)
+    kept = quality.Model.from_json(model.to_json())
+    alone = quality.statistics(spark.createDataFrame(rows[:12], DOCS), common, kept).collect()
+    assert all(r["text_type"] == got[r["doc_id"]]["text_type"] and r["p_prose"] == pytest.approx(got[r["doc_id"]]["p_prose"], abs=0.02) for r in alone)
+
+
+def test_closed_lines(spark):
+    texts = ["One line.", "First one.\n\nSecond one!\n\nThird \u201cone.\u201d\n\nFourth one? ", "a,\nb;\nc\n", "x.\r\ny\u2028(z.)\n \n\n", "..."]
+    got = {r["doc_id"]: r["closed_lines"] for r in quality.statistics(spark.createDataFrame([doc(i, t) for i, t in enumerate(texts)], DOCS), spark.createDataFrame(WORDS, "lang string, word string")).collect()}
+    assert got == {0: 1.0, 1: 1.0, 2: 0.0, 3: pytest.approx(2 / 3), 4: 1.0}
