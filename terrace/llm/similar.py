@@ -5,8 +5,9 @@ vectors differs from the true cosine by at most |a^| |db| + |da|, where da, db a
 lengths are kept. A tile multiplies a block of codes with another (the byte products are exact in float32, so the
 matrix library does them), drops all pairs whose upper bound cannot matter and recomputes the survivors in float.
 
-``nearest``: stated queries against all rows. Rows lie in blocks; queries visit every block; each tile keeps per query
-the rows whose upper bound reaches the k-th best lower bound; the k best of each block are merged.
+``nearest``: stated queries, or all rows, against all rows. Blocks of queries meet blocks of rows; each tile keeps per
+query a heap of the k best lower bounds and the rows whose upper bound reaches the least of them; what survives the
+tiles is compared once more across them, recomputed and ranked. Work grows with queries times rows.
 
 ``similar_pairs``: all pairs from a least cosine on. Comparing all blocks with all would grow with the square of the
 data, so the tiles run within the cells of several random cross-polytope partitions, whose number follows from the
@@ -30,11 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.runtime import cut
+from terrace.runtime import cut, cut_counting, lookup_join
 
 DIMS = 64
 BLOCK = 4096
 CELL_ROWS = 1024
+TASK_ROWS = 75_000
 MISS = 2e-4
 SEED = 20_260
 EPS = 1e-6
@@ -92,41 +94,93 @@ def vectors(entities: DataFrame, key: str, vector: str) -> DataFrame:
 # ---------------------------------------------------------------- stated queries against all rows
 
 
-def _search(k: int):
+def _encoded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        if len(frame):
+            codes, scale, length, residual = quantise(unit(_matrix(frame["v"])))
+            yield pd.DataFrame({"id": frame["id"], "code": [c.tobytes() for c in codes], "scale": scale.astype("float32"), "len": length.astype("float32"), "res": residual.astype("float32")})
+
+
+def _coded_rows(f: pd.DataFrame) -> Coded:
+    codes = np.frombuffer(b"".join(f["code"]), dtype=np.int8).reshape(len(f), -1)
+    return Coded(f["id"].to_numpy(), codes, f["scale"].to_numpy(), f["len"].to_numpy(), f["res"].to_numpy())
+
+
+def _search(k: int, chunk: int = 4_096):
+    """Survivors of a tile with their least and greatest cosine. Rows come in chunks; each query keeps a heap of its k
+    greatest lower bounds, and what cannot reach the least of them is dropped."""
+
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = {"id": [], "neighbour": [], "low": [], "high": []}
         if len(queries) and len(rows):
-            q, b = unit(_matrix(queries["v"])), unit(_matrix(rows["v"]))
-            qid, bid = queries["id"].to_numpy(), rows["id"].to_numpy()
-            base = Coded(bid, *quantise(b))
-            ask = Coded(qid, *quantise(q))
-            for at in range(0, len(qid), 256):
-                part = ask[at : at + 256]
-                dots, bound = product(part, base)
-                self_ = part.ids[:, None] == base.ids[None, :]
-                low = np.where(self_, -2.0, dots - bound)
-                kth = np.partition(low, len(bid) - k, axis=1)[:, len(bid) - k] if len(bid) > k else np.full(len(part.ids), -2.0)
-                i, j = np.nonzero((dots + bound >= kth[:, None]) & ~self_)
-                exact = np.einsum("ij,ij->i", q[at + i], b[j])
-                order = np.lexsort((bid[j], -exact, i))
-                i, j, exact = i[order], j[order], exact[order]
-                place = np.arange(len(i)) - np.searchsorted(i, i)
-                best = place < k
-                out.append(pd.DataFrame({"id": part.ids[i[best]], "neighbour": bid[j[best]], "cosine": exact[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "cosine": pd.Series(dtype="float64")})
+            ask, base = _coded_rows(queries), _coded_rows(rows)
+            heap = np.full((len(ask.ids), k), -2.0, dtype=np.float32)
+            for at in range(0, len(base.ids), chunk):
+                part = base[at : at + chunk]
+                dots, bound = product(ask, part)
+                dots[ask.ids[:, None] == part.ids[None, :]] = -9.0
+                low = dots - bound
+                top = np.partition(low, low.shape[1] - k, axis=1)[:, -k:] if low.shape[1] > k else low
+                heap = -np.partition(-np.hstack([heap, top]), k - 1, axis=1)[:, :k]
+                i, j = np.nonzero(dots + bound >= np.maximum(heap.min(axis=1), -2.0)[:, None])
+                for name, got in (("id", i), ("neighbour", part.ids[j]), ("low", low[i, j]), ("high", dots[i, j] + bound[i, j])):
+                    out[name].append(got)
+            i, high = np.concatenate(out["id"]), np.concatenate(out["high"])
+            near = high >= heap.min(axis=1)[i]
+            return pd.DataFrame({"id": ask.ids[i[near]], "neighbour": np.concatenate(out["neighbour"])[near], "low": np.concatenate(out["low"])[near], "high": high[near]})
+        return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour": pd.Series(dtype="int64"), "low": pd.Series(dtype="float32"), "high": pd.Series(dtype="float32")})
 
     return run
 
 
-def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, block_rows: int = 16_384) -> DataFrame:
-    """``id``, ``neighbour``, ``cosine``, ``place`` of the k most similar other rows of each query (columns id, v)."""
-    rows, queries = cut(rows.dropDuplicates(["id"])), cut(queries.dropDuplicates(["id"]))
-    blocks = max(1, -(-rows.count() // block_rows))
-    lying = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    visiting = queries.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    tiles = visiting.groupBy("block").cogroup(lying.groupBy("block")).applyInPandas(_search(k), "id bigint, neighbour bigint, cosine double")
+@dataclass
+class Groups:
+    """``reps``: id, v of one row per different vector, the least id. ``copies``: id, rep of all ids of those vectors that
+    occur under several."""
+
+    reps: DataFrame
+    copies: DataFrame
+
+
+def grouped(rows: DataFrame) -> Groups:
+    groups = cut(rows.groupBy("v").agg(F.min("id").alias("id"), (F.min("id") != F.max("id")).alias("several")))
+    copies = lookup_join(rows, groups.filter("several").select("v", F.col("id").alias("rep")), ["v"]).select("id", "rep").distinct()
+    return Groups(groups.select("id", "v"), cut(copies))
+
+
+def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, row_block: int = 65_536, query_block: int = 4_096) -> DataFrame:
+    """``id``, ``neighbour``, ``cosine``, ``place`` of the k most similar other rows of each query (columns id, v; the
+    queries are among the rows). Exact.
+
+    Blocks of queries meet blocks of rows, as codes; all rows may be queries. Copies of a vector are compared once and
+    take part again in the last ranking, so that many equal vectors do not survive by the thousand.
+    """
+    rows, queries = rows.dropDuplicates(["id"]), queries.select("id").distinct()
+    groups = grouped(rows)
+    asked = queries.join(groups.copies, "id", "left").select("id", F.coalesce("rep", "id").alias("rep"))
+    asked, seen = cut_counting(asked, n=F.count("*"))
+    coded, all_ = cut_counting(groups.reps.mapInPandas(_encoded, "id bigint, code binary, scale float, len float, res float"), n=F.count("*"))
+    parts = {"rb": max(1, -(-all_["n"] // row_block)), "qb": max(1, -(-seen["n"] // query_block))}
+    every = lambda name: F.explode(F.sequence(F.lit(0), F.lit(parts[name] - 1)))
+    own = lambda name: F.pmod(F.xxhash64("id"), F.lit(parts[name])).cast("int")
+    lying = coded.withColumn("rb", own("rb")).withColumn("qb", every("qb"))
+    again = coded.select(*[F.col(c).alias(c) for c in coded.columns])
+    visiting = again.join(asked.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").withColumn("qb", own("qb")).withColumn("rb", every("rb"))
+    tiles = parts["qb"] * parts["rb"]
+    spread_ = lambda df: df.repartition(tiles, "qb", "rb").groupBy("qb", "rb")
+    survivors = spread_(visiting).cogroup(spread_(lying)).applyInPandas(_search(k), "id bigint, neighbour bigint, low float, high float")
+    by_low = W.partitionBy("id").orderBy(F.desc("low"), "neighbour")
+    bar = F.max(F.when(F.col("_r") == k, F.col("low"))).over(W.partitionBy("id"))
+    left = cut(survivors.withColumn("_r", F.row_number().over(by_low)).withColumn("_bar", bar).filter(F.col("_bar").isNull() | (F.col("high") >= F.col("_bar"))).select("id", "neighbour"))
+    v = lambda name, as_: groups.reps.select(F.col("id").alias(name), F.col("v").alias(as_))
+    exact = left.join(v("id", "a"), "id").join(v("neighbour", "b"), "neighbour").select(F.col("id").alias("rep"), "neighbour", exact_cosine(F.col("a"), F.col("b")).alias("cosine"))
+    # the least ids of each group of copies; no query needs more of one than k besides itself
+    few = groups.copies.withColumn("_r", F.row_number().over(W.partitionBy("rep").orderBy("id"))).filter(F.col("_r") <= k + 1).select("rep", F.col("id").alias("member"))
+    others = exact.join(few.select(F.col("rep").alias("neighbour"), "member"), "neighbour", "left").select("rep", F.coalesce("member", "neighbour").alias("neighbour"), "cosine")
+    same = few.join(asked.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("member").alias("neighbour"), F.lit(1.0).alias("cosine"))
     best = W.partitionBy("id").orderBy(F.desc("cosine"), "neighbour")
-    return tiles.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    met = asked.join(others.union(same), "rep").filter("id <> neighbour").select("id", "neighbour", "cosine")
+    return met.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
 
 
 # ---------------------------------------------------------------- all pairs from a least cosine on
@@ -190,14 +244,10 @@ def _code(cells: Cells):
 
 
 def _tile(min_cosine: float):
-    def coded(f: pd.DataFrame) -> Coded:
-        codes = np.frombuffer(b"".join(f["code"]), dtype=np.int8).reshape(len(f), -1)
-        return Coded(f["id"].to_numpy(), codes, f["scale"].to_numpy(), f["len"].to_numpy(), f["res"].to_numpy())
-
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         first = (frame["own"] == frame["low"]).to_numpy()
-        a = coded(frame[first])
-        b = a if (frame["low"].iloc[0] == frame["high"].iloc[0]) else coded(frame[~first])
+        a = _coded_rows(frame[first])
+        b = a if (frame["low"].iloc[0] == frame["high"].iloc[0]) else _coded_rows(frame[~first])
         left, right = [], []
         for at in range(0, len(a.ids), 1024):
             part = a[at : at + 1024]
@@ -223,24 +273,27 @@ def exact_cosine(x: Column, y: Column) -> Column:
 
 @dataclass
 class Similar:
+    """``pairs``: a, b, cosine between representatives of different vectors; ``copies``: the members they stand for."""
+
     pairs: DataFrame
     copies: DataFrame
 
 
 def similar_pairs(rows: DataFrame, min_cosine: float, cells: Cells | None = None) -> Similar:
-    """``pairs``: a, b, cosine between representatives of different vectors (columns id, v in ``rows``).
-    ``copies``: id, rep for every id whose exact vector occurs under several ids.
-    """
-    groups = cut(rows.groupBy("v").agg(F.min("id").alias("id"), (F.min("id") != F.max("id")).alias("several")))
-    reps = groups.select("id", "v")
-    copies = rows.join(groups.filter("several").select("v", F.col("id").alias("rep")), "v").select("id", "rep").distinct()
+    """Pairs from ``min_cosine`` on of ``rows`` (columns id, v), copies as membership: nothing is listed twice."""
+    groups = grouped(rows)
+    reps, copies = groups.reps, groups.copies
     cells = cells or plan_cells(reps.count(), min_cosine)
     schema = "t int, cell bigint, id bigint, code binary, scale float, len float, res float"
     coded = cut(reps.mapInPandas(_code(cells), schema))
-    counts = coded.groupBy("t", "cell").agg(F.count("*").alias("rows")).withColumn("blocks", F.ceil(F.col("rows") / BLOCK)).filter("rows > 1").select("t", "cell", "blocks")
+    counts = coded.groupBy("t", "cell").agg(F.count("*").alias("rows")).withColumn("blocks", F.ceil(F.col("rows") / BLOCK)).filter("rows > 1")
+    counts, seen = cut_counting(counts, rows=F.sum(F.col("rows") * F.col("blocks")))
+    tasks = max(coded.sparkSession.sparkContext.defaultParallelism, -(-(seen["rows"] or 0) // TASK_ROWS))
+    counts = counts.select("t", "cell", "blocks")
     lying = coded.join(counts, ["t", "cell"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
     meeting = lying.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     meeting = meeting.withColumn("low", F.least("own", "block")).withColumn("high", F.greatest("own", "block"))
+    meeting = meeting.repartition(tasks, "t", "cell", "low", "high")
     survivors = meeting.groupBy("t", "cell", "low", "high").applyInPandas(_tile(min_cosine), "a bigint, b bigint").distinct()
     survivors = cut(survivors)
     exact = (

@@ -163,7 +163,7 @@ def test_similar_pairs_against_brute_force(spark):
     assert as_set(similar.all_pairs(similar.similar_pairs(rows, 0.95))) == want
     many = similar.Cells((16, 4), 30)  # partitions with small cells find the same
     assert as_set(similar.all_pairs(similar.similar_pairs(rows, 0.95, many))) == want
-    nn = similar.nearest(rows, rows.filter("id % 100 = 0"), 10, block_rows=60)
+    nn = similar.nearest(rows, rows.filter("id % 100 = 0"), 10, row_block=60, query_block=2)
     got = {}
     for r in nn.collect():
         got.setdefault(r["id"], {})[r["place"]] = r["neighbour"]
@@ -171,6 +171,13 @@ def test_similar_pairs_against_brute_force(spark):
         order = sorted((j for j in range(500) if j != q), key=lambda j: (-s[q, j], j))
         score = {j: s[q, j] for j in range(500)}
         assert [score[got[q][k]] for k in range(1, 11)] == pytest.approx([score[j] for j in order[:10]], abs=1e-9)
+    every = {}
+    for r in similar.nearest(rows, rows, 5, row_block=200, query_block=70).collect():
+        every.setdefault(r["id"], {})[r["place"]] = (r["neighbour"], r["cosine"])
+    for q in range(500):
+        order = sorted((-round(s[q, j], 9), j) for j in range(500) if j != q)[:5]
+        assert [-c for c, _ in order] == pytest.approx([every[q][k][1] for k in range(1, 6)], abs=1e-6)
+        assert q in {0, *range(450, 500)} or [j for _, j in order] == [every[q][k][0] for k in range(1, 6)]
     none = rows.filter("id < 0")
     assert similar.all_pairs(similar.similar_pairs(none, 0.95)).count() == 0 and similar.nearest(none, none, 3).count() == 0
 
@@ -204,7 +211,7 @@ def test_cells_meet_often_enough():
 
 # ---------------------------------------------------------------- p7
 
-TEXTS = ["", None, " ", "Hello world, it's 2030.", "a\n\n  b\t\tc  　d e", "<|endoftext|> x", "naïve café é", "日本語テキスト🚢🏴󠁧󠁢", "x" * 50_000, "word " * 30_000, "\U0001fae8 new \U0001fae9", "don't DON'T 'll ''s", "\r\n\r\n", "  lead and trail  ", "ⅷ²٣ mixed123abc"]
+TEXTS = ["", None, " ", "Hello world, it's 2030.", "a\n\n  b\t\tc  　d e", "<|endoftext|> x", "naïve café é", "日本語テキスト🚢🏴󠁧󠁢", "x" * 50_000, "x" * 70_000 + " y " + "long" * 30_000, "word " * 30_000, "\U0001fae8 new \U0001fae9", "don't DON'T 'll ''s", "\r\n\r\n", "  lead and trail  ", "ⅷ²٣ mixed123abc"]
 
 
 def test_encoding_and_round_trip(spark):
