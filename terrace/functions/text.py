@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # The one-letter escapes of N-Triples and what they stand for.
 LETTER_ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
 
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = " \t\n\x0b\f\r\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
 _PIECE = r"(?s)\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]+|\\"
 _ILLEGAL = r"[\x00-\x20\"<>#%{}|\\^`]"
 _ILLEGAL_PIECE = r"(?s)[\x00-\x20\"<>#%{}|\\^`]|[^\x00-\x20\"<>#%{}|\\^`]+"
@@ -106,7 +109,7 @@ def collapse_space(value: Column) -> Column:
 
 def strip_space(value: Column) -> Column:
     """Without Unicode white space at the ends."""
-    return F.regexp_replace(value, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def lenient_long(value: Column) -> Column:

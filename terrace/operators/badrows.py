@@ -37,13 +37,7 @@ REJECT_SCHEMA = "line_id bigint, origin string, reason string, raw string"
 
 def real_day(value: Column) -> Column:
     """True for YYYY-MM-DD that names a day of the Gregorian calendar, years 0001 to 9999."""
-    part = lambda a, n: F.substring(value, a, n).try_cast("int")
-    y, m, d = part(1, 4), part(6, 2), part(9, 2)
-    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    last = (
-        F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
-    )
-    return full_match(value, DATE) & (y >= 1) & m.between(1, 12) & (d >= 1) & (d <= last)
+    return full_match(value, DATE) & ~value.startswith("0000") & value.try_cast("date").isNotNull()
 
 
 def value_fits(value: Column, kind: Column) -> Column:

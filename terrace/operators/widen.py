@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.text import percent_decode, strip_space
-from terrace.operators.badrows import DOUBLE, real_day
+from terrace.operators.badrows import DATE, DOUBLE
 from terrace.runtime import cut, full_match
 
 MAX_ATTRIBUTES = 10_000
@@ -33,7 +33,9 @@ _SLOT = {"int": "i", "float": "f", "date": "d", "string": "t"}
 
 def plain_subject(s: Column) -> Column:
     """http form, percent-decoded, without trailing slashes."""
-    return F.regexp_replace(percent_decode(F.regexp_replace(s, "^https://", "http://")), r"(?<=[^/:])/+\z", "")
+    http = F.when(s.startswith("https://"), F.concat(F.lit("http"), F.substr(s, F.lit(6)))).otherwise(s)
+    decoded = percent_decode(http)
+    return F.when(decoded.endswith("/"), F.regexp_replace(decoded, r"(?<=[^/:])/+\z", "")).otherwise(decoded)
 
 
 @dataclass
@@ -53,14 +55,13 @@ def attribute_columns(attributes: DataFrame) -> list[Attribute]:
     return named
 
 
-def typed_slots(o: Column, coltype: Column) -> list[Column]:
-    """Four typed columns of which the one for ``coltype`` is set where the text is readable."""
-    text = strip_space(o)
+def typed_slots(text: Column, coltype: Column) -> list[Column]:
+    """Four typed columns of which the one for ``coltype`` is set where the text, trimmed before, is readable."""
     whole = F.regexp_extract(text, r"^([+-]?[0-9]+)(?:\.0+)?\z", 1)
     return [
         F.when(coltype == "int", F.nullif(whole, F.lit("")).try_cast("bigint")).alias("i"),
         F.when((coltype == "float") & full_match(text, DOUBLE), text.try_cast("double") + F.lit(0.0)).alias("f"),
-        F.when((coltype == "date") & real_day(text), text.try_cast("date")).alias("d"),
+        F.when((coltype == "date") & full_match(text, DATE) & ~text.startswith("0000"), text.try_cast("date")).alias("d"),
         F.when((coltype == "string") & (text != ""), text).alias("t"),
     ]
 
@@ -70,7 +71,7 @@ def cells(literals: DataFrame, attributes: DataFrame) -> DataFrame:
     known = attributes.select(F.col("p").alias("_p"), "colname", "coltype").distinct()
     if known.limit(MAX_ATTRIBUTES + 1).count() > MAX_ATTRIBUTES:
         raise ValueError(f"more than {MAX_ATTRIBUTES} attributes")
-    rows = literals.select(plain_subject(F.col("s")).alias("s"), F.col("p").alias("_p"), "o").filter(F.col("s").isNotNull())
+    rows = literals.filter(F.col("s").isNotNull()).select(plain_subject(F.col("s")).alias("s"), F.col("p").alias("_p"), strip_space(F.col("o")).alias("o"))
     typed = rows.join(F.broadcast(known), "_p").select("s", "colname", *typed_slots(F.col("o"), F.col("coltype")))
     least = [F.min(c).alias(c) for c in _SLOT.values()]
     several = [F.coalesce(F.min(c) != F.max(c), F.lit(False)) for c in _SLOT.values()]
