@@ -4,9 +4,9 @@
 2. One partial-aggregated shuffle makes cells (entity, column) with their least and greatest value, so neither a hot
    entity nor a hot attribute gathers its rows in one task. The cells are written partitioned by column: each
    partition is one narrow typed table.
-3. The narrow tables are hash-partitioned by entity and outer-joined in a balanced tree of fan-in ``FAN_IN``, each
-   node against the entity spine. Left outer joins on one key keep the partitioning, so a node of the tree is one stage
-   with no shuffle between its joins; the fan-in bounds the sorts that share a task's memory.
+3. The narrow tables lie in buckets by entity, their number by the number of rows, and are outer-joined in a balanced
+   tree of fan-in ``FAN_IN``, each node against the entity spine. All tables share the buckets, so a node of the tree is
+   one stage and nothing is shuffled again; the fan-in bounds the sorts that share a task's memory.
 
 Defined results: unreadable or null values give no value; an entity all of whose values are unreadable keeps a row
 of nulls; a cell with several different values takes the least and is listed in ``conflicts``; repeated rows change
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from terrace.functions.text import percent_decode, strip_space
 from terrace.operators.badrows import DATE, DOUBLE
-from terrace.runtime import cut, full_match
+from terrace.runtime import cut_bucketed, full_match
 
 MAX_ATTRIBUTES = 10_000
 FAN_IN = 5
+BUCKET_ROWS = 2_000_000
 SPARK_TYPES = {"int": "bigint", "float": "double", "date": "date", "string": "string"}
 _SLOT = {"int": "i", "float": "f", "date": "d", "string": "t"}
 
@@ -84,8 +85,10 @@ def cells(literals: DataFrame, attributes: DataFrame) -> DataFrame:
 def widen(literals: DataFrame, attributes: DataFrame) -> DataFrame:
     """``s``, one typed column per attribute column in order of name, ``conflicts`` (sorted column names)."""
     columns = attribute_columns(attributes)
-    narrow = cut(cells(literals, attributes), partition_by=["colname"])
-    spine = cut(narrow.select("s").distinct())
+    spark = literals.sparkSession
+    buckets = max(spark.sparkContext.defaultParallelism, -(-literals.count() // BUCKET_ROWS))
+    narrow = cut_bucketed(cells(literals, attributes), buckets, "s", partition_by="colname")
+    spine = cut_bucketed(narrow.select("s").distinct(), buckets, "s", placed=True)
 
     def leaf(a: Attribute) -> DataFrame:
         mine = narrow.filter(F.col("colname") == a.colname)
@@ -105,7 +108,7 @@ def widen(literals: DataFrame, attributes: DataFrame) -> DataFrame:
             joined.append(out)
         if len(joined) == 1:
             break
-        parts = [cut(one) for one in joined]
+        parts = [cut_bucketed(one, buckets, "s", placed=True) for one in joined]
     flags = F.flatten(F.array(*[F.coalesce(F.col(f"`_{a.colname}`.c"), F.array().cast("array<string>")) for a in columns]))
     return joined[0].select("s", *[F.col(f"`_{a.colname}`.v").alias(a.colname) for a in columns], flags.alias("conflicts"))
 

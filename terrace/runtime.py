@@ -46,6 +46,21 @@ def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     return back.select([F.col(_quoted(f.name)) for f in schema.fields])
 
 
+def cut_bucketed(df: DataFrame, buckets: int, key: str, partition_by: str | None = None, placed: bool = False) -> DataFrame:
+    """``cut`` into ``buckets`` files by a hash of ``key``; joins and groupings of such tables on the key need no shuffle.
+
+    ``placed``: the rows come from joins of tables with the same buckets and lie right already. The table's name stays in
+    the session's catalogue as long as the result may be used.
+    """
+    spark = df.sparkSession
+    name = f"cut_{uuid.uuid4().hex}"
+    writer = (df if placed else df.repartition(buckets, key)).write.bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.options(path=f"{shared_dir(spark)}/cut-{name[4:]}", compression="zstd").saveAsTable(name)
+    return spark.table(name).select(df.columns)
+
+
 def cut_counting(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     """``cut`` with aggregates of the rows taken while they are written, so that no further job reads them."""
     seen = Observation()
