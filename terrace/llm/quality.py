@@ -31,14 +31,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.functions.text import WHITE_SPACE
 from terrace.runtime import cut, spread
 
 SEGMENT, REST = 30, 9
 MAX_COMMON_WORDS = 100_000
 BREAK = "␤"
 ROUNDS = 60
-LINE = r"(?U)\S[^\n]*+"
-CLOSED = r"""(?U)[.!?…。]["'”’»)\]]*+[^\S\n]*+(?:\n|\z)"""
+STOPS, CLOSERS = (".", "!", "?", "…", "。"), "\"'”’»)]"
 
 TYPES = ("prose", "list", "table", "junk")
 VOTES = ("common", "distinct_common", "gap", "symbols", "digits", "lower", "length", "marks", "lines", "repeats")
@@ -64,17 +64,28 @@ def _among(words: list[str]):
     return lambda x: x.isin(words)
 
 
+def plain_text(text: Column) -> Column:
+    """Full-width letters narrowed, soft hyphens and zero-width spaces dropped, line ends as line feeds, all other white
+    space as blanks, none of it in front. Most texts hold nothing of the kind and are only looked through."""
+    wide, narrow = "".join(chr(c) for c in range(0xFF01, 0xFF5F)), "".join(chr(c) for c in range(0x21, 0x7F))
+    space = "".join(c for c in WHITE_SPACE if c not in " \n\r\x85\u2028\u2029")
+    odd = r"[\u00ad\u200b\uff01-\uff5e\t\x0b\f\r\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    mapped = F.translate(text, wide + space + "\u00ad\u200b", narrow + " " * len(space))
+    return F.ltrim(F.when(text.rlike(odd), F.regexp_replace(mapped, r"\r\n?|[\u2028\u2029\u0085]", "\n")).otherwise(text), F.lit(" \n"))
+
+
 def segments(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     """One row per segment with its statistics."""
-    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
-    narrow = "".join(chr(c) for c in range(0x21, 0x7F))
-    text = F.regexp_replace(F.translate(F.regexp_replace("text", r"(?U)[\u00ad\u200b]|^\s++", ""), wide, narrow), r"\r\n?|[\u2028\u2029\u0085]", "\n")
-    piece = rf"(?U)\S++(?:\s++\S++){{0,{SEGMENT - 1}}}+(?:(?:\s++\S++){{1,{REST}}}+\s*+\z)?+"
+    text = plain_text(F.col("text"))
+    piece = rf"[^ ]++(?: ++[^ ]++){{0,{SEGMENT - 1}}}+(?:(?: ++[^ ]++){{1,{REST}}}+ *+\z)?+"
     rows = documents.filter("text is not null").select("doc_id", F.lower("lang").alias("lang"), F.xxhash64("text").alias("h"), text.alias("text"))
-    lines = F.struct(F.regexp_count("text", F.lit(LINE)).alias("all"), F.regexp_count("text", F.lit(CLOSED)).alias("closed")).alias("lines")
-    parts = rows.select("doc_id", "lang", F.struct("h", lines).alias("h"), F.posexplode(F.split("text", r"(?U)\n\s*\n")).alias("at", "part"))
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda x: F.btrim(x)), lambda x: x != "")
+    rows = rows.withColumn("lines", lines)
+    closed = _count(F.col("lines"), lambda x: F.substring(F.rtrim(x, F.lit(CLOSERS)), -1, 1).isin(*STOPS))
+    rows = rows.select("doc_id", "lang", F.struct("h", F.struct(F.size("lines").alias("all"), closed.alias("closed")).alias("lines")).alias("h"), "text")
+    parts = rows.select("doc_id", "lang", "h", F.posexplode(F.split("text", r"\n[ \n]*\n")).alias("at", "part"))
     cut_ = parts.select("doc_id", "lang", "h", "at", F.posexplode(F.regexp_extract_all(F.replace("part", F.lit("\n"), F.lit(f" {BREAK} ")), F.lit(piece), F.lit(0))).alias("in_part", "seg"))
-    tokens = F.filter(F.split("seg", r"(?U)\s+"), lambda x: (x != "") & (x != BREAK))
+    tokens = F.filter(F.split("seg", " "), lambda x: (x != "") & (x != BREAK))
     bare = F.transform("tok", lambda x: F.regexp_replace(F.lower(x), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+\z", ""))
     first = ((F.col("at") == 0) & (F.col("in_part") == 0)).cast("int").alias("first")  # one for each row, repeated ones too
     every = sorted({w for ws in common.values() for w in ws}) or [""]
@@ -86,7 +97,7 @@ def segments(documents: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     s = s.select(
         "doc_id", "lang", F.col("h.h").alias("h"), "h.lines", "first",
         n.alias("n"),
-        chars(r"(?U)\s+").alias("chars"),
+        F.char_length(F.replace(plain, F.lit(" "), F.lit(""))).alias("chars"),
         chars(r"[^\p{L}]+").alias("letters"),
         chars(r"[^\p{N}]+").alias("digits"),
         F.regexp_count("seg", F.lit(BREAK)).alias("breaks"),
