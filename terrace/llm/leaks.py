@@ -2,19 +2,24 @@
 
 Latent semantic retrieval. Evaluation texts are cut into passages, weighted by TF-IDF with document frequencies of the
 whole corpus, and a randomised SVD (range finding with power iterations, its products summed over tasks) gives the
-latent space. A shared run of ``RUN`` words (all words, if the item has fewer) is a verbatim leak. Every window of just
-that many words, at step 1, is projected on one direction of the latent space in whole numbers; a run has the very
-value of the item's own window, so no threshold is needed, and windows of equal value are compared word by word.
+latent space.
 
-For paraphrases wider windows are projected whole; those whose cosine to a passage reaches ``PARAPHRASE_COSINE`` make
-the document a candidate for the passage's item, on which the longest common subsequence and the presence of the item's
-rarest words, its answers, decide. The cosine reported of a verbatim leak is that of its best window, however low.
+Verbatim leaks: a shared run of ``RUN`` words (all words, if the item has fewer). Every window of just that many words,
+at step 1, is projected on one direction of the latent space in whole numbers; a run has the very value of the item's
+own window, so no threshold is needed, and windows of equal value are compared word by word. The cosine reported is
+that of the best window around the run, however low.
 
-Any shared run lies whole within one wide window and one passage: windows are 2n words at steps of n, passages 15 words
-at steps of 5, for runs of n = 10; items shorter than 6 words get windows of their own length class.
+Paraphrases of single passages: every name and number of the passage (its answers; the rarest words, if it has none)
+must occur near by. A window is therefore only searched for passages whose rarest answer word it holds, which loses
+nothing. Windows whose cosine to such a passage reaches ``PARAPHRASE_COSINE`` are candidates; all answers and a common
+subsequence of ``PARAPHRASE_SHARE`` of the passage in the words around decide.
 
-Evaluation items are read in blocks of at most ``BLOCK_WORDS`` words, so what is broadcast is bounded however many
-there are. Documents are never joined with each other and nothing of the corpus but word counts reaches the driver.
+The corpus is cut into words once, as 64-bit hashes (two words of a corpus of 10^9 different ones share the hash of one
+of 10^5 evaluation words with a chance of 1 in 10^5; a false run needs ten such words in a row). It is then read twice,
+however many items there are: once for document frequencies, once for the search, in which each task takes the blocks
+of items in turn. Items are packed into blocks of ``BLOCK_WORDS`` words (a longer item is a block of its own), which
+bounds what is broadcast at a time. Documents are never joined with each other and nothing of the corpus but word counts
+reaches the driver.
 
 Defined results: null, empty and wordless texts match nothing; repeated documents or items count once per id; an item
 of n < 10 words needs all its words in order; equal items are reported each; empty tables give empty results.
@@ -25,14 +30,14 @@ from __future__ import annotations
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.runtime import cut, spread
+from terrace.runtime import cut_counting, spread
 
 RUN = 10
 PASSAGE, STEP = 15, 5
@@ -42,94 +47,215 @@ PARAPHRASE_COSINE = 0.6
 PARAPHRASE_SHARE = 0.7
 ANSWER_WORDS = 3
 BLOCK_WORDS = 40_000
-DOCS_PER_TASK = 5_000
+TASK_WORDS, TASK_DOCS = 2_000_000, 5_000
+TASK_TRIPLES = 50_000
+MEMO_WORDS = 1_000_000
 SEED = 8
 
 _word = None
+_memo: dict[str, int] = {}
 
 
-def words(text: str | None) -> list[str]:
-    """NFKC, lower case, without soft hyphens and zero-width spaces, cut into runs of letters and digits."""
+def _plain(text: str) -> str:
+    return unicodedata.normalize("NFKC", text)
+
+
+def _cutter():
     global _word
-    if not text:
-        return []
     if _word is None:
         import regex
 
         _word = regex.compile(r"[\p{L}\p{N}]+")
-    return _word.findall(unicodedata.normalize("NFKC", text).lower().replace("­", "").replace("​", ""))
+    return _word
+
+
+def words(text: str | None) -> list[str]:
+    """NFKC, lower case, without soft hyphens and zero-width spaces, cut into runs of letters and digits."""
+    return _cutter().findall(_plain(text).lower().replace("­", "").replace("​", "")) if text else []
+
+
+def _hash(word: str) -> int:
+    import xxhash
+
+    if len(_memo) >= MEMO_WORDS:
+        _memo.clear()
+    _memo[word] = code = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+    return code
+
+
+def word_codes(ws: list[str]) -> np.ndarray:
+    got = map(_memo.get, ws)
+    return np.array([_hash(w) if c is None else c for c, w in zip(got, ws)], dtype=np.int64)
+
+
+def answers(text: str) -> list[tuple[int, int]]:
+    """Spans (first word, word behind the last) of names and numbers: words with digits, and words in capitals that do
+    not begin a sentence."""
+    plain = _plain(text).replace("­", "").replace("​", "")
+    found = list(_cutter().finditer(plain))
+    if [m.group().lower() for m in found] != words(text):
+        return []
+    marked, end = [], 0
+    for m in found:
+        gap = plain[end : m.start()]
+        begins = end == 0 or any(c in ".!?…:\n" for c in gap)
+        marked.append(any(c.isdigit() for c in m.group()) or (m.group()[0].isupper() and not begins))
+        end = m.end()
+    spans, start = [], None
+    for k, is_ in enumerate([*marked, False]):
+        if is_ and start is None:
+            start = k
+        elif not is_ and start is not None:
+            spans.append((start, k))
+            start = None
+    return spans
+
+
+def _starts(n: int, size: int, step: int) -> np.ndarray:
+    at = np.arange(0, max(1, n - size + 1), step)
+    return at if n <= size or at[-1] + size >= n else np.append(at, n - size)
 
 
 @dataclass
-class Items:
-    """One block of evaluation items as word numbers."""
+class Block:
+    """Evaluation items as numbers of the block's own vocabulary (``hashes``, ascending), their passages and runs."""
 
     ids: list[int]
     codes: list[np.ndarray]
-    vocabulary: dict[str, int]
+    hashes: np.ndarray
+    owner: np.ndarray
+    start: np.ndarray
+    spans: list[list[tuple[int, int]]]
+    rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
+    latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
+    needed: list[list[np.ndarray]] = field(default_factory=list)
+    anchored: dict[int, list[int]] = field(default_factory=dict)
+    of_item: list[list[int]] = field(default_factory=list)
+    runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    value: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
 
     @staticmethod
-    def of(rows: list[tuple[int, str]]) -> Items:
-        cut_ = [(i, w) for i, w in ((i, words(t)) for i, t in rows) if w]
-        vocabulary = {w: k for k, w in enumerate(sorted({w for _, ws in cut_ for w in ws}))}
-        return Items([i for i, _ in cut_], [np.array([vocabulary[w] for w in ws], dtype=np.int32) for _, ws in cut_], vocabulary)
+    def of(rows: list[tuple[int, str, list[str]]]) -> Block:
+        raw = [word_codes(ws) for _, _, ws in rows]
+        hashes = np.unique(np.concatenate(raw))
+        codes = [np.searchsorted(hashes, c).astype(np.int32) for c in raw]
+        at = [(k, int(s)) for k, c in enumerate(codes) for s in _starts(len(c), PASSAGE, STEP)]
+        return Block([i for i, _, _ in rows], codes, hashes, np.array([k for k, _ in at]), np.array([s for _, s in at]), [answers(t) for _, t, _ in rows])
 
     def run_length(self, k: int) -> int:
         return min(RUN, len(self.codes[k]))
 
-    def classes(self) -> dict[int, list[int]]:
-        """Items by window step: 10 for all but the very short, whose step is their length."""
-        out: dict[int, list[int]] = defaultdict(list)
-        for k in range(len(self.ids)):
+    def step(self, p: int) -> int:
+        """Windows are twice as long: 20 words at steps of 10, for the very short items as many as they need."""
+        n = self.run_length(self.owner[p])
+        return RUN if n >= 6 else n
+
+    def passage(self, p: int) -> np.ndarray:
+        return self.codes[self.owner[p]][self.start[p] : self.start[p] + PASSAGE]
+
+    def triples(self, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The TF-IDF matrix of the passages, rows of length 1, as (passage, word, weight), ordered by passage."""
+        parts = [np.unique(self.passage(p), return_counts=True) for p in range(len(self.owner))]
+        row = np.repeat(np.arange(len(parts)), [len(w) for w, _ in parts])
+        col = np.concatenate([w for w, _ in parts]).astype(np.int64)
+        weight = np.concatenate([n for _, n in parts]) * idf[col]
+        length = np.sqrt(np.bincount(row, weight**2))
+        return row, col, (weight / length[row]).astype(np.float32)
+
+    def finish(self, idf: np.ndarray, space: np.ndarray, triples: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        row, col, weight = triples
+        first = np.searchsorted(row, np.arange(len(self.owner)))
+        latent = np.vstack([np.add.reduceat(weight[a:b, None] * space[col[a:b]], first[lo : lo + 1024] - a, axis=0) for lo, a, b in self._slices(first, len(row))])
+        self.latent = latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-12)
+        self.rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]), dtype=np.float32)]).astype(np.float32)
+        self.of_item = [[] for _ in self.ids]
+        for p, k in enumerate(self.owner):
+            self.of_item[k].append(p)
+            s, codes = int(self.start[p]), self.passage(p)
+            mine = [codes[a - s : b - s] for a, b in self.spans[k] if s <= a and b <= s + len(codes)]
+            if not mine:
+                mine = [codes[i : i + 1] for i in np.argsort(-idf[codes], kind="stable")[:ANSWER_WORDS]]
+            rarest = max((int(c) for span in mine for c in span), key=lambda c: (idf[c], -c))
+            self.needed.append(mine)
+            self.anchored.setdefault(rarest, []).append(p)
+        direction = np.random.default_rng(SEED).standard_normal(space.shape[1])
+        self.value = np.rint(self.rows.astype(np.float64) @ direction * 2.0**32).astype(np.int64)
+        by_length = defaultdict(list)
+        for k, codes in enumerate(self.codes):
             n = self.run_length(k)
-            out[RUN if n >= 6 else n].append(k)
-        return dict(out)
-
+            sums = np.concatenate([[0], np.cumsum(self.value[codes])])
+            by_length[n].append((sums[n:] - sums[:-n], np.full(len(codes) - n + 1, k), np.arange(len(codes) - n + 1)))
+        for n, parts in by_length.items():
+            value, item, at = (np.concatenate([x[j] for x in parts]) for j in range(3))
+            order = np.argsort(value, kind="stable")
+            self.runs[n] = (value[order], item[order], at[order])
 
-def _starts(n: int, size: int, step: int) -> np.ndarray:
-    at = np.arange(0, max(1, n - size + 1), step)
-    return at if n <= size or at[-1] + size >= n else np.append(at, n - size)
+    @staticmethod
+    def _slices(first: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
+        for lo in range(0, len(first), 1024):
+            yield lo, int(first[lo]), int(first[lo + 1024]) if lo + 1024 < len(first) else n
 
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """Word hashes as numbers of the vocabulary, -1 for others."""
+        at = np.minimum(np.searchsorted(self.hashes, codes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == codes, at, -1)
 
-def passages(items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Triples (passage, word, count) and the item of each passage, as arrays: passage numbers, words, owners."""
-    number, word, owner = [], [], []
-    for k, codes in enumerate(items.codes):
-        for s in _starts(len(codes), PASSAGE, STEP):
-            part = codes[s : s + PASSAGE]
-            number.append(np.full(len(part), len(owner)))
-            word.append(part)
-            owner.append(k)
-    return np.concatenate(number), np.concatenate(word), np.array(owner)
+    def found(self, codes: np.ndarray, inside: np.ndarray) -> dict[int, list[int]]:
+        """Items of which ``codes`` holds a run, and where. Sums wrap round on both sides alike."""
+        out: dict[int, list[int]] = defaultdict(list)
+        sums = np.concatenate([[0], np.cumsum(self.value[codes])])
+        for n, (values, item, at) in self.runs.items():
+            there = np.flatnonzero(inside[n:] - inside[:-n] == n) if len(codes) >= n else ()
+            if len(there):
+                mine = sums[there + n] - sums[there]
+                low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                for i in np.flatnonzero(high > low):
+                    run = codes[there[i] : there[i] + n]
+                    for j in range(low[i], high[i]):
+                        if np.array_equal(self.codes[item[j]][at[j] : at[j] + n], run):
+                            out[int(item[j])].append(int(there[i]))
+        return out
 
 
 def randomised_svd(triples: DataFrame, columns: int, rank: int = RANK, power: int = POWER, seed: int = SEED) -> np.ndarray:
     """Right singular vectors (columns x rank) of the sparse matrix ``triples`` (row, col, weight).
 
-    The products A' (A X) run over tasks that hold whole rows of A; only columns x rank sums reach the driver.
+    The products A' (A X) run over tasks that hold whole rows of A, as many as the size of A asks for; their sums are
+    added up by column in a second stage, and only columns x rank numbers reach the driver.
     """
     spark = triples.sparkSession
     rank = min(rank, columns)
     width = min(columns, rank + 16)
     rng = np.random.default_rng(seed)
     base = rng.standard_normal((columns, width)).astype(np.float32)
+    tasks = max(1, -(-triples.count() // TASK_TRIPLES))
 
     def gram(x: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(x)
 
         def part(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            y, total = shared.value, np.zeros((columns, width), dtype=np.float64)
             frame = pd.concat(list(frames) or [pd.DataFrame({"row": [], "col": [], "weight": []})])
             if len(frame):
+                y = shared.value
                 row = np.unique(frame["row"].to_numpy(), return_inverse=True)[1]
-                col, weight = frame["col"].to_numpy(dtype=np.int64), frame["weight"].to_numpy(dtype=np.float32)
-                ay = np.zeros((row.max() + 1, width), dtype=np.float32)
-                np.add.at(ay, row, weight[:, None] * y[col])
+                used, col = np.unique(frame["col"].to_numpy(dtype=np.int64), return_inverse=True)
+                weight = frame["weight"].to_numpy(dtype=np.float32)
+                ay, total = np.zeros((row.max() + 1, width), dtype=np.float32), np.zeros((len(used), width), dtype=np.float64)
+                np.add.at(ay, row, weight[:, None] * y[used[col]])
                 np.add.at(total, col, weight[:, None] * ay[row])
-                used = np.unique(col)
-                yield pd.DataFrame({"col": used, "v": [v.tobytes() for v in total[used].astype(np.float32)]})
-
-        sums = triples.repartition(F.pmod("row", F.lit(4))).mapInPandas(part, "col bigint, v binary")
+                yield pd.DataFrame({"col": used, "v": [v.tobytes() for v in total.astype(np.float32)]})
+
+        def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums: dict[int, np.ndarray] = {}
+            for frame in frames:
+                for c, v in zip(frame["col"], frame["v"]):
+                    one = np.frombuffer(v, dtype=np.float32)
+                    sums[c] = sums[c] + one if c in sums else one.astype(np.float64)
+            yield pd.DataFrame({"col": list(sums), "v": [v.astype(np.float32).tobytes() for v in sums.values()]})
+
+        sums = triples.repartition(tasks, "row").mapInPandas(part, "col bigint, v binary")
+        if tasks > 1:
+            sums = sums.repartition(tasks, "col").mapInPandas(add, "col bigint, v binary")
         total = np.zeros((columns, width))
         for r in sums.collect():
             total[r["col"]] += np.frombuffer(r["v"], dtype=np.float32)
@@ -140,46 +266,41 @@ def randomised_svd(triples: DataFrame, columns: int, rank: int = RANK, power: in
     for _ in range(power):
         y = gram(np.linalg.qr(y)[0].astype(np.float32))
     q = np.linalg.qr(y)[0]
-    small = q.T @ gram(q.astype(np.float32)) if width == q.shape[1] else None
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
+    small = q.T @ gram(q.astype(np.float32))
+    _, vectors = np.linalg.eigh((small + small.T) / 2)
     return (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
 
 
-def _coded(documents: DataFrame, items: Items) -> DataFrame:
-    """``doc_id``, ``codes``: the words of each document as numbers of the block's vocabulary, -1 for others."""
-    shared = documents.sparkSession.sparkContext.broadcast(items.vocabulary)
+def coded(documents: DataFrame) -> tuple[DataFrame, int, int]:
+    """``doc_id``, ``codes`` of each document with words, and how many documents and words there are."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "codes": [[known.get(w, -1) for w in words(t)] for t in frame["text"]]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "codes": [word_codes(words(t)) for t in frame["text"]]})
 
     rows = spread(documents.filter("doc_id is not null and text is not null").select("doc_id", "text"))
-    return cut(rows.mapInPandas(run, "doc_id bigint, codes array<int>"))
+    out, seen = cut_counting(rows.mapInPandas(run, "doc_id bigint, codes array<bigint>"), docs=F.count("*"), words=F.sum(F.size("codes")))
+    return out, seen["docs"], seen["words"] or 0
 
 
-def _spread(coded: DataFrame) -> DataFrame:
-    """Evenly over the cores: the number arrays are small for the work done on them."""
-    parts = max(4 * coded.sparkSession.sparkContext.defaultParallelism, coded.count() // DOCS_PER_TASK)
-    return coded.repartition(parts, "doc_id")
-
-
-def _weights(coded: DataFrame, size: int) -> np.ndarray:
-    """Inverse document frequencies over all documents."""
+def document_frequencies(corpus: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
+    """In how many documents each word of ``vocabulary`` (hashes, ascending) occurs."""
+    shared = corpus.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = np.zeros(size, dtype=np.int64)
-        docs = 0
+        known = shared.value
+        count = np.zeros(len(known), dtype=np.int64)
         for frame in frames:
-            docs += len(frame)
             for codes in frame["codes"]:
-                count[np.unique(codes[codes >= 0])] += 1
-        yield pd.DataFrame({"w": np.append(np.flatnonzero(count), size), "n": np.append(count[count > 0], docs)})
+                once = np.unique(codes)
+                at = np.minimum(np.searchsorted(known, once), len(known) - 1)
+                count[at[known[at] == once]] += 1
+        yield pd.DataFrame({"w": np.flatnonzero(count), "n": count[count > 0]})
 
-    got = coded.mapInPandas(run, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(size + 1)
+    got = corpus.mapInPandas(run, "w bigint, n bigint").groupBy("w").agg(F.sum("n").alias("n")).toPandas()
+    n = np.zeros(len(vocabulary))
     n[got["w"]] = got["n"]
-    return (np.log((n[size] + 1) / (n[:size] + 1)) + 1).astype(np.float32)
+    return n
 
 
 def _common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -191,136 +312,105 @@ def _common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return int(best[-1])
 
 
-class Runs:
-    """All runs of the items by length, found by the value of their projection on one direction of the latent space.
-
-    The values of words are whole numbers, so a window has the same sum wherever it stands and whatever is summed
-    before it (overflow wraps round on both sides alike). Equal values only select what is compared word by word.
-    """
-
-    def __init__(self, items: Items, word_rows: np.ndarray):
-        direction = np.random.default_rng(SEED).standard_normal(word_rows.shape[1])
-        self.value = np.rint(word_rows.astype(np.float64) @ direction * 2.0**32).astype(np.int64)
-        self.owners: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
-        for k, codes in enumerate(items.codes):
-            n = items.run_length(k)
-            for run in {codes[s : s + n].tobytes() for s in range(len(codes) - n + 1)}:
-                self.owners[n][run].append(k)
-        self.values = {n: np.unique([self.value[np.frombuffer(r, dtype=np.int32)].sum() for r in runs]) for n, runs in self.owners.items()}
-
-    def found(self, codes: np.ndarray) -> set[int]:
-        """Items of which ``codes`` holds a run."""
-        out: set[int] = set()
-        sums = np.concatenate([[0], np.cumsum(self.value[codes])])
-        inside = np.concatenate([[0], np.cumsum(codes >= 0)])
-        for n, values in self.values.items():
-            at = np.flatnonzero(inside[n:] - inside[:-n] == n) if len(codes) >= n else []
-            if len(at):
-                for s in at[np.isin(sums[at + n] - sums[at], values)]:
-                    out.update(self.owners[n].get(codes[s : s + n].tobytes(), ()))
-        return out
-
-
-def _search(items: Items, idf: np.ndarray, space: np.ndarray, owner: np.ndarray, latent: np.ndarray):
-    word_rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]), dtype=np.float32)])
-    answers = [codes[np.argsort(-idf[codes], kind="stable")][:ANSWER_WORDS] for codes in items.codes]
-    by_class = items.classes()
-    member = {step: np.flatnonzero(np.isin(owner, ks)) for step, ks in by_class.items()}
-    least = {step: min(items.run_length(k) for k in ks) for step, ks in by_class.items()}
-
-    def candidates(docs: list[np.ndarray], verbatim: list[set[int]]) -> dict[tuple[int, int], tuple[float, int]]:
-        """(document, item) -> best cosine and where its window starts, verbatim pairs at any cosine."""
-        out: dict[tuple[int, int], tuple[float, int]] = {}
-        for step, rows in member.items():
-            size, target, own = 2 * step, latent[rows].T, owner[rows]
-            block: list[tuple[int, int, np.ndarray]] = []
-
-            def flush(block=block, target=target, own=own):
-                if not block:
-                    return
-                m = np.vstack([b[2] for b in block])
-                m /= np.linalg.norm(m, axis=1, keepdims=True) + 1e-12
-                cos = m @ target
-                near = cos >= PARAPHRASE_COSINE
-                for i, (d, _, _) in enumerate(block):
-                    if verbatim[d]:
-                        near[i] |= np.isin(own, list(verbatim[d]))
-                for i, j in zip(*np.nonzero(near)):
-                    key = (block[i][0], int(own[j]))
-                    if key not in out or out[key][0] < cos[i, j]:
-                        out[key] = (float(cos[i, j]), block[i][1])
-                block.clear()
-
-            for d, codes in enumerate(docs):
-                n = len(codes)
-                if n == 0:
-                    continue
-                inside = np.concatenate([[0], np.cumsum(codes >= 0)])
-                at = _starts(n, size, step)
-                end = np.minimum(n, at + size)
-                at = at[inside[end] - inside[at] >= least[step]]
-                for lo in range(0, len(at), 512):
-                    some = at[lo : lo + 512]
-                    first, last = some[0], min(n, some[-1] + size)
-                    sums = np.zeros((last - first + 1, space.shape[1]), dtype=np.float32)
-                    np.cumsum(word_rows[codes[first:last]], axis=0, out=sums[1:])
-                    vec = sums[np.minimum(n, some + size) - first] - sums[some - first]
-                    block += [(d, int(s), v) for s, v in zip(some, vec)]
-                    if len(block) >= 4096:
-                        flush()
-            flush()
-        return out
-
+def _holds(near: np.ndarray, span: np.ndarray) -> bool:
+    return any(np.array_equal(near[s : s + len(span)], span) for s in np.flatnonzero(near == span[0]))
+
+
+def _in_document(b: Block, codes: np.ndarray, is_anchor: np.ndarray) -> list[tuple[int, str, float, float | None]]:
+    """(item, kind, cosine, lcs_share) of what one document shares with a block."""
+    inside = np.concatenate([[0], np.cumsum(codes >= 0)])
+    exact = b.found(codes, inside)
+    asked: set[tuple[int, int]] = set()
+
+    def ask(at: int, p: int) -> None:
+        step = b.step(p)
+        first = at // step * step
+        asked.add((first, p))
+        if first:
+            asked.add((first - step, p))
+
+    for k, places in exact.items():
+        for p in b.of_item[k]:
+            for at in places:
+                ask(at, p)
+    for at in np.flatnonzero(is_anchor[codes]):
+        for p in b.anchored[int(codes[at])]:
+            if int(b.owner[p]) not in exact:
+                ask(int(at), p)
+    vectors: dict[tuple[int, int], np.ndarray] = {}
+    best: dict[int, tuple[str, float, float | None]] = {}
+    for at, p in sorted(asked):
+        step = b.step(p)
+        if (at, step) not in vectors:
+            v = b.rows[codes[at : at + 2 * step]].sum(axis=0)
+            vectors[at, step] = v / (np.linalg.norm(v) + 1e-12)
+        k, cosine = int(b.owner[p]), float(vectors[at, step] @ b.latent[p])
+        if k in exact:
+            if k not in best or best[k][1] < cosine:
+                best[k] = ("verbatim", cosine, None)
+        elif cosine >= PARAPHRASE_COSINE and (k not in best or best[k][1] < cosine):
+            passage = b.passage(p)
+            near = codes[max(0, at - len(passage)) : at + 2 * step + len(passage)]
+            if np.isin(passage, near).mean() >= PARAPHRASE_SHARE and all(_holds(near, s) for s in b.needed[p]):
+                share = _common_subsequence(passage, near) / len(passage)
+                if share >= PARAPHRASE_SHARE:
+                    best[k] = ("paraphrase", cosine, share)
+    return [(k, *got) for k, got in best.items()]
+
+
+def _search(blocks: list):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        runs = Runs(items, word_rows)
+        ids, docs = [], []
         for frame in frames:
-            for lo in range(0, len(frame), 512):
-                part = frame.iloc[lo : lo + 512]
-                docs = [np.asarray(c, dtype=np.int32) for c in part["codes"]]
-                ids = part["doc_id"].to_numpy()
-                exact = [runs.found(c) for c in docs]
-                rows = []
-                for (d, k), (cosine, at) in sorted(candidates(docs, exact).items()):
-                    codes, verbatim, share = docs[d], k in exact[d], None
-                    if not verbatim:
-                        item = items.codes[k]
-                        near = codes[max(0, at - len(item)) : at + 2 * RUN + len(item)]
-                        if not np.isin(answers[k], near).all() or np.isin(item, near).mean() < PARAPHRASE_SHARE:
-                            continue
-                        share = _common_subsequence(item, near) / len(item)
-                        if share < PARAPHRASE_SHARE:
-                            continue
-                    rows.append((int(ids[d]), items.ids[k], "verbatim" if verbatim else "paraphrase", cosine, share))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "kind", "cosine", "lcs_share"])
+            ids += frame["doc_id"].tolist()
+            docs += [np.asarray(c, dtype=np.int64) for c in frame["codes"]]
+        if not docs:
+            return
+        ends = np.cumsum([len(d) for d in docs])
+        for shared in blocks:
+            b = shared.value
+            numbers = np.split(b.numbers(np.concatenate(docs)), ends[:-1])
+            is_anchor = np.zeros(len(b.hashes) + 1, dtype=bool)
+            is_anchor[list(b.anchored)] = True
+            rows = [(i, b.ids[k], *rest) for i, codes in zip(ids, numbers) if len(codes) for k, *rest in _in_document(b, codes, is_anchor)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "kind", "cosine", "lcs_share"]).astype({"lcs_share": "float64"})
 
     return run
 
 
+def _blocks(evaluation: DataFrame) -> list[Block]:
+    rows = evaluation.filter("item_id is not null and text is not null").select("item_id", "text").distinct().orderBy("item_id", "text")
+    out, mine, size = [], [], 0
+    for r in rows.toLocalIterator():
+        ws = words(r["text"])
+        if mine and ws and size + len(ws) > BLOCK_WORDS:
+            out.append(Block.of(mine))
+            mine, size = [], 0
+        if ws:
+            mine.append((r["item_id"], r["text"], ws))
+            size += len(ws)
+    return [*out, Block.of(mine)] if mine else out
+
+
 def leaks(documents: DataFrame, evaluation: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id``, ``kind`` (verbatim or paraphrase), ``cosine``, ``lcs_share`` (paraphrases only)."""
     spark = documents.sparkSession
     schema = "doc_id bigint, item_id bigint, kind string, cosine double, lcs_share double"
-    asked = evaluation.filter("item_id is not null and text is not null").select("item_id", "text").distinct()
-    size = asked.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_WORDS))
-    out = spark.createDataFrame([], schema)
-    for b in range(blocks):
-        mine = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        items = Items.of([(r["item_id"], r["text"]) for r in mine.orderBy("item_id", "text").collect()])
-        if not items.ids:
-            continue
-        coded = _coded(documents, items)
-        idf = _weights(coded, len(items.vocabulary))
-        number, word, owner = passages(items)
-        norm = np.zeros((len(owner), len(items.vocabulary)), dtype=np.float32)
-        np.add.at(norm, (number, word), idf[word])
-        norm /= np.linalg.norm(norm, axis=1, keepdims=True)
-        row, col = np.nonzero(norm)
-        triples = spark.createDataFrame(pd.DataFrame({"row": row.astype("int64"), "col": col.astype("int64"), "weight": norm[row, col].astype("float64")}))
-        space = randomised_svd(triples, len(items.vocabulary))
-        latent = norm @ space
-        latent /= np.linalg.norm(latent, axis=1, keepdims=True) + 1e-12
-        out = out.union(_spread(coded).mapInPandas(_search(items, idf, space, owner, latent), schema))
+    blocks = _blocks(evaluation)
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    corpus, docs, size = coded(documents)
+    vocabulary = np.unique(np.concatenate([b.hashes for b in blocks]))
+    frequency = document_frequencies(corpus, vocabulary)
+    shared = []
+    for b in blocks:
+        idf = (np.log((docs + 1) / (frequency[np.searchsorted(vocabulary, b.hashes)] + 1)) + 1).astype(np.float32)
+        row, col, weight = triples = b.triples(idf)
+        space = randomised_svd(spark.createDataFrame(pd.DataFrame({"row": row, "col": col, "weight": weight.astype("float64")})), len(b.hashes))
+        b.finish(idf, space, triples)
+        shared.append(spark.sparkContext.broadcast(b))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-size // TASK_WORDS), -(-docs // TASK_DOCS))
+    out = corpus.repartition(tasks, "doc_id").mapInPandas(_search(shared), schema)
     best = out.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("kind", "cosine", "lcs_share"), F.struct(F.col("kind") != "verbatim", -F.col("cosine"))).alias("b"))
     return best.select("doc_id", "item_id", "b.kind", "b.cosine", "b.lcs_share")

@@ -266,6 +266,44 @@ def test_run_between_rarer_words_of_other_items(spark):
     assert min(r["cosine"] for r in got) < 0.45
 
 
+def test_paraphrased_passages_of_longer_items(spark):
+    rng = random.Random(12)
+    common = [f"c{k}" for k in range(300)]
+    texts = [" ".join(f"Name{i}x{k}" if k % 7 == 3 else rng.choice(common) for k in range(60)) for i in range(40)]
+    docs, want = [doc(k, " ".join(rng.choices(common, k=60))) for k in range(300)], set()
+    for i, text in enumerate(texts):
+        for n, at in enumerate((0, 20, 45)):
+            part = text.split()[at : at + 15]
+            plain = [k for k, w in enumerate(part) if not w.startswith("Name")]
+            for k in sorted(rng.sample(plain, 2), reverse=True):
+                del part[k]
+            for k in rng.sample(range(1, 12, 3), 2):
+                part.insert(k, "oddly")
+            docs.append(doc(1000 + 10 * i + n, " ".join([*rng.choices(common, k=30), *part, *rng.choices(common, k=30)])))
+            want.add((1000 + 10 * i + n, i))
+        swapped = [w.replace(f"Name{i}x", f"Name{i}y") for w in text.split()[20:35]]  # other answers
+        docs.append(doc(5000 + i, " ".join([*rng.choices(common, k=30), *swapped[:7], "oddly", *swapped[7:], *rng.choices(common, k=30)])))
+    got = leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "item_id bigint, suite string, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got if r["kind"] == "paraphrase"}
+    assert len(found & want) >= 0.9 * len(want) and found <= want
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(rng.choice([3, 12, 40]))) for _ in range(60)]
+    docs = [doc(k, " ".join([*(f"w{rng.randrange(900)}" for _ in range(40)), *texts[k % 60].split()[:12], "z"])) for k in range(150)]
+    run = lambda: {tuple(r)[:3] for r in leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "item_id bigint, suite string, text string")).collect()}
+    one = run()
+    monkeypatch.setattr(leaks, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(leaks, "TASK_TRIPLES", 200)
+    assert {r for r in run() if r[2] == "verbatim"} == {r for r in one if r[2] == "verbatim"} and len(one) >= 150
+
+
+def test_answers():
+    plain = "Which waterway drains Bevi Gilopu after 1972? The town of Hodi kept 3 books."
+    assert [plain.replace("?", "").replace(".", "").split()[a:b] for a, b in leaks.answers(plain)] == [["Bevi", "Gilopu"], ["1972"], ["Hodi"], ["3"]]
+
+
 def test_subsequence():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 1, 3, 9, 5, 4])
     assert leaks._common_subsequence(a, b) == 3 and leaks._common_subsequence(a, a) == 5
