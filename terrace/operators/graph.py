@@ -103,32 +103,31 @@ def resolve(entities: DataFrame, edges: DataFrame, places: DataFrame, rules: Res
 
     An entity that is itself canonical resolves to itself, via ``self``. ``entities``: x, grp; ``places``: x, place
     with the walk's results; inherited properties look at the value one level deep.
-    """
 
-    def by_order(subjects: DataFrame, props: list[Property], inherited: dict[str, DataFrame]) -> DataFrame:
-        parts = None
-        for i, prop in enumerate(props):
-            mine = subjects.join(edges.filter(F.col("p") == prop.predicate).select(F.col("s").alias("x"), "o"), "x")
-            hit = mine.join(places.select(F.col("x").alias("o"), "place"), "o").select("x", "place", F.lit(prop.predicate).alias("via"), F.lit(i).alias("ord"))
-            if prop.inherit:
-                tried = None
-                for j, g in enumerate(prop.inherit):
-                    one = mine.join(inherited[g].select(F.col("x").alias("o"), "place"), "o").select("x", "o", "place", F.lit(j).alias("j"))
-                    tried = one if tried is None else tried.union(one)
-                best = tried.groupBy("x", "o").agg(F.min("j").alias("j"))
-                hit = tried.join(best, ["x", "o", "j"]).select("x", "place", F.lit(prop.predicate).alias("via"), F.lit(i).alias("ord"))
-            parts = hit if parts is None else parts.union(hit)
-        first = parts.groupBy("x").agg(F.min("ord").alias("ord"))
-        return parts.join(first, ["x", "ord"]).select("x", "place", "via").distinct()
-
-    needed = {g for props in rules.groups.values() for p in props for g in p.inherit}
-    values = edges.select(F.col("o").alias("x")).distinct()
-    inherited = {g: cut(by_order(values, [Property(p.predicate) for p in rules.groups[g] if not p.inherit], {})) for g in sorted(needed)}
-    self_ = entities.select("x").join(places.filter(F.col("x") == F.col("place")), "x").select("x", "place", F.lit("self").alias("via"))
-    out = self_
-    for g, props in rules.groups.items():
-        mine = entities.filter(F.col("grp") == g).select("x").join(self_.select("x"), "x", "left_anti")
-        out = out.union(by_order(mine, props, inherited))
+    The rules are a small table (group, property, place in order) joined to the links once; only the values of
+    inheriting properties are looked at a second time. The first place in order is a minimum, not a join back.
+    """
+    spark = entities.sparkSession
+    listed = [(g, p.predicate, i, p.inherit) for g, props in rules.groups.items() for i, p in enumerate(props)]
+    order = spark.createDataFrame([(g, p, i, bool(up)) for g, p, i, up in listed], "grp string, p string, ord int, inherits boolean")
+    steps = cut(edges.filter(F.col("p").isin(sorted({p for _, p, _, _ in listed}))).select("s", "p", "o").distinct())
+    self_ = entities.select("x").join(places.filter(F.col("x") == F.col("place")), "x").select("x", "place").distinct()
+    mine = entities.join(self_.select("x"), "x", "left_anti").join(steps.withColumnRenamed("s", "x"), "x").join(F.broadcast(order), ["grp", "p"])
+    at = places.select(F.col("x").alias("o"), "place")
+    found = mine.filter("not inherits").join(at, "o").select("x", "grp", "ord", "p", "place")
+    inherits = [(g, p, j, of) for g, p, _, up in listed for j, of in enumerate(up)]
+    if inherits:
+        ways = spark.createDataFrame(inherits, "grp string, p string, j int, of string")
+        values = mine.filter("inherits").join(F.broadcast(ways), ["grp", "p"]).select("x", "grp", "ord", "p", "o", "j", "of")
+        direct = order.filter("not inherits").select(F.col("grp").alias("of"), F.col("p").alias("q"), F.col("ord").alias("k"))
+        ahead = values.select("o", "of").distinct().join(steps.select(F.col("s").alias("o"), F.col("p").alias("q"), F.col("o").alias("v")), "o").join(F.broadcast(direct), ["of", "q"])
+        reached = ahead.join(places.select(F.col("x").alias("v"), "place"), "v").groupBy("o", "of", "k").agg(F.collect_set("place").alias("ps"))
+        first = reached.groupBy("o", "of").agg(F.min_by("ps", "k").alias("ps"))
+        best = values.join(first, ["o", "of"]).groupBy("x", "grp", "ord", "p", "o").agg(F.min_by("ps", "j").alias("ps"))
+        found = found.union(best.select("x", "grp", "ord", "p", F.explode("ps")))
+    by_property = found.groupBy("x", "grp", "ord").agg(F.collect_set("place").alias("ps"), F.min("p").alias("via"))
+    chosen = by_property.groupBy("x", "grp").agg(F.min_by(F.struct("ps", "via"), "ord").alias("b")).select("x", F.explode("b.ps").alias("place"), "b.via")
+    out = self_.select("x", "place", F.lit("self").alias("via")).union(chosen)
     return out.groupBy("x").agg(F.array_sort(F.collect_set("place")).alias("places"), F.min("via").alias("via"))
 
 
