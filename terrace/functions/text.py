@@ -59,22 +59,23 @@ def reencode_illegal(value: Column) -> Column:
 
 
 def normalize_iri(value: Column) -> Column:
-    """http scheme, lower-case host, decoded path with only illegal characters encoded, no trailing slash.
+    """http scheme, lower-case host, no trailing slash; a path with a percent sign is decoded and only its illegal
+    characters are encoded again, any other path stays as it is, with the # of a namespace.
 
     Text that is not an http(s) IRI comes back trimmed.
     """
     x = F.btrim(value, F.lit(" \t\r\n\f\u000b"))
     shape = r"(?is)^https?://([^/]*)(/?.*)\z"
     host, rest = F.lower(F.regexp_extract(x, shape, 1)), F.regexp_extract(x, shape, 2)
-    path = reencode_illegal(percent_decode(rest))
+    path = F.when(rest.contains("%"), reencode_illegal(percent_decode(rest))).otherwise(rest)
     path = F.when(F.char_length(path) > 1, F.regexp_replace(path, r"(?<=.)/+\z", "")).otherwise(path)
     return F.when(x.rlike(shape) & (host != ""), F.concat(F.lit("http://"), host, path)).otherwise(x)
 
 
 def normalize_title(title: Column) -> Column:
-    """The title as it stands in the normalised IRI of its page."""
-    host = "http://x.org/"
-    return F.substring(normalize_iri(F.concat(F.lit(host), title)), len(host) + 1, 1 << 20)
+    """The title as it stands in the normalised IRI of its page, whether it came raw or percent-encoded."""
+    path = reencode_illegal(percent_decode(F.btrim(title, F.lit(" \t\r\n\f\u000b"))))
+    return F.regexp_replace(path, r"(?<=.)/+\z", "")
 
 
 def normalize_if_needed(value: Column) -> Column:
@@ -98,10 +99,6 @@ def title_of(iri: Column, prefix: str) -> Column:
     return F.translate(percent_decode(tail), "_", " ")
 
 
-def resource_iri(title: Column, prefix: str) -> Column:
-    return F.concat(F.lit(prefix), F.translate(title, " ", "_"))
-
-
 def collapse_space(value: Column) -> Column:
     """Runs of Unicode white space as one blank, none at the ends."""
     return F.trim(F.regexp_replace(value, r"(?U)\s+", " "))

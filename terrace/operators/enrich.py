@@ -52,6 +52,15 @@ def pivot_properties(literals: DataFrame, names: dict[str, tuple[str, str]], key
     return wide.select("iri", *[typed_value(F.col(f"`{c}`"), kind[c]).alias(c) for c in columns])
 
 
+def whitelisted(rows: DataFrame, members: DataFrame, allowed: list[tuple[str, str]]) -> DataFrame:
+    """Rows (s, p, ...) of those properties that the group of their subject may have.
+
+    ``members``: iri, grp; ``allowed``: pairs of group and predicate from the configuration."""
+    pairs = rows.sparkSession.createDataFrame(allowed, "grp string, p string").distinct()
+    of = rows.join(members.select(F.col("iri").alias("s"), "grp"), "s")
+    return of.join(F.broadcast(pairs), ["grp", "p"], "left_semi").select(rows.columns)
+
+
 def props_struct(wide: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """``iri``, ``props``: literal columns in order of name, then label lists."""
     literal = sorted(c for c in wide.columns if c != "iri")

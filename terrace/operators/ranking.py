@@ -81,6 +81,14 @@ def interleave(pools: dict[str, int], buckets: list[Bucket], n: int) -> Sequence
     return Sequence(pd.DataFrame({"rank": range(1, len(names) + 1), "bucket": pd.Series(names, dtype="object"), "pos": pd.Series(places, dtype="int64")}), exhausted)
 
 
+def pool_sizes(pool: DataFrame, buckets: list[Bucket]) -> dict[str, int]:
+    """Rows by bucket. Buckets are configuration; more than ``MAX_BUCKETS`` of them are refused."""
+    names = [b.name for b in buckets]
+    if len(names) > MAX_BUCKETS:
+        raise ValueError(f"more than {MAX_BUCKETS} buckets")
+    return {r["bucket"]: r["n"] for r in pool.filter(F.col("bucket").isin(names)).groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+
+
 def rank_entities(pool: DataFrame, buckets: list[Bucket], tiers: list[int], allow_short: bool = True) -> DataFrame:
     """``rank``, ``iri``, ``bucket``, ``score``, ``tier_min``: the entities in interleaved order.
 
@@ -91,10 +99,7 @@ def rank_entities(pool: DataFrame, buckets: list[Bucket], tiers: list[int], allo
         raise ValueError("tiers must ascend")
     spark = pool.sparkSession
     names = [b.name for b in buckets]
-    if len(names) > MAX_BUCKETS:
-        raise ValueError(f"more than {MAX_BUCKETS} buckets")
-    sizes = {r["bucket"]: r["n"] for r in pool.filter(F.col("bucket").isin(names)).groupBy("bucket").agg(F.count("*").alias("n")).collect()}
-    seq = interleave(sizes, buckets, tiers[-1])
+    seq = interleave(pool_sizes(pool, buckets), buckets, tiers[-1])
     if len(seq.picks) < tiers[-1] and not allow_short:
         raise ValueError(f"only {len(seq.picks)} of {tiers[-1]} entities")
     order = spark.createDataFrame(seq.picks, "rank int, bucket string, pos bigint")

@@ -24,7 +24,7 @@ from terrace.config import Config, load_config
 from terrace.functions.text import title_of
 from terrace.operators import checks, enrich, graph, ranking, vectors
 from terrace.runtime import cut
-from terrace.sources import ntriples
+from terrace.sources import ntriples, turtle
 
 STAGES = ("acquire", "candidates", "geography", "rank", "enrich", "emit", "validate")
 RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
@@ -65,6 +65,9 @@ def acquire(b: Build) -> None:
     for name, url in b.cfg.sources.items():
         path = raw / Path(url).name
         ntriples.fetch(url, str(path), b.cfg.sha256.get(name))
+        if name == "ontology":
+            b.write(turtle.read_ontology(b.spark, str(path)), name)
+            continue
         lines = ntriples.read_lines(b.spark, str(path))
         b.write(ntriples.parse_edition_links(lines) if name == "sameas" else ntriples.parse_triples(lines), name)
     if not b.skip_pageviews:
@@ -110,7 +113,7 @@ def _tbox_counts(b: Build, tbox: DataFrame, kept: DataFrame, up: DataFrame) -> d
     named = kept.filter(F.col("p").isin(SUBCLASS, EQUIVALENT) & F.col("o_is_iri") & own("s") & own("o"))
     return {
         "kept_triples": kept.count(), "cleaned": by("rule"), "removed_by_reason": by("reason"), "classes_declared": declared.count(),
-        "hierarchy_nodes": declared.union(named.select(F.explode(F.array("s", "o")))).distinct().count(), "subsumptions": up.filter(F.col("a") != b.cfg.ontology + "Thing").count(),
+        "hierarchy_nodes": declared.union(named.select(F.explode(F.array("s", "o")))).distinct().count(), "subsumptions": up.filter(~F.col("a").isin(OWL + "Thing", b.cfg.ontology + "Thing")).count(),
     }
 
 
@@ -121,14 +124,19 @@ def candidates(b: Build) -> None:
     missing = roots.join(classes.select(F.col("cls").alias("root")), "root", "left_anti").limit(1).count()
     if missing:
         raise ValueError("a bucket root is no class")
-    buckets = graph.assign_buckets(classes, graph.levels(edges), roots).withColumnRenamed("cls", "type")
-    types = b.read("types").filter((F.col("p") == RDF_TYPE) & F.col("o").startswith(b.cfg.ontology)).select(F.col("s").alias("iri"), F.col("o").alias("type"))
+    level = graph.levels(edges)
+    buckets = graph.assign_buckets(classes, level, roots).withColumnRenamed("cls", "type")
+    resource = F.col("s").startswith(b.cfg.resource)
+    types = b.read("types").filter((F.col("p") == RDF_TYPE) & F.col("o").startswith(b.cfg.ontology) & resource).select(F.col("s").alias("iri"), F.col("o").alias("type"))
     # of several types the deepest class counts
-    depth = graph.levels(edges).groupBy(F.col("c").alias("type")).agg(F.max("depth").alias("depth"))
+    depth = level.groupBy(F.col("c").alias("type")).agg(F.max("depth").alias("depth"))
     types = types.join(depth, "type", "left").groupBy("iri").agg(F.min_by("type", F.struct(-F.coalesce("depth", F.lit(0)), F.col("type"))).alias("type"))
-    texts = b.read("abstracts").filter("not o_is_iri").select(F.col("s").alias("iri"), title_of(F.col("s"), b.cfg.resource).alias("title"), F.col("o").alias("abstract"))
+    texts = b.read("abstracts").filter((F.col("p") == COMMENT) & (F.col("lang") == "en") & resource)
+    for prefix in b.cfg.skip_prefixes:
+        texts = texts.filter(~F.col("s").startswith(b.cfg.resource + prefix))
+    texts = texts.select(F.col("s").alias("iri"), title_of(F.col("s"), b.cfg.resource).alias("title"), F.col("o").alias("abstract"))
     noise = [b.read(n).select(F.col("s").alias("iri")) for n in ("disambiguations", "redirects")]
-    out = enrich.candidates(types, texts, noise, buckets, b.cfg.skip_prefixes, b.cfg.min_chars)
+    out = enrich.candidates(types, texts, noise, buckets, [], b.cfg.min_chars)
     groups = F.coalesce(*[F.when(F.col("bucket") == k, F.lit(g)) for k, g in b.cfg.groups.items()])
     b.write(out.withColumn("grp", groups), "candidates")
 
@@ -160,7 +168,10 @@ def geography(b: Build) -> None:
     langs = langs.groupBy("iri").agg(F.max(F.struct("languages", "target_editions", "q", "title")).alias("m")).select("iri", "m.*")
     b.write(langs, "languages")
     ents = cand.select(F.col("iri").alias("x")).join(langs.select(F.col("iri").alias("x"), F.col("target_editions").alias("editions")), "x", "left").fillna(0, ["editions"])
+    resolved = cut(resolved)
     b.write(graph.decide(ents, resolved, cfg.target, cfg.min_editions).withColumnRenamed("x", "iri"), "geo")
+    away = b.read("geo").filter("not passes").select("iri", "reason").join(cand.select("iri", "bucket"), "iri")
+    b.write(away.join(resolved.select(F.col("x").alias("iri"), F.col("places").alias("countries")), "iri", "left").select("iri", "bucket", "reason", "countries"), "geo_rejected")
 
 
 def rank(b: Build) -> None:
@@ -175,14 +186,18 @@ def rank(b: Build) -> None:
     pool = pool.select("iri", "bucket", F.coalesce("views", F.lit(0)).alias("views"), F.coalesce("languages", F.lit(1)).cast("int").alias("languages"))
     scored = ranking.bucket_scores(pool, b.cfg.weights)
     b.write(ranking.demand(scored, b.cfg.buckets, b.cfg.floors, b.cfg.tiers[-1]), "demand")
-    out = ranking.rank_entities(ranking.above_floor(scored, b.cfg.floors), b.cfg.buckets, b.cfg.tiers, b.allow_short)
+    scored = cut(ranking.above_floor(scored, b.cfg.floors))
+    out = ranking.rank_entities(scored, b.cfg.buckets, b.cfg.tiers, b.allow_short)
+    used_up = ranking.interleave(ranking.pool_sizes(scored, b.cfg.buckets), b.cfg.buckets, b.cfg.tiers[-1]).exhausted
+    (b.cfg.work / "exhausted.json").write_text(json.dumps(used_up, indent=2) + "\n")
     b.write(out.select("rank", "iri", "bucket", "score", "views", "languages", "tier_min"), "ranked")
 
 
 def enrich_stage(b: Build) -> None:
     ranked, cfg = b.read("ranked"), b.cfg
-    wide = enrich.pivot_properties(b.read("literals"), cfg.literals, ranked)
-    edges = _edges(b).join(ranked.select(F.col("iri").alias("s")), "s", "left_semi")
+    members = ranked.select("iri").join(b.read("candidates").select("iri", "grp"), "iri")
+    wide = enrich.pivot_properties(enrich.whitelisted(b.read("literals"), members, cfg.allowed), cfg.literals, ranked)
+    edges = cut(enrich.whitelisted(_edges(b).filter("s <> o"), members, cfg.allowed))
     listed = enrich.object_labels(edges, cfg.objects, title_of(F.col("o"), cfg.resource))
     labels = listed.groupBy("iri").pivot("name", sorted(set(cfg.objects.values()))).agg(F.first("labels"))
     b.write(enrich.edges_within(edges, ranked), "edges")
@@ -194,20 +209,26 @@ def enrich_stage(b: Build) -> None:
     b.write(out.select("iri", "rank", "tier_min", "title", "abstract", text, "bucket", "grp", "types", "countries", "props", "score", "views", "languages", "vector"), "entities")
 
 
+def _counts(part: DataFrame, column: str) -> dict:
+    return {str(r[column]): r["count"] for r in part.groupBy(column).count().orderBy(F.desc("count"), column).collect()}
+
+
 def emit(b: Build) -> None:
+    """All output goes to a folder beside the last one, which is replaced only when everything is there."""
     cfg, ents, edges = b.cfg, b.read("entities"), b.read("edges")
-    shutil.rmtree(cfg.out, ignore_errors=True)
+    out = cfg.out.with_name(cfg.out.name + ".part")
+    shutil.rmtree(out, ignore_errors=True)
     tbox = _tbox(b)
     kept = tbox.filter("rule is null and reason is null")
     hierarchy = _hierarchy(b, kept, EQUIVALENT)
     up = graph.closure(hierarchy)
-    tiers = []
+    digest, tiers = hashlib.sha256(cfg.text.encode()).hexdigest(), []
     for n in cfg.tiers:
         name, part = ranking.tier_name(n), ents.filter(F.col("rank") <= n)
-        folder = str(cfg.out / name)
+        folder = str(out / name)
         inside = enrich.edges_within(edges, part)
         ntriples.write_parquet(part.orderBy("rank"), f"{folder}/entities")
-        ntriples.write_parquet(inside, f"{folder}/edges")
+        ntriples.write_parquet(inside.orderBy("s", "p", "o"), f"{folder}/edges")
         inst = part.select("iri", F.explode("types").alias("type"))
         ntriples.write_parquet(graph.inferred_types(inst, up), f"{folder}/types_inferred")
         triple = lambda s, p, o, iri, lang=None: [F.col(s).alias("s"), p.alias("p"), F.col(o).alias("o"), F.lit(iri).alias("o_is_iri"), F.lit(lang).cast("string").alias("lang"), F.lit(None).cast("string").alias("datatype")]
@@ -216,25 +237,74 @@ def emit(b: Build) -> None:
             abox = abox.union(ntriples.literal_triples(part, cfg.literals, XSD))
         ntriples.format_triples(abox).orderBy("value").write.mode("overwrite").text(f"{folder}/abox")
         ntriples.import_lines(hierarchy, inst, inside).write.mode("overwrite").text(f"{folder}/import_lines")
-        tiers.append({"name": name, "count": part.count(), "edges": inside.count(), "buckets": {r["bucket"]: r["count"] for r in part.groupBy("bucket").count().collect()}})
+        countries = _counts(part.select(F.explode("countries").alias("country")), "country")
+        tiers.append({
+            "name": name, "count": part.count(), "edges": inside.count(), "buckets": _counts(part, "bucket"), "groups": _counts(part, "grp"), "countries": countries,
+            "config_sha256": digest, "embedding_run": "seeded",
+        })
     for name, rows in (("tbox", kept), ("tbox_removed", tbox.filter("reason is not null"))):
-        ntriples.format_triples(rows).orderBy("value").coalesce(1).write.mode("overwrite").text(str(cfg.out / name))
-    files = {str(p.relative_to(cfg.out)): {"bytes": p.stat().st_size, "sha256": hashlib.sha256(p.read_bytes()).hexdigest()} for p in sorted(cfg.out.rglob("part-*")) if p.is_file()}
-    ntriples.write_manifest(str(cfg.out / "manifest.json"), {"name": cfg.name, "embedder": "seeded", "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files})
+        ntriples.format_triples(rows).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / name))
+    ntriples.format_turtle(kept).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / "tbox_turtle"))
+    files = {str(p.relative_to(out)): {"bytes": p.stat().st_size, "sha256": ntriples.file_digest(p)} for p in sorted(out.rglob("part-*")) if p.is_file()}
+    manifest = {"name": cfg.name, "embedder": "seeded", "dims": cfg.dims, "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files}
+    ntriples.write_manifest(str(out / "manifest.json"), manifest)
+    listed = "\n".join(f"- {t['name']}: {t['count']} entities, {t['edges']} links" for t in tiers)
+    (out / "README.md").write_text(f"---\nlicense: {cfg.licence}\n---\n\n# {cfg.name}\n\n{listed}\n\nEach tier holds the smaller ones.\n")
+    (out / "ATTRIBUTION.md").write_text(cfg.attribution or "Made from the sources:\n\n" + "".join(f"- {k}: {Path(v).name}\n" for k, v in sorted(cfg.sources.items())))
+    shutil.rmtree(cfg.out, ignore_errors=True)
+    out.rename(cfg.out)
 
 
 def validate(b: Build) -> bool:
-    ranked, ents = b.read("ranked"), b.read("entities")
-    rows = [r.asDict() for r in checks.tier_report(ranked, b.cfg.tiers).orderBy("tier", "check").collect()]
-    v = vectors.vector_report(ents, "vector", b.cfg.dims).first()
-    rows.append({"tier": b.cfg.tiers[-1], "check": "unit_vectors", "passed": v["wrong_dims"] == 0 and v["not_unit"] == 0})
-    loose = enrich.edges_within(b.read("edges"), ents).count() == b.read("edges").count()
-    rows.append({"tier": b.cfg.tiers[-1], "check": "edges_inside", "passed": loose})
-    (b.cfg.out).mkdir(parents=True, exist_ok=True)
-    (b.cfg.out / "report.json").write_text(json.dumps(rows, sort_keys=True, indent=2) + "\n")
+    """Hard checks on the written tiers, which decide, and notes, which do not; both go to the report."""
+    cfg = b.cfg
+    at = lambda n, what: b.spark.read.parquet(str(cfg.out / ranking.tier_name(n) / what))
+    tier_of = {n: at(n, "entities") for n in cfg.tiers}
+    say = lambda tier, check, passed: {"tier": tier, "check": check, "passed": bool(passed)}
+    rows = [r.asDict() for r in checks.tier_report(b.read("ranked"), cfg.tiers).orderBy("tier", "check").collect()]
+    every = None
+    for n, e in tier_of.items():
+        one = e.select(F.lit(n).alias("tier"), "iri", "abstract", "types", "vector")
+        every = one if every is None else every.unionByName(one)
+    manifest = json.loads((cfg.out / "manifest.json").read_text())
+    tbox = cut(ntriples.parse_triples(ntriples.read_lines(b.spark, str(cfg.out / "tbox"))))
+    declared = tbox.filter((F.col("p") == RDF_TYPE) & (F.col("o") == OWL + "Class")).select(F.col("s").alias("cls")).distinct()
+    rows += [r.asDict() for r in checks.entity_report(every, declared, cfg.dims).orderBy("tier", "check").collect()]
+    for n, e in tier_of.items():
+        edges = at(n, "edges")
+        rows.append(say(n, "edges_inside", enrich.edges_within(edges, e).count() == edges.count()))
+    # counts quoted in the manifest are taken again from the written axioms
+    again = _tbox_counts(b, tbox.withColumns({"rule": F.lit(None).cast("string"), "reason": F.lit(None).cast("string")}), tbox, graph.closure(_hierarchy(b, tbox, EQUIVALENT)))
+    same = all(again[k] == manifest["tbox"][k] for k in ("classes_declared", "hierarchy_nodes", "subsumptions"))
+    rows.append(say(cfg.tiers[-1], "tbox_counts", same))
+    rows.append(say(cfg.tiers[-1], "tbox_nodes", again["hierarchy_nodes"] >= again["classes_declared"]))
+    rows.append(say(cfg.tiers[-1], "digests", all((cfg.out / f).is_file() and ntriples.file_digest(cfg.out / f) == want["sha256"] for f, want in manifest["files"].items())))
+    for small, large in zip(cfg.tiers, cfg.tiers[1:]):
+        prefix = tier_of[large].filter(F.col("rank") <= small).select("iri", "rank")
+        rows.append(say(large, f"prefix_{small}", not graph.two_way_difference(tier_of[small].select("iri", "rank"), prefix).limit(1).count()))
+        rows.append(say(large, f"vectors_{small}", checks.same_vectors(tier_of[small], tier_of[large])))
+    if b.allow_short:
+        rows = [r for r in rows if r["check"] != "full"]
+    (cfg.out / "report.json").write_text(json.dumps(rows, sort_keys=True, indent=2) + "\n")
+    (cfg.out / "notes.json").write_text(json.dumps(_notes(b, tier_of), sort_keys=True, indent=2) + "\n")
     return all(r["passed"] for r in rows)
 
 
+def _notes(b: Build, tier_of: dict[int, DataFrame]) -> dict:
+    """Shares by bucket that are off, leading countries, best titles per bucket, and seeded samples to look at."""
+    cfg, top = b.cfg, tier_of[b.cfg.tiers[-1]]
+    shares = {x.name: x.share for x in cfg.buckets}
+    off = {n: [r["bucket"] for r in checks.bucket_shares(e, shares, cfg.share_tolerance, n).filter("not near").orderBy("bucket").collect()] for n, e in tier_of.items()}
+    countries = {n: [tuple(r) for r in e.select(F.explode("countries").alias("c")).groupBy("c").count().orderBy(F.desc("count"), "c").limit(12).collect()] for n, e in tier_of.items()}
+    heads = graph.top_per_group(top.select("bucket", "title", "rank"), "bucket", [F.col("rank")], 20).groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("rank", "title"))).alias("t"))
+    sample = lambda df, n: df.orderBy(F.xxhash64("iri", F.lit(0)), "iri").limit(n)
+    tail = top.filter(F.col("rank") > max(0, cfg.tiers[-1] - 10_000))
+    return {
+        "shares_off": off, "countries": countries, "heads": {r["bucket"]: [x["title"] for x in r["t"]] for r in heads.collect()},
+        "tail": [r["title"] for r in sample(tail, 50).collect()], "countries_of": [[r["title"], r["countries"]] for r in sample(top, 200).collect()],
+    }
+
+
 def cost(b: Build) -> dict:
     return vectors.embedding_cost(b.read("candidates"), b.cfg.chars_per_token, b.cfg.price).first().asDict()
 

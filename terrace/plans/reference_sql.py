@@ -193,8 +193,11 @@ SQL = {
       floor(sum(length(title) + 1 + length(abstract)) / 4.06) * 0.02 / 1e6 AS price FROM entities WHERE title IS NOT NULL AND abstract IS NOT NULL""",
     "tier_checks": f"""{_RANKED}, tier AS (SELECT * FROM (VALUES (250), (500), (1000)) AS t(tier)),
       a AS (SELECT tier, count(iri) AS n, count(DISTINCT iri) AS iris, count(DISTINCT rank) AS ranks, coalesce(max(rank), 0) AS last, coalesce(min(rank), 1) AS first,
-        coalesce(max(tier_min), 0) AS most FROM tier LEFT JOIN ranked_ ON rank <= tier GROUP BY 1)
-      SELECT tier, 'full' AS "check", n = tier AS passed FROM a UNION ALL SELECT tier, 'unique', n = iris FROM a UNION ALL SELECT tier, 'conforming', true FROM a
+        coalesce(max(tier_min), 0) AS most, count(*) FILTER (iri IS NOT NULL AND NOT regexp_matches(iri, '^https?://[^\\s<>"{{}}|\\\\^`]+$')) AS odd
+        FROM tier LEFT JOIN ranked_ ON rank <= tier GROUP BY 1),
+      lost AS (SELECT a.tier, b.tier AS last, count(*) FILTER (iri NOT IN (SELECT iri FROM ranked_ x WHERE x.rank <= a.tier)) AS n
+        FROM tier a JOIN tier b ON b.tier * 2 = a.tier LEFT JOIN ranked_ ON tier_min <= b.tier GROUP BY 1, 2)
+      SELECT tier, 'full' AS "check", n = tier AS passed FROM a UNION ALL SELECT tier, 'unique', n = iris FROM a UNION ALL SELECT tier, 'conforming', odd = 0 FROM a
       UNION ALL SELECT tier, 'dense', ranks = n AND first = 1 AND last = n FROM a UNION ALL SELECT tier, 'within', most <= tier FROM a
-      UNION ALL SELECT 500, 'holds_250', true UNION ALL SELECT 1000, 'holds_500', true""",
+      UNION ALL SELECT tier, 'holds_' || last, n = 0 FROM lost""",
 }

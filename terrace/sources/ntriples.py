@@ -45,13 +45,6 @@ def parse_triples(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def convert(spark: SparkSession, source: str, target: str) -> tuple[int, list[str]]:
-    """N-Triples to Parquet; returns the rows written and up to 1,000 subjects as a sample."""
-    write_parquet(parse_triples(read_lines(spark, source)), target)
-    back = spark.read.parquet(target)
-    return back.count(), [r["s"] for r in back.select("s").limit(1000).collect()]
-
-
 def parse_edition_links(lines: DataFrame, value: str = "value") -> DataFrame:
     """``q, lang, title`` of links from items to language editions; no language means English; pages of namespaces
     (a colon in the title) and of hosts that are no editions are left out. Titles with a percent sign are normalised as
@@ -89,15 +82,12 @@ def fetch(url: str, target: str, sha256: str | None = None) -> str:
         raise ValueError(f"only file:// can be fetched here, not {parsed.scheme}")
     part = Path(f"{target}.part")
     shutil.copyfile(parsed.path, part)
-    h = hashlib.sha256()
-    with part.open("rb") as f:
-        while chunk := f.read(1 << 20):
-            h.update(chunk)
-    if sha256 and h.hexdigest() != sha256:
+    digest = file_digest(part)
+    if sha256 and digest != sha256:
         part.unlink()
         raise ValueError("the digest does not match")
     part.replace(target)
-    return h.hexdigest()
+    return digest
 
 
 # ---------------------------------------------------------------- sinks
@@ -124,7 +114,7 @@ def format_triples(df: DataFrame) -> DataFrame:
 
 
 def infer_datatype(value: Column, xsd: str) -> Column:
-    """Datatype of a text value by its shape: date, year, or none."""
+    """Datatype of a text value by its shape: date, year, or none. Numbers are typed by their column, not by shape."""
     return F.when(value.rlike(r"^-?\d{4}-\d{2}-\d{2}\z"), xsd + "date").when(value.rlike(r"^-?\d{4}\z"), xsd + "gYear")
 
 
@@ -198,11 +188,18 @@ def write_manifest(path: str, content: dict) -> None:
     Path(path).write_text(json.dumps(content, sort_keys=True, indent=2) + "\n")
 
 
-def turtle(triples: list[tuple[str, str, str]], prefixes: dict[str, str]) -> str:
-    """A small graph as Turtle, subjects and predicates in order; the caller passes formatted objects."""
-    short = lambda iri: next((f"{p}:{iri[len(ns):]}" for p, ns in sorted(prefixes.items()) if iri.startswith(ns) and iri[len(ns) :].isidentifier()), f"<{iri}>")
-    out = [f"@prefix {p}: <{ns}> ." for p, ns in sorted(prefixes.items())]
-    by_subject: dict[str, list[str]] = {}
-    for s, p, o in sorted(set(triples)):
-        by_subject.setdefault(s, []).append(f"    {short(p)} {short(o[1:-1]) if o.startswith('<') else o}")
-    return "\n".join(out + [""] + [f"{s if s.startswith('_:') else short(s)}\n" + " ;\n".join(lines) + " .\n" for s, lines in by_subject.items()])
+def format_turtle(df: DataFrame) -> DataFrame:
+    """``value``: one block of Turtle per subject of s, p, o, o_is_iri, lang, datatype; predicates and objects in order."""
+    node = F.when(F.col("s").startswith("_:"), F.col("s")).otherwise(F.concat(F.lit("<"), F.col("s"), F.lit(">")))
+    pair = F.concat(F.lit("    <"), F.col("p"), F.lit("> "), format_object(*[F.col(c) for c in ("o", "o_is_iri", "lang", "datatype")]))
+    listed = df.select(node.alias("s"), pair.alias("x")).groupBy("s").agg(F.array_join(F.sort_array(F.collect_set("x")), " ;\n").alias("x"))
+    return listed.select(F.concat("s", F.lit("\n"), "x", F.lit(" .")).alias("value"))
+
+
+def file_digest(path: Path) -> str:
+    """SHA-256 of a file, read in pieces."""
+    h = hashlib.sha256()
+    with path.open("rb") as f:
+        while chunk := f.read(1 << 20):
+            h.update(chunk)
+    return h.hexdigest()

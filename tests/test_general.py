@@ -5,7 +5,7 @@ import random
 import pytest
 
 from terrace.operators import badrows, graph, hierarchy, ranking, vectors, widen
-from terrace.sources import ntriples
+from terrace.sources import ntriples, turtle
 from terrace import runtime
 from terrace.functions import text
 from tests.conftest import as_set
@@ -220,6 +220,7 @@ def test_iris_and_escapes(spark):
     one = lambda f, *xs: [r[0] for r in spark.createDataFrame([(x,) for x in xs], "v string").select(f(F.col("v"))).collect()]
     assert one(text.normalize_iri, "https://KB.Example/r/A/", "http://a/%C3%A9", "http://a/x%20y", "http://a/%22", "http://a/50%", "http://a/a+b", "urn:x", " http://a/b//") == [
         "http://kb.example/r/A", "http://a/é", "http://a/x%20y", "http://a/%22", "http://a/50%25", "http://a/a+b", "urn:x", "http://a/b"]
+    assert one(text.normalize_iri, "https://x.org/owl#Class", "https://x.org/a b/", "https://x.org/%41#b") == ["http://x.org/owl#Class", "http://x.org/a b", "http://x.org/A%23b"]
     assert one(text.unescape_literal, "a\\\\n", "\\u00E9\\U0001F6A2", "\\q\\t", "\\uD800", None) == ["a\\n", "é\U0001f6a2", "\\q\t", "�", None]
     assert one(text.normalize_if_needed, "http://A.b/x#y", "http://a.b/x#y") == ["http://a.b/x#y", "http://a.b/x#y"]
 
@@ -232,6 +233,39 @@ def test_triples_and_logs(spark):
     assert as_set(ntriples.parse_pageviews(log, "kb")) == {("en", "A", 11), ("en", '"B', 2)}
 
 
+TURTLE = """@prefix : <http://o/> . @prefix x: <http://www.w3.org/2001/XMLSchema#> .
+PREFIX owl: <http://owl/>
+@base <http://b/dir/> .
+:A a owl:Class ; :label "a \\"q\\" \\u00E9"@en, 'b' ;
+   :sub [ a owl:Restriction ; :on :p.q ; :some ( :B <rel> ) ] ; .   # comment with . and ;
+<http://c/#x> :n 1, -2.5, 1e3, true, "7"^^x:int, \"\"\"long "" text
+two\"\"\" .
+_:z :empty () .
+[ :p :q ] .
+"""
+
+
+def test_turtle(spark, tmp_path):
+    xsd, rdf = turtle.XSD, turtle.RDF
+    got = turtle.parse_turtle(TURTLE)
+    plain = {(s, p, o, lang, dt) for s, p, o, _, lang, dt in got}
+    assert {("http://o/A", rdf + "type", "http://owl/Class", None, None), ("http://o/A", "http://o/label", 'a "q" é', "en", None), ("http://o/A", "http://o/label", "b", None, None), ("http://c/#x", "http://o/n", "1", None, xsd + "integer"),
+        ("http://c/#x", "http://o/n", "-2.5", None, xsd + "decimal"), ("http://c/#x", "http://o/n", "1e3", None, xsd + "double"), ("http://c/#x", "http://o/n", "true", None, xsd + "boolean"), ("http://c/#x", "http://o/n", "7", None, xsd + "int"),
+        ("http://c/#x", "http://o/n", 'long "" text\ntwo', None, None), ("_:z", "http://o/empty", rdf + "nil", None, None)} <= plain
+    assert {o for _, p, o, *_ in got if p == rdf + "first"} == {"http://o/B", "http://b/dir/rel"} and {o for _, p, o, *_ in got if p == "http://o/on"} == {"http://o/p.q"} and len(got) == 19
+    for bad in (":a :b :c .", "<a> <b> .", "<a> <b> <c>", '<a> <b> "x', "@prefix : <x>"):
+        with pytest.raises(turtle.TurtleError):
+            turtle.parse_turtle(bad)
+    (tmp_path / "one.nt").write_text(TURTLE)
+    (tmp_path / "two.ttl").write_text("# c\n<http://a> <http://b> <http://c> .\n")
+    assert turtle.read_ontology(spark, str(tmp_path / "one.nt")).count() == 19
+    assert as_set(turtle.read_ontology(spark, str(tmp_path / "two.ttl"))) == {("http://a", "http://b", "http://c", True, None, None)}
+    lines = [f"<{s}> <{p}> <{o}> ." if iri else f'<{s}> <{p}> "{o}"@en .' for s, p, o, iri in (("http://a", "http://b", "http://c", 1), ("http://a", "http://b", "x", 0), ("http://d", "http://b", "http://c", 1))]
+    triples = ntriples.parse_triples(spark.createDataFrame([(x,) for x in lines], "value string"))
+    text = "\n".join(sorted(r["value"] for r in ntriples.format_turtle(triples).collect()))
+    assert {t[:5] for t in turtle.parse_turtle(text)} == {tuple(r)[:5] for r in triples.collect()}
+
+
 def test_encoded_titles_meet_their_entities(spark):
     names = ["Caf%C3%A9", "%22Heroes%22", "100%25_Wolf", "Plain_(x)"]
     of = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string")

@@ -7,7 +7,7 @@ import pytest
 
 from terrace.config import load_config
 from terrace.operators import checks
-from terrace.pipeline import Build, cost, run
+from terrace.pipeline import COMMENT, Build, cost, run
 
 R, O = "http://kb.example/resource/", "http://kb.example/ontology/"
 TYPE, SUB = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type", "http://www.w3.org/2000/01/rdf-schema#subClassOf"
@@ -35,7 +35,7 @@ languages = ["en", "de", "fr", "nl", "es"]
 methods = ["desktop", "mobile-web"]
 [candidates]
 min_chars = 20
-skip_prefixes = ["List of"]
+skip_prefixes = ["List_of"]
 [[buckets]]
 name = "Poet"
 group = "People"
@@ -70,6 +70,7 @@ languages = 2
 property = "born"
 column = "born"
 type = "int"
+groups = ["People"]
 [[properties.objects]]
 property = "birthPlace"
 column = "birthplace"
@@ -91,7 +92,7 @@ def build(spark, tmp_path_factory):
     for i, name in enumerate(poets + towns):
         poet = name in poets
         types.append(triple(R + name, TYPE, O + ("OdePoet" if poet and i % 2 else "Poet" if poet else "Town")))
-        texts.append(triple(R + name, O + "abstract", f'"{name} is a well known entity of this base."@en'))
+        texts.append(triple(R + name, COMMENT, f'"{name} is a well known entity of this base."@en'))
         for lang in ("", "de.", "fr.", "nl.")[: 2 + i % 3]:
             same.append(f"<http://www.wikidata.example/entity/Q{i}> <http://www.w3.org/2002/07/owl#sameAs> <http://{lang}kb.example/resource/{name}> .\n")
         for m in views:
@@ -99,11 +100,14 @@ def build(spark, tmp_path_factory):
         if poet:
             lits.append(triple(R + name, O + "born", f'"{1900 + i}.0"^^<http://schema.example/xsd#integer>'))
             objs.append(triple(R + name, O + "birthPlace", R + f"Town_{i % 4}"))
+    texts += [triple(R + "Poet_0", COMMENT, '"A B Deutsch, das vorne stünde, ist kein Text."@de'), triple(R + "Poet_0", O + "note", '"A A note that is no comment at all."@en')]
+    lits.append(triple(R + "Town_0", O + "born", '"1700"^^<http://schema.example/xsd#integer>'))
+    objs.append(triple(R + "Poet_1", O + "unlisted", R + "Town_1"))
     objs += [triple(R + "Town_0", O + "country", R + "Landia"), triple(R + "Town_1", O + "country", R + "Old_Ostia"), triple(R + "Town_2", O + "isPartOf", R + "Shire")]
     objs += [triple(R + "Shire", O + "country", R + "Land_alias"), triple(R + "Town_3", O + "country", R + "Farland")]
     types += [triple(R + c, TYPE, O + "Country") for c in ("Landia", "Ostia", "Farland")]
     types += [triple(R + "List_of_poets", TYPE, O + "Poet"), triple(R + "Poet", TYPE, O + "Poet"), triple(R + "Mute", TYPE, O + "Poet")]
-    texts += [triple(R + "List_of_poets", O + "abstract", '"A list of all the poets there are."@en'), triple(R + "Poet", O + "abstract", '"Poet may refer to several things."@en'), triple(R + "Mute", O + "abstract", '"Short."@en')]
+    texts += [triple(R + "List_of_poets", COMMENT, '"A list of all the poets there are."@en'), triple(R + "Poet", COMMENT, '"Poet may refer to several things."@en'), triple(R + "Mute", COMMENT, '"Short."@en')]
     write = lambda name, lines: (d / name).write_text("# header\n" + "".join(lines) + "broken line\n")
     write("ontology.nt", onto)
     (d / "types.nt.bz2").write_bytes(bz2.compress(("# c\n" + "".join(types)).encode()))
@@ -155,6 +159,43 @@ def test_wide_rows_and_outputs(build):
     inferred = {(r["iri"], r["type"]) for r in build.spark.read.parquet(str(build.cfg.out / "t8/types_inferred")).collect()}
     assert (R + "Poet_1", O + "Person") in inferred
     assert cost(build)["entities"] == 12
+    texts = {r["iri"]: r["abstract"] for r in build.read("candidates").collect()}
+    assert texts[R + "Poet_0"].startswith("Poet_0 is") and all(r["props"] is None or r["props"]["born"] is None for i, r in e.items() if "Town" in i)
+    assert {r["p"] for r in build.read("edges").collect()} == {O + "birthPlace"}
+    assert manifest["tiers"][0]["groups"]["People"] > manifest["tiers"][0]["groups"]["Places"] and manifest["tiers"][2]["countries"]["Landia"] > 1
+
+
+def test_reports(build):
+    away = {r["iri"].removeprefix(R): (r["bucket"], r["reason"], r["countries"]) for r in build.read("geo_rejected").collect()}
+    assert away["Poet_3"] == ("Poet", "non_target_country", [R + "Farland"])
+    report = {(r["tier"], r["check"]) for r in json.loads((build.cfg.out / "report.json").read_text())}
+    each = {"unique", "conforming", "dense", "within", "abstracts", "types", "dims", "unit_vectors", "declared_types", "edges_inside"}
+    assert {(n, c) for n in (4, 6, 8) for c in each} <= report and {(8, "digests"), (8, "tbox_counts"), (8, "tbox_nodes"), (6, "prefix_4"), (6, "vectors_4"), (8, "vectors_6")} <= report
+    notes = json.loads((build.cfg.out / "notes.json").read_text())
+    assert notes["heads"]["Poet"] and len(notes["countries_of"]) == len(build.read("entities").collect())
+    assert "exhausted.json" in {p.name for p in build.cfg.work.iterdir()}
+
+
+def test_broken_tiers_are_found(build, spark):
+    from pyspark.sql import functions as F
+
+    ents = build.read("entities").withColumn("tier", F.lit(8))
+    declared = spark.createDataFrame([(O + "Poet",), (O + "OdePoet",), (O + "Town",)], "cls string")
+    verdict = lambda df: {r["check"] for r in checks.entity_report(df, declared, 64).collect() if not r["passed"]}
+    assert verdict(ents) == set()
+    odd = F.col("rank") == 1
+    assert verdict(ents.withColumn("abstract", F.when(odd, "").otherwise(F.col("abstract")))) == {"abstracts"}
+    assert verdict(ents.withColumn("types", F.when(odd, F.array(F.lit("x"))).otherwise(F.col("types")))) == {"declared_types"}
+    assert verdict(ents.withColumn("types", F.when(odd, F.array().cast("array<string>")).otherwise(F.col("types")))) == {"types"}
+    twice = F.transform("vector", lambda x: x * F.when(odd, 2).otherwise(1).cast("float"))
+    assert verdict(ents.withColumn("vector", twice)) == {"unit_vectors"} and not checks.same_vectors(ents, ents.withColumn("vector", twice)) and checks.same_vectors(ents, ents)
+    ranked = build.read("ranked").select("iri", "rank", "tier_min")
+    failed = lambda df: {(r["tier"], r["check"]) for r in checks.tier_report(df, [4, 6]).collect() if not r["passed"]}
+    ranked = ranked.filter("rank <= 6")
+    assert failed(ranked) == set()
+    assert failed(ranked.withColumn("rank", F.when(F.col("rank") == 4, 6).otherwise(F.col("rank")))) == {(4, "full"), (6, "dense")}
+    assert failed(ranked.withColumn("iri", F.when(odd, F.lit("a b")).otherwise(F.col("iri")))) == {(4, "conforming"), (6, "conforming")}
+    assert (6, "holds_4") in failed(ranked.withColumn("rank", F.when(odd, 9).otherwise(F.col("rank"))))
 
 
 def test_stages_are_skipped_when_fresh_and_gate_refuses_test_vectors(build):
@@ -210,7 +251,13 @@ def test_gate_breaks_one_thing_at_a_time(tmp_path):
     data = b"x"
     good = {"embedder": "service", "tiers": [{"name": "t4", "count": 4}, {"name": "t10", "count": 10}], "files": {"a": {"bytes": 1, "sha256": hashlib.sha256(data).hexdigest()}}}
 
-    def gate(manifest=good, report='[{"check": "full", "passed": true}]', content=data):
+    card = "---\nlicense: x\n---\n"
+
+    def gate(manifest=good, report='[{"check": "full", "passed": true}]', content=data, card=card, attribution="x"):
+        for name, text in (("README.md", card), ("ATTRIBUTION.md", attribution)):
+            (tmp_path / name).unlink(missing_ok=True)
+            if text is not None:
+                (tmp_path / name).write_text(text)
         (tmp_path / "a").write_bytes(content)
         (tmp_path / "manifest.json").write_text(json.dumps(manifest))
         (tmp_path / "report.json").write_text(report)
@@ -221,3 +268,7 @@ def test_gate_breaks_one_thing_at_a_time(tmp_path):
     assert gate(report='[{"check": "full", "passed": false}]') == {"report"}
     assert gate(content=b"y") == {"files"} and gate(content=b"xy") == {"files"}
     assert gate(good | {"tiers": [{"name": "t4", "count": 10}, {"name": "t10", "count": 4}]}) == {"tiers"}
+    assert gate(good | {"files": {}}) == {"files"} and gate(card=None) == {"card"} and gate(card="# no front matter") == {"card"} and gate(attribution=None) == {"attribution"}
+    for key in ("config_sha256", "embedding_run"):
+        tiers = [t | {key: str(i)} for i, t in enumerate(good["tiers"])]
+        assert gate(good | {"tiers": tiers}) == {key}
