@@ -32,8 +32,6 @@ G_YEAR = r"-?[0-9]{4}"
 BOOLEAN = r"true|false|0|1"
 ESCAPE = r"\\(?:[tbnrf\"'\\]|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8})"
 
-REJECT_SCHEMA = "line_id bigint, origin string, reason string, raw string"
-
 
 def real_day(value: Column) -> Column:
     """True for YYYY-MM-DD that names a day of the Gregorian calendar, years 0001 to 9999."""

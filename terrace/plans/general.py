@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import badrows, hierarchy, widen
+from terrace.plans import badrows_sql
+from terrace.plans.badrows_sql import DOUBLE, IRI, TAG, value_sql
 from terrace.runtime import table
 
 
@@ -62,20 +64,6 @@ def p5_wide(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_hierarchy, p2_ranges, p2_descendants, p4_found, p4_rejects, p4_loaded, p5_found, p5_wide)}
 
-_IRI = r"""https?://[^<>"{}|^`\\\x00-\x20\x7f-\x9f]+"""
-_TAG = r"[A-Za-z]{2,8}(?:-[A-Za-z0-9]{1,8})*"
-_DOUBLE = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
-
-
-def _value_sql(value: str, kind: str) -> str:
-    return f"""CASE {kind} WHEN 'string' THEN true
-      WHEN 'integer' THEN regexp_full_match({value}, '[+-]?[0-9]+')
-      WHEN 'double' THEN regexp_full_match({value}, '{_DOUBLE}')
-      WHEN 'date' THEN regexp_full_match({value}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND {value} >= '0001' AND try_cast({value} AS date) IS NOT NULL
-      WHEN 'gYear' THEN regexp_full_match({value}, '-?[0-9]{{4}}')
-      WHEN 'boolean' THEN {value} IN ('true', 'false', '0', '1') ELSE false END"""
-
-
 _LINKS = """link AS (SELECT DISTINCT replace(trim(cls, ' \t\n\r'), 'kbo:', 'http://kb.example/ontology/') AS c,
       replace(trim(parent, ' \t\n\r'), 'kbo:', 'http://kb.example/ontology/') AS p
     FROM hierarchy_parents WHERE trim(cls, ' \t\n\r') <> '' AND trim(parent, ' \t\n\r') <> '')"""
@@ -105,7 +93,7 @@ _COLUMNS = {
 _SLOT = {"int": "i", "float": "f", "date": "d", "string": "t"}
 _CELLS = rf"""typed AS (SELECT regexp_replace(url_decode(regexp_replace(s, '^https://', 'http://')), '/+$', '') AS s, colname,
     CASE WHEN coltype = 'int' THEN try_cast(nullif(regexp_extract(x, '^([+-]?[0-9]+)(?:\.0+)?$', 1), '') AS bigint) END AS i,
-    CASE WHEN coltype = 'float' AND regexp_full_match(x, '{_DOUBLE}') THEN try_cast(x AS double) END AS f,
+    CASE WHEN coltype = 'float' AND regexp_full_match(x, '{DOUBLE}') THEN try_cast(x AS double) END AS f,
     CASE WHEN coltype = 'date' AND regexp_full_match(x, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND x >= '0001' THEN try_cast(x AS date) END AS d,
     CASE WHEN coltype = 'string' AND x <> '' THEN x END AS t
   FROM (SELECT s, p, regexp_replace(o, '^\s+|\s+$', '', 'g') AS x FROM mappingbased_literals WHERE s IS NOT NULL) JOIN attributes USING (p)),
@@ -113,7 +101,7 @@ _CELLS = rf"""typed AS (SELECT regexp_replace(url_decode(regexp_replace(s, '^htt
     coalesce(min(i) <> max(i), false) OR coalesce(min(f) <> max(f), false) OR coalesce(min(d) <> max(d), false) OR coalesce(min(t) <> max(t), false) AS conflict
   FROM typed GROUP BY 1, 2)"""
 
-SQL = {
+SQL = badrows_sql.SQL | {
     "p2_found": f"WITH RECURSIVE {_LINKS}, {_REACH} SELECT c AS cls FROM reach WHERE c = p",
     "p2_hierarchy": _FOREST + """
       SELECT node.cls, node.component, node.in_cycle, walk.depth, walk.root, walk.path,
@@ -122,16 +110,16 @@ SQL = {
     "p2_descendants": f"{_FOREST} SELECT component, below FROM pair",
     "p2_ranges": f"{_FOREST} SELECT component, below FROM tree",
     "p4_found": rf"""SELECT line_id FROM mappingbased_objects WHERE NOT coalesce(o <> '' AND (
-      (o_is_iri AND lang IS NULL AND datatype IS NULL AND regexp_full_match(o, '{_IRI}'))
+      (o_is_iri AND lang IS NULL AND datatype IS NULL AND regexp_full_match(o, '{IRI}'))
       OR (NOT o_is_iri AND lang IS NULL AND datatype IS NULL AND regexp_full_match(o, '_:[A-Za-z0-9]+'))
-      OR (NOT o_is_iri AND datatype IS NULL AND regexp_full_match(lang, '{_TAG}'))
-      OR (NOT o_is_iri AND lang IS NULL AND starts_with(datatype, 'http://schema.example/xsd#') AND {_value_sql("o", "substr(datatype, 27)")})), false)
+      OR (NOT o_is_iri AND datatype IS NULL AND regexp_full_match(lang, '{TAG}'))
+      OR (NOT o_is_iri AND lang IS NULL AND starts_with(datatype, 'http://schema.example/xsd#') AND {value_sql("o", "substr(datatype, 27)")})), false)
       UNION ALL SELECT line_id FROM (SELECT line_id, line, trim(line, ' ' || chr(9)) AS t,
-        regexp_extract(line, '^[ \t]*(?:<{_IRI}>|_:[A-Za-z0-9]+)[ \t]+<{_IRI}>[ \t]+(.*?)[ \t]*\.[ \t]*$', 1, 's') AS ob FROM raw_lines)
-      WHERE NOT coalesce(t = '' OR starts_with(t, '#') OR regexp_full_match(ob, '<{_IRI}>|_:[A-Za-z0-9]+')
-        OR regexp_full_match(ob, '"(?:[^"\\\n\r]|\\[tbnrf"''\\]|\\u[0-9A-Fa-f]{{4}}|\\U[0-9A-Fa-f]{{8}})+"(?:@{_TAG}|\^\^<http://schema\.example/xsd#string>)?')
+        regexp_extract(line, '^[ \t]*(?:<{IRI}>|_:[A-Za-z0-9]+)[ \t]+<{IRI}>[ \t]+(.*?)[ \t]*\.[ \t]*$', 1, 's') AS ob FROM raw_lines)
+      WHERE NOT coalesce(t = '' OR starts_with(t, '#') OR regexp_full_match(ob, '<{IRI}>|_:[A-Za-z0-9]+')
+        OR regexp_full_match(ob, '"(?:[^"\\\n\r]|\\[tbnrf"''\\]|\\u[0-9A-Fa-f]{{4}}|\\U[0-9A-Fa-f]{{8}})+"(?:@{TAG}|\^\^<http://schema\.example/xsd#string>)?')
         OR (regexp_full_match(ob, '"[^"\\\n\r]+"\^\^<http://schema\.example/xsd#[A-Za-z]+>') AND
-          {_value_sql("regexp_extract(ob, '^\"([^\"]*)\"', 1)", "regexp_extract(ob, 'xsd#([A-Za-z]+)>$', 1)")}), false)""",
+          {value_sql("regexp_extract(ob, '^\"([^\"]*)\"', 1)", "regexp_extract(ob, 'xsd#([A-Za-z]+)>$', 1)")}), false)""",
     "p5_found": f"WITH {_CELLS} SELECT s, colname FROM cell WHERE conflict",
     "p5_wide": f"WITH {_CELLS} SELECT s, "
     + ", ".join(f"any_value({_SLOT[t]}) FILTER (colname = '{c}') AS {c}" for c, t in _COLUMNS.items())
