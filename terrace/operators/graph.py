@@ -58,9 +58,14 @@ def assign_buckets(classes: DataFrame, level: DataFrame, roots: DataFrame) -> Da
 
 
 def inferred_types(instances: DataFrame, ancestors: DataFrame) -> DataFrame:
-    """``iri``, ``type``: asserted types and all their ancestors (instances: iri, type)."""
+    """``iri``, ``type``: asserted types and, for each of them, all its ancestors (instances: iri, type, distinct)."""
     up = instances.join(ancestors.select(F.col("c").alias("type"), "a"), "type").select("iri", F.col("a").alias("type"))
-    return instances.select("iri", "type").union(up).distinct()
+    return instances.select("iri", "type").union(up)
+
+
+def extent(inferred: DataFrame, cls: str) -> DataFrame:
+    """``iri``: the members of a class, by asserted or inferred type."""
+    return inferred.filter(F.col("type") == cls).select("iri").distinct()
 
 
 # ---------------------------------------------------------------- bounded walks to canonical places

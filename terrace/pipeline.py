@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from terrace.config import Config, load_config
 from terrace.functions.text import title_of
 from terrace.operators import checks, enrich, graph, ranking, vectors
-from terrace.runtime import cut
+from terrace.runtime import clear_cuts, cut
 from terrace.sources import ntriples, turtle
 
 STAGES = ("acquire", "candidates", "geography", "rank", "enrich", "emit", "validate")
@@ -326,6 +326,7 @@ def run(b: Build, stages: tuple[str, ...] = STAGES, force: bool = False) -> bool
         if not force and stage != "validate" and mark.is_file() and mark.read_text() == _stamp(b, stage):
             continue
         result = RUN[stage](b)
+        clear_cuts(b.spark)  # stages hand on what they have written, no frames
         ok = ok and result is not False
         mark.write_text(_stamp(b, stage))
     return ok

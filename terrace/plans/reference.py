@@ -189,8 +189,9 @@ def import_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def typed_literals(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "mappingbased_literals").filter("o is not null").select(ntriples.infer_datatype(F.col("o"), XSD).alias("inferred"), "datatype")
-    return rows.groupBy("inferred", "datatype").agg(F.count("*").alias("n"))
+    kinds = table(spark, d, "attributes").groupBy("p").agg(F.min("coltype").alias("kind"))
+    rows = table(spark, d, "mappingbased_literals").filter("o is not null").join(kinds, "p", "left")
+    return rows.select(ntriples.literal_datatype(F.col("kind"), F.col("o"), XSD).alias("inferred"), "datatype").groupBy("inferred", "datatype").agg(F.count("*").alias("n"))
 
 
 def loader_payload(spark: SparkSession, d: str) -> DataFrame:
@@ -239,6 +240,11 @@ def class_extent(spark: SparkSession, d: str) -> DataFrame:
     return inferred_types(spark, d).groupBy("type").agg(F.count("*").alias("members"))
 
 
+def class_members(spark: SparkSession, d: str) -> DataFrame:
+    """The first members of a class whose members have it by inference only."""
+    return graph.extent(inferred_types(spark, d), "Item").orderBy("iri").limit(100)
+
+
 def closure_diff(spark: SparkSession, d: str) -> DataFrame:
     links = cut(hierarchy.links(table(spark, d, "hierarchy_parents")))
     subclass = hierarchy.links(table(spark, d, "hierarchy_parents").filter("via = 'subClassOf'"))
@@ -340,8 +346,13 @@ def knn(spark: SparkSession, d: str) -> DataFrame:
 
 
 def knn_class_scoped(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbours among the members of a class that holds several labels: the closure is joined before any product."""
     rows = _vecs(spark, d)
-    out = vectors.nearest_in_class(rows, rows.filter("label = 3"), rows.filter("id % 100 = 0"), 5)
+    inst = rows.select(F.col("id").alias("iri"), F.concat(F.lit("label"), "label").alias("type"))
+    parity = F.when(F.col("label") % 2 == 1, "odd").otherwise("even")
+    edges = rows.select(F.concat(F.lit("label"), "label").alias("c"), parity.alias("p")).union(rows.select(parity, F.lit("any"))).distinct()
+    members = graph.extent(graph.inferred_types(inst, graph.closure(edges)), "odd").select(F.col("iri").alias("id"))
+    out = vectors.nearest_in_class(rows, members, rows.filter("id % 100 = 0"), 5)
     return out.select("probe", "id", "place", F.round("score", 4).alias("score"))
 
 
@@ -365,7 +376,7 @@ def tier_checks(spark: SparkSession, d: str) -> DataFrame:
 _ALL = (
     interleave_tiers, candidate_pool, dedup_first, type_counts, edition_languages, monthly_views, redirect_canon, country_distribution, top_titles, edges_in_tier,
     dangling_edges, object_labels, props_pivot, props_struct, wide_entities, iri_normalize, nt_roundtrip, parsed_lines, pageview_log, entity_views, edition_links,
-    abox_lines, import_lines, typed_literals, loader_payload, class_levels, class_closure, bucket_assign, inferred_types, class_extent, closure_diff, walk_up,
+    abox_lines, import_lines, typed_literals, loader_payload, class_levels, class_closure, bucket_assign, inferred_types, class_extent, class_members, closure_diff, walk_up,
     resolve_ordered, geography_gate, tbox_clean, el_split, tbox_counts, bucket_zscore_rank, tier_prefix_counts, preflight_demand, knn, knn_class_scoped,
     vector_checks, embedded_test_vectors, token_cost, tier_checks,
 )

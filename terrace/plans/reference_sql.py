@@ -93,6 +93,21 @@ _RESOLVE = f"""{_WALK}, place AS (SELECT * FROM place{R.HOPS}), o AS (SELECT DIS
   resolved AS (SELECT x, list_sort(list(DISTINCT place)) AS places, min(via) AS via FROM (
       SELECT * FROM self UNION ALL SELECT * FROM best WHERE x NOT IN (SELECT x FROM self)) GROUP BY x)"""
 
+_TRIPLE = r"""(?s)^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(<[^>]*>|_:\S+|"(?:.*)"(?:@(?:[A-Za-z0-9-]+)|\^\^<(?:[^>]*)>)?)\s*\.\s*\z"""
+# IRIs without a percent sign, of any scheme
+_IRI_SQL = r"""CASE WHEN starts_with({0}, 'https://') OR (starts_with({0}, 'http://') AND ends_with({0}, '/'))
+    THEN regexp_replace('http://' || lower(regexp_extract({0}, '^https?://([^/]*)', 1)) || regexp_extract({0}, '^https?://[^/]*(.*)\z', 1), '([^/])/+\z', '\1')
+    WHEN regexp_matches({0}, '^http://[^/]*[A-Z]') THEN 'http://' || lower(regexp_extract({0}, '^http://([^/]*)', 1)) || regexp_extract({0}, '^http://[^/]*(.*)\z', 1) ELSE {0} END"""
+_PART_TYPES = """WITH RECURSIVE edge AS (SELECT p_brand || '/' || p_type AS c, p_type AS p FROM part UNION SELECT p_type, 'Part' FROM part
+    UNION SELECT * FROM (VALUES ('Part', 'Thing'), ('Part', 'Item'), ('Item', 'Part'))),
+  up AS (SELECT c, p FROM edge UNION SELECT up.c, edge.p FROM up JOIN edge ON up.p = edge.c),
+  inst AS (SELECT p_partkey AS iri, p_brand || '/' || p_type AS type FROM part),
+  inferred AS (SELECT iri, type FROM inst UNION ALL SELECT iri, p FROM inst JOIN up ON up.c = inst.type)"""
+_LABELS = """edge AS (SELECT DISTINCT 'label' || label AS c, CASE WHEN label % 2 = 1 THEN 'odd' ELSE 'even' END AS p FROM embeddings
+    UNION SELECT CASE WHEN label % 2 = 1 THEN 'odd' ELSE 'even' END, 'any' FROM embeddings),
+  up AS (SELECT c, p FROM edge UNION SELECT up.c, edge.p FROM up JOIN edge ON up.p = edge.c),
+  member AS (SELECT DISTINCT vec_id FROM embeddings JOIN up ON up.c = 'label' || label WHERE up.p = 'odd')"""
+
 SQL = {
     "candidate_pool": f"""WITH {_OBJ}, typed AS (SELECT iri, min(t) AS type FROM (SELECT iri, unnest(types) AS t FROM entities) GROUP BY 1),
       txt AS (SELECT iri, min({{'abstract': a, 'title': title}}) AS m FROM (SELECT iri, title, trim(regexp_replace(abstract, '{_SPACE}', ' ', 'g')) AS a FROM entities)
@@ -127,6 +142,10 @@ SQL = {
           THEN regexp_replace(url_decode(regexp_extract(trim(s), '^https?://[^/]*(.*)$', 1)), '/+$', '') ELSE regexp_extract(trim(s), '^https?://[^/]*(.*)$', 1) END
         ELSE trim(s) END AS iri FROM mappingbased_literals""",
     "nt_roundtrip": "SELECT doc_id, text, 'en' AS lang FROM documents WHERE text <> ''",
+    "parsed_lines": rf"""WITH got AS (SELECT regexp_extract(line, '{_TRIPLE}', 1) AS s, regexp_extract(line, '{_TRIPLE}', 2) AS p, regexp_extract(line, '{_TRIPLE}', 3) AS o FROM raw_lines
+        WHERE NOT regexp_matches(line, '^\s*(#|\z)') AND regexp_matches(line, '{_TRIPLE}')),
+      iri AS (SELECT {_IRI_SQL.format("{'s': CASE WHEN starts_with(s, '<') THEN substr(s, 2, length(s) - 2) ELSE s END}.s")} AS s, {_IRI_SQL.format("p")} AS p, starts_with(o, '<') AS o_is_iri FROM got)
+      SELECT p, o_is_iri, count(*) AS n, count(DISTINCT s) AS subjects FROM iri GROUP BY 1, 2""",
     "pageview_log": f"WITH {_VIEWS} SELECT lang, title, views FROM views",
     "entity_views": f"""WITH views AS (SELECT lower(lang) AS lang, substr(iri, {len(RES) + 1}) AS title, sum(coalesce(n_chars, 0)) AS views FROM documents WHERE iri IS NOT NULL GROUP BY 1, 2),
       {_ENGLISH}, {_SISTERS},
@@ -141,16 +160,17 @@ SQL = {
     "import_lines": f"""WITH {_OBJ}, {_LINKS} SELECT 'SUBCLASS ' || c || ' ' || p AS value FROM (SELECT DISTINCT c, p FROM link)
       UNION ALL SELECT DISTINCT 'INSTANCE ' || iri || ' ' || t FROM (SELECT iri, unnest(types) AS t FROM entities)
       UNION ALL SELECT DISTINCT 'PROPERTY ' || s || ' ' || p || ' ' || o FROM obj""",
-    "typed_literals": rf"""SELECT CASE WHEN regexp_full_match(o, '-?\d{{4}}-\d{{2}}-\d{{2}}') THEN '{XSD}date' WHEN regexp_full_match(o, '-?\d{{4}}') THEN '{XSD}gYear' END AS inferred,
-      datatype, count(*) AS n FROM mappingbased_literals WHERE o IS NOT NULL GROUP BY 1, 2""",
+    "typed_literals": rf"""WITH k AS (SELECT p, min(coltype) AS kind FROM attributes GROUP BY 1)
+      SELECT CASE kind WHEN 'int' THEN '{XSD}integer' WHEN 'float' THEN '{XSD}double' ELSE CASE WHEN regexp_full_match(o, '-?\d{{4}}-\d{{2}}-\d{{2}}') THEN '{XSD}date'
+        WHEN regexp_full_match(o, '-?\d{{4}}') THEN '{XSD}gYear' END END AS inferred, datatype, count(*) AS n FROM mappingbased_literals LEFT JOIN k USING (p) WHERE o IS NOT NULL GROUP BY 1, 2""",
     "class_levels": f"WITH RECURSIVE {_LINKS}, {_LEVEL} SELECT c AS cls, p AS ancestor, depth FROM level WHERE c <> p",
     "class_closure": f"WITH RECURSIVE {_LINKS}, {_REACH} SELECT c AS cls, p AS ancestor FROM reach WHERE c <> p",
     "bucket_assign": f"""WITH RECURSIVE {_LINKS}, {_LEVEL}, root AS (SELECT p AS root FROM (SELECT DISTINCT c, p FROM link) GROUP BY 1 HAVING count(*) >= 5),
       way AS (SELECT DISTINCT c AS cls, c AS a, 0 AS depth FROM link UNION SELECT DISTINCT p, p, 0 FROM link UNION SELECT c, p, depth FROM level)
       SELECT cls, sha256(a) AS bucket FROM way JOIN root ON way.a = root.root QUALIFY row_number() OVER (PARTITION BY cls ORDER BY depth, a) = 1""",
-    "inferred_types": """WITH inst AS (SELECT p_partkey AS iri, p_brand || '/' || p_type AS leaf, p_type FROM part)
-      SELECT DISTINCT iri, unnest([leaf, p_type, 'Part', 'Thing', 'Item']) AS type FROM inst""",
-    "class_extent": """SELECT type, count(*) AS members FROM (SELECT DISTINCT p_partkey, unnest([p_brand || '/' || p_type, p_type, 'Part', 'Thing', 'Item']) AS type FROM part) GROUP BY 1""",
+    "inferred_types": f"{_PART_TYPES} SELECT iri, type FROM inferred",
+    "class_extent": f"{_PART_TYPES} SELECT type, count(*) AS members FROM inferred GROUP BY 1",
+    "class_members": f"{_PART_TYPES} SELECT iri FROM inferred WHERE type = 'Item' ORDER BY iri LIMIT 100",
     "closure_diff": f"""WITH RECURSIVE {_LINKS}, {_REACH}, sub AS (SELECT DISTINCT c, p FROM link WHERE via = 'subClassOf'),
       reach2 AS (SELECT c, p FROM sub UNION SELECT r.c, l.p FROM reach2 r JOIN sub l ON r.p = l.c)
       SELECT c AS cls, p AS ancestor, 'left' AS side FROM (SELECT c, p FROM reach WHERE c <> p EXCEPT SELECT c, p FROM reach2 WHERE c <> p)
@@ -183,8 +203,8 @@ SQL = {
     "knn": """SELECT a.vec_id AS probe, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS place,
         round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
       WHERE a.vec_id % 100 = 0 QUALIFY place <= 10""",
-    "knn_class_scoped": """SELECT a.vec_id AS probe, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS place,
-        round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND b.label = 3
+    "knn_class_scoped": f"""WITH RECURSIVE {_LABELS} SELECT a.vec_id AS probe, b.vec_id AS id, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS place,
+        round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 4) AS score FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id AND b.vec_id IN (SELECT vec_id FROM member)
       WHERE a.vec_id % 100 = 0 QUALIFY place <= 5""",
     "vector_checks": """SELECT count(*) AS vectors, count(*) FILTER (coalesce(len(vector), 0) <> 64) AS wrong_dims,
       count(*) FILTER (len(vector) = 64 AND (list_bool_or([isnan(x) FOR x IN vector]) OR NOT coalesce(abs(sqrt(list_dot_product(vector::DOUBLE[], vector::DOUBLE[])) - 1) <= 0.001, false))) AS not_unit FROM entities""",

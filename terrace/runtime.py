@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_dir: str | None = None
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +38,7 @@ def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    _made.append(path)
     schema = df.schema
     writer = df.write.option("compression", "zstd")
     if partition_by:
@@ -57,7 +59,8 @@ def cut_bucketed(df: DataFrame, buckets: int, key: str, partition_by: str | None
     writer = (df if placed else df.repartition(buckets, key)).write.bucketBy(buckets, key).sortBy(key)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.options(path=f"{shared_dir(spark)}/cut-{name[4:]}", compression="zstd").saveAsTable(name)
+    _made.append(f"{shared_dir(spark)}/cut-{name[4:]}")
+    writer.options(path=_made[-1], compression="zstd").saveAsTable(name)
     return spark.table(name).select(df.columns)
 
 
@@ -77,6 +80,14 @@ def drop_cut(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear_cuts(spark: SparkSession) -> None:
+    """Remove every table cut so far by this program. For callers that have written their results: frames made before can
+    not be read afterwards."""
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -118,6 +118,11 @@ def infer_datatype(value: Column, xsd: str) -> Column:
     return F.when(value.rlike(r"^-?\d{4}-\d{2}-\d{2}\z"), xsd + "date").when(value.rlike(r"^-?\d{4}\z"), xsd + "gYear")
 
 
+def literal_datatype(kind: Column, value: Column, xsd: str) -> Column:
+    """Datatype of a value by the kind of its column (int, float), text and dates by their shape."""
+    return F.when(kind == "int", xsd + "integer").when(kind == "float", xsd + "double").otherwise(infer_datatype(value, xsd))
+
+
 @F.pandas_udf(StringType())
 def double_text(value: pd.Series) -> pd.Series:
     """The shortest text that reads back as the same double."""
@@ -133,7 +138,7 @@ def literal_triples(entities: DataFrame, names: dict[str, tuple[str, str]], xsd:
     def one(column: str, predicate: str, kind: str) -> Column:
         value = F.col("props")[column]
         text = double_text(value) if kind == "float" else value.cast("string")
-        datatype = {"int": F.lit(xsd + "integer"), "float": F.lit(xsd + "double")}.get(kind, infer_datatype(text, xsd))
+        datatype = literal_datatype(F.lit(kind), text, xsd)
         return F.struct(F.lit(predicate).alias("p"), text.alias("o"), datatype.cast("string").alias("datatype"))
 
     rows = entities.select(F.col("iri").alias("s"), F.explode(F.array(*[one(c, p, k) for c, (p, k) in sorted(first.items())])).alias("t"))
