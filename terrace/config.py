@@ -48,6 +48,7 @@ class Config:
     drop_external: bool
     allowed: list[tuple[str, str]] = field(default_factory=list)
     share_tolerance: float = 0.01
+    provider: str = "seeded"
     licence: str = "cc-by-sa-3.0"
     attribution: str = ""
     text: str = field(default="", repr=False)
@@ -85,7 +86,7 @@ def load_config(path: str) -> Config:
         sources={k: where(v) for k, v in raw["sources"].items()}, sha256=raw.get("sha256", {}), pageviews=[where(p) for p in views.get("files", [])],
         site=views.get("site", "wiki"), methods=views.get("methods", []), languages=views.get("languages", ["en"]), buckets=buckets,
         roots=[(onto + r, b["name"], i) for i, b in enumerate(listed) for r in b["roots"]], groups=groups, allowed=allowed, share_tolerance=float(raw.get("validate", {}).get("share_tolerance", 0.01)),
-        licence=data.get("licence", "cc-by-sa-3.0"), attribution=data.get("attribution", ""),
+        provider=emb.get("provider", "seeded"), licence=data.get("licence", "cc-by-sa-3.0"), attribution=data.get("attribution", ""),
         min_chars=raw["candidates"]["min_chars"], skip_prefixes=raw["candidates"].get("skip_prefixes", []), target=[res + c for c in geo["target"]],
         country_class=onto + geo.get("country_class", "Country"), country_map=str(base / geo["country_map"]) if "country_map" in geo else None,
         walk=[onto + p for p in geo["walk"]], hops=geo.get("hops", 3), rules=rules, min_editions=geo.get("min_editions", 4),

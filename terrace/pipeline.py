@@ -1,7 +1,8 @@
 """The build as seven stages with Parquet between them, and a command line.
 
-    python -m terrace STAGE|all|cost|gate --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
+    python -m terrace STAGE|all|cost|gate|oracle --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
 
+``oracle --pairs OUTPUT --of hierarchy|extents`` compares with a reasoner's output and ends with 1 if they differ.
 ``gate`` lists what forbids a release of the output and ends with 1 if anything does, 2 without output.
 
 A stage is skipped when its stamp matches the configuration and the stamps of the stages before it; a change of the
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from terrace.config import Config, load_config
 from terrace.functions.text import title_of
-from terrace.operators import checks, enrich, graph, ranking, vectors
+from terrace.operators import checks, embedding, enrich, graph, ranking, vectors
 from terrace.runtime import clear_cuts, cut
 from terrace.sources import ntriples, turtle
 
@@ -201,8 +202,11 @@ def enrich_stage(b: Build) -> None:
     listed = enrich.object_labels(edges, cfg.objects, title_of(F.col("o"), cfg.resource))
     labels = listed.groupBy("iri").pivot("name", sorted(set(cfg.objects.values()))).agg(F.first("labels"))
     b.write(enrich.edges_within(edges, ranked), "edges")
-    vecs = vectors.embed(ranked, cfg.dims)
     cand = b.read("candidates").select("iri", "title", "abstract", "grp", F.array("type").alias("types"))
+    said = cand.join(ranked.select("iri"), "iri", "left_semi").select("iri", F.concat_ws("\n", "title", "abstract").alias("text"))
+    embedded = embedding.embed(said, embedding.provider_of(cfg.provider, cfg.dims), str(cfg.work / "vectors"))
+    vecs = embedded.vectors
+    (cfg.work / "embedding.json").write_text(json.dumps(embedded.info, sort_keys=True, indent=2) + "\n")
     geo = b.read("geo").select("iri", F.transform(F.coalesce("places", F.array().cast("array<string>")), lambda c: F.substring(c, len(cfg.resource) + 1, 1 << 20)).alias("countries"))
     out = enrich.assemble(ranked, cand, geo, enrich.props_struct(wide, labels), vecs)
     text = F.concat_ws("\n", "title", "abstract").alias("embed_text")
@@ -222,6 +226,7 @@ def emit(b: Build) -> None:
     kept = tbox.filter("rule is null and reason is null")
     hierarchy = _hierarchy(b, kept, EQUIVALENT)
     up = graph.closure(hierarchy)
+    run = json.loads((cfg.work / "embedding.json").read_text()) if (cfg.work / "embedding.json").is_file() else {"provider": "unknown"}
     digest, tiers = hashlib.sha256(cfg.text.encode()).hexdigest(), []
     for n in cfg.tiers:
         name, part = ranking.tier_name(n), ents.filter(F.col("rank") <= n)
@@ -240,13 +245,13 @@ def emit(b: Build) -> None:
         countries = _counts(part.select(F.explode("countries").alias("country")), "country")
         tiers.append({
             "name": name, "count": part.count(), "edges": inside.count(), "buckets": _counts(part, "bucket"), "groups": _counts(part, "grp"), "countries": countries,
-            "config_sha256": digest, "embedding_run": "seeded",
+            "config_sha256": digest, "embedding_run": run["provider"],
         })
     for name, rows in (("tbox", kept), ("tbox_removed", tbox.filter("reason is not null"))):
         ntriples.format_triples(rows).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / name))
     ntriples.format_turtle(kept).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / "tbox_turtle"))
     files = {str(p.relative_to(out)): {"bytes": p.stat().st_size, "sha256": ntriples.file_digest(p)} for p in sorted(out.rglob("part-*")) if p.is_file()}
-    manifest = {"name": cfg.name, "embedder": "seeded", "dims": cfg.dims, "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files}
+    manifest = {"name": cfg.name, "embedder": run["provider"], "embedding": run, "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files}
     ntriples.write_manifest(str(out / "manifest.json"), manifest)
     listed = "\n".join(f"- {t['name']}: {t['count']} entities, {t['edges']} links" for t in tiers)
     (out / "README.md").write_text(f"---\nlicense: {cfg.licence}\n---\n\n# {cfg.name}\n\n{listed}\n\nEach tier holds the smaller ones.\n")
@@ -309,6 +314,26 @@ def cost(b: Build) -> dict:
     return vectors.embedding_cost(b.read("candidates"), b.cfg.chars_per_token, b.cfg.price).first().asDict()
 
 
+def oracle(b: Build, what: str, pairs: str, tier: int) -> dict:
+    """Compare what a reasoner wrote (two columns parted by a tab) with this build: ``hierarchy`` with the closure of the
+    written axioms, ``extents`` with a tier's inferred types. Counts per side and three examples each."""
+    columns = F.split("value", "\t")
+    theirs = b.spark.read.text(pairs).filter("trim(value) <> ''").select(columns[0].alias("a"), columns[1].alias("b")).distinct()
+    if what == "hierarchy":
+        tbox = ntriples.parse_triples(ntriples.read_lines(b.spark, str(b.cfg.out / "tbox")))
+        up = graph.closure(_hierarchy(b, tbox, EQUIVALENT))
+        ours = up.filter(~F.col("a").isin(OWL + "Thing", b.cfg.ontology + "Thing")).select(F.col("c").alias("a"), F.col("a").alias("b"))
+    else:
+        inferred = b.spark.read.parquet(str(b.cfg.out / ranking.tier_name(tier) / "types_inferred"))
+        ours = inferred.select(F.col("iri").alias("a"), F.col("type").alias("b")).distinct()
+    sides = cut(graph.two_way_difference(ours, theirs))
+    out: dict = {"ours": ours.count(), "theirs": theirs.count()}
+    for side, name in (("left", "only_ours"), ("right", "only_theirs")):
+        mine = sides.filter(F.col("side") == side)
+        out[name] = {"n": mine.count(), "examples": [[r["a"], r["b"]] for r in mine.orderBy("a", "b").limit(3).collect()]}
+    return out
+
+
 RUN = {"acquire": acquire, "candidates": candidates, "geography": geography, "rank": rank, "enrich": enrich_stage, "emit": emit, "validate": validate}
 
 
@@ -334,12 +359,15 @@ def run(b: Build, stages: tuple[str, ...] = STAGES, force: bool = False) -> bool
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="terrace")
-    p.add_argument("stage", choices=[*STAGES, "all", "cost", "gate"])
+    p.add_argument("stage", choices=[*STAGES, "all", "cost", "gate", "oracle"])
     p.add_argument("--config", required=True)
     p.add_argument("--force", action="store_true")
     p.add_argument("--from", dest="start", choices=STAGES)
     p.add_argument("--allow-short", action="store_true")
     p.add_argument("--skip-pageviews", action="store_true")
+    p.add_argument("--pairs", help="oracle: the reasoner's output")
+    p.add_argument("--of", choices=("hierarchy", "extents"), default="extents")
+    p.add_argument("--tier", type=int, help="oracle: the tier compared, the largest if not given")
     a = p.parse_args(argv)
     if a.stage == "gate":
         out = load_config(a.config).out
@@ -353,5 +381,11 @@ def main(argv: list[str] | None = None) -> int:
     if a.stage == "cost":
         print(json.dumps(cost(b), sort_keys=True))
         return 0
+    if a.stage == "oracle":
+        if not a.pairs:
+            p.error("oracle needs --pairs")
+        found = oracle(b, a.of, a.pairs, a.tier or b.cfg.tiers[-1])
+        print(json.dumps(found, sort_keys=True))
+        return int(bool(found["only_ours"]["n"] or found["only_theirs"]["n"]))
     stages = STAGES[STAGES.index(a.start or STAGES[0]) :] if a.stage == "all" else (a.stage,)
     return 0 if run(b, stages, a.force or a.stage != "all") else 1

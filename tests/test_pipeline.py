@@ -176,6 +176,77 @@ def test_reports(build):
     assert "exhausted.json" in {p.name for p in build.cfg.work.iterdir()}
 
 
+def test_oracle(build, tmp_path):
+    from terrace.pipeline import oracle
+
+    inferred = {(r["iri"], r["type"]) for r in build.spark.read.parquet(str(build.cfg.out / "t4/types_inferred")).collect()}
+    pairs = tmp_path / "pairs"
+    pairs.write_text("".join(f"{i}\t{t}\n" for i, t in sorted(inferred)) + "\n")
+    same = oracle(build, "extents", str(pairs), 4)
+    assert same["only_ours"]["n"] == same["only_theirs"]["n"] == 0 and same["ours"] == len(inferred)
+    pairs.write_text("".join(f"{i}\t{t}\n" for i, t in sorted(inferred)[1:]) + "x\ty\n")
+    odd = oracle(build, "extents", str(pairs), 4)
+    assert odd["only_ours"] == {"n": 1, "examples": [list(min(inferred))]} and odd["only_theirs"] == {"n": 1, "examples": [["x", "y"]]}
+    pairs.write_text(f"{O}Poet\t{O}Person\n{O}OdePoet\t{O}Poet\n{O}OdePoet\t{O}Person\n{O}Town\t{O}Place\n")
+    up = oracle(build, "hierarchy", str(pairs), 4)
+    assert up["only_ours"]["n"] == up["only_theirs"]["n"] == 0
+
+
+class Service:
+    """A made-up provider that notes what it is asked and fails at first."""
+
+    def __init__(self, folder, name="service-1", dims=8):
+        self.folder, self.name, self.dims = str(folder), name, dims
+
+    def embed(self, keys, texts):
+        import pathlib
+        import uuid
+
+        import numpy as np
+
+        here = pathlib.Path(self.folder)
+        flag = here / f"failed-{keys[0].rpartition('/')[2]}"
+        if not flag.exists():
+            flag.touch()
+            raise ConnectionError("try again")
+        for k in keys:
+            (here / f"asked-{uuid.uuid4().hex}").write_text(k)
+        return [np.arange(1.0, self.dims + 1) * (len(t) + 1) for t in texts], sum(len(t) for t in texts)
+
+
+def test_embedding_is_taken_up_again(spark, tmp_path):
+    from terrace.operators import embedding, vectors
+
+    rows = [(f"http://a/{i}", f"text {i}" if i % 5 else None) for i in range(40)]
+    frame = lambda data: spark.createDataFrame(data, "iri string, text string")
+    asked = lambda: len(list(tmp_path.glob("asked-*")))
+    run = lambda data, **k: embedding.embed(frame(data), Service(tmp_path, **k), str(tmp_path / "v"), wave_rows=15, batch=7, wait=0.0)
+    first = run(rows[:30] + rows[:3])
+    assert asked() == 30 and first.info["asked"] == 30 and first.info["waves"] == 2 and first.info["tokens"] == sum(len(t or "") for _, t in rows[:30])
+    more = run(rows)
+    assert asked() == 40 and more.info["asked"] == 10 and more.info["count"] == 40
+    changed = run([(rows[0][0], "other"), *rows[1:]])
+    assert asked() == 41 and changed.info["asked"] == 1
+    assert run(rows, name="service-2").info["asked"] == 40
+    got = {r["iri"]: r["vector"] for r in more.vectors.collect()}
+    assert len(got) == 40 and all(abs(sum(x * x for x in v) - 1) < 1e-6 for v in got.values())
+    with pytest.raises(Exception, match="shape"):
+        bad = Service(tmp_path, name="bad")
+        bad.dims = 8
+        bad.embed = lambda keys, texts: ([[1.0]] * len(keys), 0)
+        embedding.embed(frame(rows[:2]), bad, str(tmp_path / "w"), tries=1).vectors.collect()
+    with pytest.raises(ValueError):
+        embedding.provider_of("nowhere", 8)
+    import hashlib
+
+    import numpy as np
+
+    seed = int.from_bytes(hashlib.sha256(b"http://a/1").digest()[:8], "little")
+    want = np.random.Generator(np.random.PCG64(seed)).standard_normal(8).astype(np.float32)
+    assert np.allclose(vectors.seeded_vector("http://a/1", 8), want / np.linalg.norm(want))
+    assert embedding.embed(frame([]), embedding.Seeded(8), str(tmp_path / "e")).info["count"] == 0
+
+
 def test_broken_tiers_are_found(build, spark):
     from pyspark.sql import functions as F
 
