@@ -129,7 +129,7 @@ class Block:
     rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     latent: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), dtype=np.float32))
     needed: list[list[np.ndarray]] = field(default_factory=list)
-    anchored: dict[int, list[int]] = field(default_factory=dict)
+    anchored: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
     of_item: list[list[int]] = field(default_factory=list)
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     value: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
@@ -177,7 +177,7 @@ class Block:
                 mine = [codes[i : i + 1] for i in np.argsort(-idf[codes], kind="stable")[:ANSWER_WORDS]]
             rarest = max((int(c) for span in mine for c in span), key=lambda c: (idf[c], -c))
             self.needed.append(mine)
-            self.anchored.setdefault(rarest, []).append(p)
+            self.anchored.setdefault(rarest, []).extend((p, int(at)) for at in np.flatnonzero(codes == rarest))
         direction = np.random.default_rng(SEED).standard_normal(space.shape[1])
         self.value = np.rint(self.rows.astype(np.float64) @ direction * 2.0**32).astype(np.int64)
         by_length = defaultdict(list)
@@ -334,8 +334,11 @@ def _in_document(b: Block, codes: np.ndarray, is_anchor: np.ndarray) -> list[tup
             for at in places:
                 ask(at, p)
     for at in np.flatnonzero(is_anchor[codes]):
-        for p in b.anchored[int(codes[at])]:
+        for p, within in b.anchored[int(codes[at])]:
             if int(b.owner[p]) not in exact:
+                # the window that has the passage in its middle, and the two that any run near by has
+                spare = max(0, 2 * b.step(p) - len(b.passage(p))) // 2
+                asked.add((max(0, int(at) - within - spare), p))
                 ask(int(at), p)
     vectors: dict[tuple[int, int], np.ndarray] = {}
     best: dict[int, tuple[str, float, float | None]] = {}

@@ -268,8 +268,9 @@ def test_run_between_rarer_words_of_other_items(spark):
 
 def test_paraphrased_passages_of_longer_items(spark):
     rng = random.Random(12)
-    common = [f"c{k}" for k in range(300)]
-    texts = [" ".join(f"Name{i}x{k}" if k % 7 == 3 else rng.choice(common) for k in range(60)) for i in range(40)]
+    common = [x + y + z for x in "bdfgk" for y in "aeiou" for z in "lmnprstvxz"] + ["the", "of"]
+    letters = [a + b for a in "abcdefgh" for b in "abcdefgh"]
+    texts = [" ".join(f"Name{letters[i]}x{letters[k]}" if k % 7 == 3 else rng.choice(common) for k in range(60)) for i in range(40)]
     docs, want = [doc(k, " ".join(rng.choices(common, k=60))) for k in range(300)], set()
     for i, text in enumerate(texts):
         for n, at in enumerate((0, 20, 45)):
@@ -281,11 +282,11 @@ def test_paraphrased_passages_of_longer_items(spark):
                 part.insert(k, "oddly")
             docs.append(doc(1000 + 10 * i + n, " ".join([*rng.choices(common, k=30), *part, *rng.choices(common, k=30)])))
             want.add((1000 + 10 * i + n, i))
-        swapped = [w.replace(f"Name{i}x", f"Name{i}y") for w in text.split()[20:35]]  # other answers
+        swapped = [w.replace(f"Name{letters[i]}x", f"Name{letters[i]}y") for w in text.split()[20:35]]  # other answers
         docs.append(doc(5000 + i, " ".join([*rng.choices(common, k=30), *swapped[:7], "oddly", *swapped[7:], *rng.choices(common, k=30)])))
     got = leaks.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "item_id bigint, suite string, text string")).collect()
     found = {(r["doc_id"], r["item_id"]) for r in got if r["kind"] == "paraphrase"}
-    assert len(found & want) >= 0.9 * len(want) and found <= want
+    assert len(found & want) >= 0.95 * len(want) and found <= want
 
 
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
