@@ -1,9 +1,9 @@
 """The build as seven stages with Parquet between them, and a command line.
 
-    python -m terrace STAGE|all|cost|gate|oracle --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
+    python -m terrace STAGE|all|cost|gate|oracle|payload --config FILE [--force] [--from STAGE] [--allow-short] [--skip-pageviews]
 
 ``oracle --pairs OUTPUT --of hierarchy|extents`` compares with a reasoner's output and ends with 1 if they differ.
-``gate`` lists what forbids a release of the output and ends with 1 if anything does, 2 without output.
+``payload`` writes a tier as requests for a loader. ``gate`` lists what forbids a release of the output and ends with 1 if anything does, 2 without output.
 
 A stage is skipped when its stamp matches the configuration and the stamps of the stages before it; a change of the
 configuration runs everything it may touch again. Stages compose DataFrames only; the driver sees counts and reports.
@@ -250,6 +250,7 @@ def emit(b: Build) -> None:
     for name, rows in (("tbox", kept), ("tbox_removed", tbox.filter("reason is not null"))):
         ntriples.format_triples(rows).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / name))
     ntriples.format_turtle(kept).orderBy("value").coalesce(1).write.mode("overwrite").text(str(out / "tbox_turtle"))
+    ntriples.format_rdfxml(kept).coalesce(1).sortWithinPartitions("ord", "value").select("value").write.mode("overwrite").text(str(out / "tbox_rdfxml"))
     files = {str(p.relative_to(out)): {"bytes": p.stat().st_size, "sha256": ntriples.file_digest(p)} for p in sorted(out.rglob("part-*")) if p.is_file()}
     manifest = {"name": cfg.name, "embedder": run["provider"], "embedding": run, "tiers": tiers, "tbox": _tbox_counts(b, tbox, kept, up), "files": files}
     ntriples.write_manifest(str(out / "manifest.json"), manifest)
@@ -334,6 +335,15 @@ def oracle(b: Build, what: str, pairs: str, tier: int) -> dict:
     return out
 
 
+def payload(b: Build, tier: int, per_request: int = 400) -> str:
+    """Write the loader's requests of a tier, one per line; returns their folder."""
+    folder = b.cfg.out / ranking.tier_name(tier)
+    read = lambda what: b.spark.read.parquet(str(folder / what))
+    bodies = ntriples.entity_bodies(read("entities"), read("edges"), b.cfg.ontology, LABEL, "entities")
+    ntriples.requests(ntriples.payload(bodies, per_request)).write.mode("overwrite").text(str(folder / "requests"))
+    return str(folder / "requests")
+
+
 RUN = {"acquire": acquire, "candidates": candidates, "geography": geography, "rank": rank, "enrich": enrich_stage, "emit": emit, "validate": validate}
 
 
@@ -359,7 +369,7 @@ def run(b: Build, stages: tuple[str, ...] = STAGES, force: bool = False) -> bool
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="terrace")
-    p.add_argument("stage", choices=[*STAGES, "all", "cost", "gate", "oracle"])
+    p.add_argument("stage", choices=[*STAGES, "all", "cost", "gate", "oracle", "payload"])
     p.add_argument("--config", required=True)
     p.add_argument("--force", action="store_true")
     p.add_argument("--from", dest="start", choices=STAGES)
@@ -367,7 +377,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--skip-pageviews", action="store_true")
     p.add_argument("--pairs", help="oracle: the reasoner's output")
     p.add_argument("--of", choices=("hierarchy", "extents"), default="extents")
-    p.add_argument("--tier", type=int, help="oracle: the tier compared, the largest if not given")
+    p.add_argument("--tier", type=int, help="oracle, payload: the tier, the largest if not given")
     a = p.parse_args(argv)
     if a.stage == "gate":
         out = load_config(a.config).out
@@ -381,6 +391,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.stage == "cost":
         print(json.dumps(cost(b), sort_keys=True))
         return 0
+    if a.stage == "payload":
+        print(payload(b, a.tier or b.cfg.tiers[-1]))
+        return 0
     if a.stage == "oracle":
         if not a.pairs:
             p.error("oracle needs --pairs")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 import shutil
+import time
 from pathlib import Path
+from urllib.error import HTTPError
 from urllib.parse import urlparse
+from urllib.request import Request, urlopen
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,13 +78,46 @@ def read_dictionary(spark: SparkSession, path: str, key: str, value: str, prefix
     return rows.groupBy("key").agg(F.max_by("value", "_n").alias("value"))
 
 
-def fetch(url: str, target: str, sha256: str | None = None) -> str:
-    """Copy a ``file://`` source and check its digest; returns the digest. Other schemes need a network and are refused."""
-    parsed = urlparse(url)
-    if parsed.scheme != "file":
-        raise ValueError(f"only file:// can be fetched here, not {parsed.scheme}")
+TRIES, LONGEST_WAIT = 5, 60.0
+
+
+def _download(url: str, part: Path, tries: int, wait: float) -> None:
+    """Into ``part``, going on from what is there if the server can; whatever goes wrong on the way is tried again."""
+    for k in range(tries):
+        have = part.stat().st_size if part.is_file() else 0
+        try:
+            asked = Request(url, headers={"Range": f"bytes={have}-"} if have else {})
+            with urlopen(asked, timeout=60) as got, part.open("ab" if got.status == 206 else "wb") as f:
+                due = got.headers.get("Content-Length")
+                before = f.tell()
+                shutil.copyfileobj(got, f, 1 << 20)
+                if due is not None and f.tell() - before != int(due):
+                    raise OSError("the connection ended early")
+                return
+        except HTTPError as e:
+            if e.code == 416 and have:  # nothing is left to send
+                return
+            if e.code < 500 or k + 1 == tries:
+                raise
+        except OSError:
+            if k + 1 == tries:
+                raise
+        time.sleep(min(LONGEST_WAIT, wait * 2**k))
+
+
+def fetch(url: str, target: str, sha256: str | None = None, tries: int = TRIES, wait: float = 1.0) -> str:
+    """Bring a ``file``, ``http`` or ``https`` source to ``target`` and check its digest; returns the digest. A file that is
+    there with the right digest is not brought again; a broken download goes on where it ended."""
+    parsed, done = urlparse(url), Path(target)
+    if sha256 and done.is_file() and file_digest(done) == sha256:
+        return sha256
     part = Path(f"{target}.part")
-    shutil.copyfile(parsed.path, part)
+    if parsed.scheme == "file":
+        shutil.copyfile(parsed.path, part)
+    elif parsed.scheme in ("http", "https"):
+        _download(url, part, tries, wait)
+    else:
+        raise ValueError(f"cannot fetch {parsed.scheme} sources")
     digest = file_digest(part)
     if sha256 and digest != sha256:
         part.unlink()
@@ -189,6 +225,12 @@ def payload(bodies: DataFrame, per_request: int) -> DataFrame:
     return placed.select(F.floor((F.col("_b") + F.col("_r") - 1) / per_request).alias("batch"), "body")
 
 
+def requests(payload: DataFrame) -> DataFrame:
+    """``value``: one line per request, the JSON list of its rows (payload: batch, body)."""
+    rows = payload.groupBy("batch").agg(F.sort_array(F.collect_list("body")).alias("rows"))
+    return rows.select(F.concat(F.lit("["), F.array_join("rows", ","), F.lit("]")).alias("value"))
+
+
 def write_manifest(path: str, content: dict) -> None:
     Path(path).write_text(json.dumps(content, sort_keys=True, indent=2) + "\n")
 
@@ -201,6 +243,36 @@ def format_turtle(df: DataFrame) -> DataFrame:
     return listed.select(F.concat("s", F.lit("\n"), "x", F.lit(" .")).alias("value"))
 
 
+_RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+
+
+def _xml(value: Column) -> Column:
+    """Escaped for text and attributes; what XML cannot hold becomes U+FFFD."""
+    out = F.regexp_replace(value, r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "\ufffd")
+    for raw, safe in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;")):
+        out = F.replace(out, F.lit(raw), F.lit(safe))
+    return out
+
+
+def format_rdfxml(df: DataFrame) -> DataFrame:
+    """``value``: a whole RDF/XML document in order of ``ord`` and ``value``: head, one description per subject, end.
+
+    Predicates are parted behind the last # or slash; those whose rest is no XML name cannot be written and are left out.
+    """
+    shape = r"^(.*[#/])([A-Za-z_][A-Za-z0-9_.-]*)\z"
+    rows = df.filter(F.col("p").rlike(shape))
+    node = lambda c, attribute: F.when(F.col(c).startswith("_:"), F.concat(F.lit(' rdf:nodeID="'), F.substring(c, 3, 1 << 20), F.lit('"'))).otherwise(F.concat(F.lit(f' rdf:{attribute}="'), _xml(F.col(c)), F.lit('"')))
+    name, space = F.regexp_extract("p", shape, 2), F.regexp_extract("p", shape, 1)
+    open_ = F.concat(F.lit("    <n:"), name, F.lit(' xmlns:n="'), _xml(space), F.lit('"'))
+    blank = F.col("o").startswith("_:") & ~F.col("o_is_iri") & F.col("lang").isNull() & F.col("datatype").isNull()
+    typed = F.when(F.col("lang").isNotNull(), F.concat(F.lit(' xml:lang="'), F.col("lang"), F.lit('"'))).when(F.col("datatype").isNotNull(), F.concat(F.lit(' rdf:datatype="'), _xml(F.col("datatype")), F.lit('"'))).otherwise("")
+    element = F.when(F.col("o_is_iri") | blank, F.concat(open_, node("o", "resource"), F.lit("/>"))).otherwise(F.concat(open_, typed, F.lit(">"), _xml(F.col("o")), F.lit("</n:"), name, F.lit(">")))
+    listed = rows.select(node("s", "about").alias("s"), element.alias("x")).groupBy("s").agg(F.array_join(F.sort_array(F.collect_set("x")), "\n").alias("x"))
+    body = listed.select(F.lit(1).alias("ord"), F.concat(F.lit("  <rdf:Description"), "s", F.lit(">\n"), "x", F.lit("\n  </rdf:Description>")).alias("value"))
+    ends = df.sparkSession.createDataFrame([(0, f'<?xml version="1.0" encoding="UTF-8"?>\n<rdf:RDF xmlns:rdf="{_RDF}">'), (2, "</rdf:RDF>")], "ord int, value string")
+    return ends.union(body)
+
+
 def file_digest(path: Path) -> str:
     """SHA-256 of a file, read in pieces."""
     h = hashlib.sha256()

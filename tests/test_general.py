@@ -266,6 +266,63 @@ def test_turtle(spark, tmp_path):
     assert {t[:5] for t in turtle.parse_turtle(text)} == {tuple(r)[:5] for r in triples.collect()}
 
 
+def test_rdfxml(spark):
+    import xml.etree.ElementTree as E
+
+    data = [("http://a/s", "http://o/p#q", 'x & <y> "z"\r\n', False, "en-GB", None), ("http://a/s?x=1&y", "http://o/p/n", "http://a/o&1", True, None, None), ("_:b1", "http://o/p/n", "_:b2", False, None, None),
+        ("http://a/s", "http://o/p#q", "7", False, None, "http://x#int"), ("http://a/s", "http://o/p#q", "_:text", False, "en", None), ("http://a/s", "http://o/p/9", "lost", False, None, None), ("http://a/s", "http://o/p#q", "\x01", False, None, None)]
+    rows = ntriples.format_rdfxml(spark.createDataFrame(data, "s string, p string, o string, o_is_iri boolean, lang string, datatype string")).coalesce(1).sortWithinPartitions("ord", "value").collect()
+    rdf, xml = "{http://www.w3.org/1999/02/22-rdf-syntax-ns#}", "{http://www.w3.org/XML/1998/namespace}"
+    got = set()
+    for d in E.fromstring("\n".join(r["value"] for r in rows).encode()):
+        s = d.get(rdf + "about") or "_:" + d.get(rdf + "nodeID")
+        for e in d:
+            o = e.get(rdf + "resource") or ("_:" + e.get(rdf + "nodeID") if e.get(rdf + "nodeID") else e.text)
+            got.add((s, e.tag[1:].replace("}", ""), o, e.get(rdf + "resource") is not None, e.get(xml + "lang"), e.get(rdf + "datatype")))
+    assert got == {(*r[:2], r[2].replace("\x01", "\ufffd"), *r[3:]) for r in data if r[1] != "http://o/p/9"}
+
+
+def test_fetch_goes_on_where_it_ended(tmp_path):
+    import hashlib
+    import http.server
+    import threading
+
+    data, seen = bytes(range(256)) * 400, []
+
+    class Server(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            seen.append(self.headers.get("Range"))
+            if self.path == "/gone":
+                return self.send_error(404)
+            start = int((self.headers.get("Range") or "bytes=0-")[6:-1])
+            if start >= len(data):
+                return self.send_error(416)
+            self.send_response(206 if start else 200)
+            self.send_header("Content-Length", str(len(data) - start))
+            self.end_headers()
+            self.wfile.write(data[start : start + 40_000])  # and then the line breaks
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url, digest = f"http://127.0.0.1:{server.server_port}", hashlib.sha256(data).hexdigest()
+    target = tmp_path / "f"
+    assert ntriples.fetch(url + "/f", str(target), digest, wait=0.0) == digest and target.read_bytes() == data
+    assert seen == [None, "bytes=40000-", "bytes=80000-"]
+    assert ntriples.fetch(url + "/f", str(target), digest) == digest and len(seen) == 3
+    (tmp_path / "g.part").write_bytes(data)
+    assert ntriples.fetch(url + "/g", str(tmp_path / "g"), digest) == digest
+    with pytest.raises(OSError):
+        ntriples.fetch(url + "/gone", str(tmp_path / "h"), wait=0.0)
+    with pytest.raises(ValueError):
+        ntriples.fetch(url + "/f", str(tmp_path / "i"), "0" * 64, wait=0.0)
+    with pytest.raises(ValueError):
+        ntriples.fetch("ftp://x/y", str(tmp_path / "j"))
+    server.shutdown()
+
+
 def test_encoded_titles_meet_their_entities(spark):
     names = ["Caf%C3%A9", "%22Heroes%22", "100%25_Wolf", "Plain_(x)"]
     of = lambda xs: spark.createDataFrame([(x,) for x in xs], "value string")

@@ -176,6 +176,15 @@ def test_reports(build):
     assert "exhausted.json" in {p.name for p in build.cfg.work.iterdir()}
 
 
+def test_requests(build):
+    from terrace.pipeline import payload
+
+    folder = payload(build, 8, 3)
+    lines = [json.loads(r["value"]) for r in build.spark.read.text(folder).collect()]
+    n = len(build.read("entities").collect())
+    assert sorted(map(len, lines)) == sorted([3] * (n // 3) + [n % 3] * (n % 3 > 0)) and {x["iri"] for rows in lines for x in rows} == {r["iri"] for r in build.read("entities").collect()}
+
+
 def test_oracle(build, tmp_path):
     from terrace.pipeline import oracle
 
