@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrace.runtime import cut, drop_cut
+from terrace.runtime import cut, cut_counting, drop_cut
 
 # ---------------------------------------------------------------- class hierarchies
 
@@ -28,15 +28,16 @@ def levels(edges: DataFrame) -> DataFrame:
 
     Distances double each round, so the rounds are the logarithm of the longest one.
     """
-    far = cut(edges.filter("c <> p").select("c", F.col("p").alias("a"), F.lit(1).alias("depth")).distinct())
-    before, state = None, far.agg(F.count("*"), F.sum("depth")).first()
+    measures = {"n": F.count("*"), "sum": F.sum("depth")}
+    far, state = cut_counting(edges.filter("c <> p").select("c", F.col("p").alias("a"), F.lit(1).alias("depth")).distinct(), **measures)
+    before = None
     while state != before:
         hop = far.join(far.select(F.col("c").alias("a"), F.col("a").alias("b"), F.col("depth").alias("more")), "a")
         longer = hop.select("c", F.col("b").alias("a"), (F.col("depth") + F.col("more")).alias("depth")).filter("c <> a")
-        nxt = cut(far.union(longer).groupBy("c", "a").agg(F.min("depth").alias("depth")))
+        before = state
+        nxt, state = cut_counting(far.union(longer).groupBy("c", "a").agg(F.min("depth").alias("depth")), **measures)
         drop_cut(far)
-        far, before = nxt, state
-        state = far.agg(F.count("*"), F.sum("depth")).first()
+        far = nxt
     return far
 
 
@@ -117,7 +118,7 @@ def resolve(entities: DataFrame, edges: DataFrame, places: DataFrame, rules: Res
     order = spark.createDataFrame([(g, p, i, bool(up)) for g, p, i, up in listed], "grp string, p string, ord int, inherits boolean")
     steps = cut(edges.filter(F.col("p").isin(sorted({p for _, p, _, _ in listed}))).select("s", "p", "o").distinct())
     self_ = entities.select("x").join(places.filter(F.col("x") == F.col("place")), "x").select("x", "place").distinct()
-    mine = entities.join(self_.select("x"), "x", "left_anti").join(steps.withColumnRenamed("s", "x"), "x").join(F.broadcast(order), ["grp", "p"])
+    mine = cut(entities.join(self_.select("x"), "x", "left_anti").join(steps.withColumnRenamed("s", "x"), "x").join(F.broadcast(order), ["grp", "p"]))
     at = places.select(F.col("x").alias("o"), "place")
     found = mine.filter("not inherits").join(at, "o").select("x", "grp", "ord", "p", "place")
     inherits = [(g, p, j, of) for g, p, _, up in listed for j, of in enumerate(up)]
@@ -171,8 +172,9 @@ def split_profile(triples: DataFrame, profile: Profile) -> DataFrame:
     before, n = -1, bad.count()
     while n != before:
         up = links.join(bad.select(F.col("b").alias("o")), "o").select(F.col("s").alias("b"))
-        bad, before = cut(bad.union(up).distinct()), n
-        n = bad.count()
+        before = n
+        bad, seen = cut_counting(bad.union(up).distinct(), n=F.count("*"))
+        n = seen["n"]
     marked = t.join(bad.select(F.col("b").alias("s"), F.lit(True).alias("_s")), "s", "left").join(bad.select(F.col("b").alias("o"), F.lit(True).alias("_o")), "o", "left")
     reason = (
         F.when(F.col("p").isin(*profile.predicates), F.concat(F.lit("predicate:"), F.col("p")))
