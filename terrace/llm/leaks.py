@@ -27,6 +27,7 @@ of n < 10 words needs all its words in order; equal items are reported each; emp
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
@@ -48,11 +49,13 @@ PARAPHRASE_SHARE = 0.7
 ANSWER_WORDS = 3
 BLOCK_WORDS = 40_000
 TASK_WORDS, TASK_DOCS = 2_000_000, 5_000
+CHUNK_WORDS = 500_000
 TASK_TRIPLES = 50_000
 MEMO_WORDS = 1_000_000
 SEED = 8
 
-_word = None
+#: Runs of characters of the categories L and N; the test on all code points finds no other.
+WORD = re.compile(r"[^\W_]+")
 _memo: dict[str, int] = {}
 
 
@@ -60,18 +63,9 @@ def _plain(text: str) -> str:
     return unicodedata.normalize("NFKC", text)
 
 
-def _cutter():
-    global _word
-    if _word is None:
-        import regex
-
-        _word = regex.compile(r"[\p{L}\p{N}]+")
-    return _word
-
-
 def words(text: str | None) -> list[str]:
     """NFKC, lower case, without soft hyphens and zero-width spaces, cut into runs of letters and digits."""
-    return _cutter().findall(_plain(text).lower().replace("­", "").replace("​", "")) if text else []
+    return WORD.findall(_plain(text).lower().replace("­", "").replace("​", "")) if text else []
 
 
 def _hash(word: str) -> int:
@@ -92,7 +86,7 @@ def answers(text: str) -> list[tuple[int, int]]:
     """Spans (first word, word behind the last) of names and numbers: words with digits, and words in capitals that do
     not begin a sentence."""
     plain = _plain(text).replace("­", "").replace("​", "")
-    found = list(_cutter().finditer(plain))
+    found = list(WORD.finditer(plain))
     if [m.group().lower() for m in found] != words(text):
         return []
     marked, end = [], 0
@@ -200,21 +194,19 @@ class Block:
         at = np.minimum(np.searchsorted(self.hashes, codes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == codes, at, -1)
 
-    def found(self, codes: np.ndarray, inside: np.ndarray) -> dict[int, list[int]]:
-        """Items of which ``codes`` holds a run, and where. Sums wrap round on both sides alike."""
-        out: dict[int, list[int]] = defaultdict(list)
+    def found(self, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(where, item) of every run that ``codes`` holds; -1 parts documents. Sums wrap round on both sides alike."""
         sums = np.concatenate([[0], np.cumsum(self.value[codes])])
+        inside = np.concatenate([[0], np.cumsum(codes >= 0)])
         for n, (values, item, at) in self.runs.items():
-            there = np.flatnonzero(inside[n:] - inside[:-n] == n) if len(codes) >= n else ()
-            if len(there):
-                mine = sums[there + n] - sums[there]
-                low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
-                for i in np.flatnonzero(high > low):
-                    run = codes[there[i] : there[i] + n]
-                    for j in range(low[i], high[i]):
-                        if np.array_equal(self.codes[item[j]][at[j] : at[j] + n], run):
-                            out[int(item[j])].append(int(there[i]))
-        return out
+            there = np.flatnonzero(inside[n:] - inside[:-n] == n) if len(codes) >= n else np.zeros(0, dtype=np.int64)
+            mine = sums[there + n] - sums[there]
+            low, high = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+            for i in np.flatnonzero(high > low):
+                run = codes[there[i] : there[i] + n]
+                for j in range(low[i], high[i]):
+                    if np.array_equal(self.codes[item[j]][at[j] : at[j] + n], run):
+                        yield int(there[i]), int(item[j])
 
 
 def randomised_svd(triples: DataFrame, columns: int, rank: int = RANK, power: int = POWER, seed: int = SEED) -> np.ndarray:
@@ -316,10 +308,9 @@ def _holds(near: np.ndarray, span: np.ndarray) -> bool:
     return any(np.array_equal(near[s : s + len(span)], span) for s in np.flatnonzero(near == span[0]))
 
 
-def _in_document(b: Block, codes: np.ndarray, is_anchor: np.ndarray) -> list[tuple[int, str, float, float | None]]:
-    """(item, kind, cosine, lcs_share) of what one document shares with a block."""
-    inside = np.concatenate([[0], np.cumsum(codes >= 0)])
-    exact = b.found(codes, inside)
+def _in_document(b: Block, codes: np.ndarray, exact: dict[int, list[int]], anchors: list[int]) -> list[tuple[int, str, float, float | None]]:
+    """(item, kind, cosine, lcs_share) of what one document shares with a block. ``exact``: the items it holds runs of, and
+    where; ``anchors``: where it holds words that some passage is searched by."""
     asked: set[tuple[int, int]] = set()
 
     def ask(at: int, p: int) -> None:
@@ -333,13 +324,13 @@ def _in_document(b: Block, codes: np.ndarray, is_anchor: np.ndarray) -> list[tup
         for p in b.of_item[k]:
             for at in places:
                 ask(at, p)
-    for at in np.flatnonzero(is_anchor[codes]):
+    for at in anchors:
         for p, within in b.anchored[int(codes[at])]:
             if int(b.owner[p]) not in exact:
                 # the window that has the passage in its middle, and the two that any run near by has
                 spare = max(0, 2 * b.step(p) - len(b.passage(p))) // 2
-                asked.add((max(0, int(at) - within - spare), p))
-                ask(int(at), p)
+                asked.add((max(0, at - within - spare), p))
+                ask(at, p)
     vectors: dict[tuple[int, int], np.ndarray] = {}
     best: dict[int, tuple[str, float, float | None]] = {}
     for at, p in sorted(asked):
@@ -361,23 +352,53 @@ def _in_document(b: Block, codes: np.ndarray, is_anchor: np.ndarray) -> list[tup
     return [(k, *got) for k, got in best.items()]
 
 
+def _in_documents(b: Block, docs: list[np.ndarray]) -> Iterator[tuple[int, int, str, float, float | None]]:
+    """(document, item, kind, cosine, lcs_share). All documents are looked through as one array, with -1 between them;
+    only those that hold something are taken up one by one."""
+    starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])])
+    flat = np.zeros(starts[-1], dtype=np.int64)
+    for d, at in zip(docs, starts):
+        flat[at : at + len(d)] = d
+    codes = b.numbers(flat)
+    codes[starts[1:] - 1] = -1
+    is_anchor = np.zeros(len(b.hashes) + 1, dtype=bool)
+    is_anchor[list(b.anchored)] = True
+    exact: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    anchors: dict[int, list[int]] = defaultdict(list)
+    for at, k in b.found(codes):
+        d = int(np.searchsorted(starts, at, "right")) - 1
+        exact[d][k].append(at - int(starts[d]))
+    where = np.flatnonzero(is_anchor[codes])
+    for d, at in zip((np.searchsorted(starts, where, "right") - 1).tolist(), where.tolist()):
+        anchors[d].append(at - int(starts[d]))
+    for d in sorted({*exact, *anchors}):
+        for found in _in_document(b, codes[starts[d] : starts[d] + len(docs[d])], exact.get(d, {}), anchors.get(d, [])):
+            yield d, *found
+
+
+def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    first, n = 0, 0
+    for k, size in enumerate(sizes):
+        n += size
+        if n >= CHUNK_WORDS:
+            yield first, k + 1
+            first, n = k + 1, 0
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
 def _search(blocks: list):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, docs = [], []
         for frame in frames:
             ids += frame["doc_id"].tolist()
             docs += [np.asarray(c, dtype=np.int64) for c in frame["codes"]]
-        if not docs:
-            return
-        ends = np.cumsum([len(d) for d in docs])
         for shared in blocks:
             b = shared.value
-            numbers = np.split(b.numbers(np.concatenate(docs)), ends[:-1])
-            is_anchor = np.zeros(len(b.hashes) + 1, dtype=bool)
-            is_anchor[list(b.anchored)] = True
-            rows = [(i, b.ids[k], *rest) for i, codes in zip(ids, numbers) if len(codes) for k, *rest in _in_document(b, codes, is_anchor)]
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "kind", "cosine", "lcs_share"]).astype({"lcs_share": "float64"})
+            for lo, hi in _chunks([len(d) for d in docs]):
+                rows = [(ids[lo + d], b.ids[k], *rest) for d, k, *rest in _in_documents(b, docs[lo:hi])]
+                if rows:
+                    yield pd.DataFrame(rows, columns=["doc_id", "item_id", "kind", "cosine", "lcs_share"]).astype({"lcs_share": "float64"})
 
     return run
 

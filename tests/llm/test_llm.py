@@ -305,6 +305,13 @@ def test_answers():
     assert [plain.replace("?", "").replace(".", "").split()[a:b] for a, b in leaks.answers(plain)] == [["Bevi", "Gilopu"], ["1972"], ["Hodi"], ["3"]]
 
 
+def test_words_are_runs_of_letters_and_digits():
+    import unicodedata
+
+    odd = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and bool(leaks.WORD.match(chr(c))) != (unicodedata.category(chr(c))[0] in "LN")]
+    assert odd == [] and leaks.words("a_b Ⅷ٣ ½x") == ["a", "b", "viii٣", "1", "2x"]
+
+
 def test_subsequence():
     a, b = np.array([1, 2, 3, 4, 5]), np.array([9, 1, 3, 9, 5, 4])
     assert leaks._common_subsequence(a, b) == 3 and leaks._common_subsequence(a, a) == 5
