@@ -30,7 +30,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -125,6 +125,9 @@ class Block:
     needed: list[list[np.ndarray]] = field(default_factory=list)
     anchored: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
     of_item: list[list[int]] = field(default_factory=list)
+    steps: list[int] = field(default_factory=list)
+    spare: list[int] = field(default_factory=list)
+    answer_words: list[frozenset[int]] = field(default_factory=list)
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
     value: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
 
@@ -163,6 +166,8 @@ class Block:
         self.latent = latent / (np.linalg.norm(latent, axis=1, keepdims=True) + 1e-12)
         self.rows = np.vstack([idf[:, None] * space, np.zeros((1, space.shape[1]), dtype=np.float32)]).astype(np.float32)
         self.of_item = [[] for _ in self.ids]
+        self.steps = [self.step(p) for p in range(len(self.owner))]
+        self.spare = [max(0, 2 * self.steps[p] - len(self.passage(p))) // 2 for p in range(len(self.owner))]
         for p, k in enumerate(self.owner):
             self.of_item[k].append(p)
             s, codes = int(self.start[p]), self.passage(p)
@@ -171,6 +176,7 @@ class Block:
                 mine = [codes[i : i + 1] for i in np.argsort(-idf[codes], kind="stable")[:ANSWER_WORDS]]
             rarest = max((int(c) for span in mine for c in span), key=lambda c: (idf[c], -c))
             self.needed.append(mine)
+            self.answer_words.append(frozenset(int(c) for span in mine for c in span))
             self.anchored.setdefault(rarest, []).extend((p, int(at)) for at in np.flatnonzero(codes == rarest))
         direction = np.random.default_rng(SEED).standard_normal(space.shape[1])
         self.value = np.rint(self.rows.astype(np.float64) @ direction * 2.0**32).astype(np.int64)
@@ -308,53 +314,65 @@ def _holds(near: np.ndarray, span: np.ndarray) -> bool:
     return any(np.array_equal(near[s : s + len(span)], span) for s in np.flatnonzero(near == span[0]))
 
 
-def _in_document(b: Block, codes: np.ndarray, exact: dict[int, list[int]], anchors: list[int]) -> list[tuple[int, str, float, float | None]]:
-    """(item, kind, cosine, lcs_share) of what one document shares with a block. ``exact``: the items it holds runs of, and
-    where; ``anchors``: where it holds words that some passage is searched by."""
-    asked: set[tuple[int, int]] = set()
+def _asked(b: Block, exact: dict[int, dict[int, list[int]]], anchors: list[tuple[int, int, int]], has: Callable[[int], set[int]]) -> np.ndarray:
+    """(document, first word of the window, passage) of all cosines to be taken, in order. A passage of whose answers the
+    document (``has``: its words) lacks a word is not asked for."""
+    out: set[tuple[int, int, int]] = set()
 
-    def ask(at: int, p: int) -> None:
-        step = b.step(p)
+    def around(d: int, at: int, p: int) -> None:
+        step = b.steps[p]
         first = at // step * step
-        asked.add((first, p))
+        out.add((d, first, p))
         if first:
-            asked.add((first - step, p))
-
-    for k, places in exact.items():
-        for p in b.of_item[k]:
-            for at in places:
-                ask(at, p)
-    for at in anchors:
-        for p, within in b.anchored[int(codes[at])]:
-            if int(b.owner[p]) not in exact:
+            out.add((d, first - step, p))
+
+    for d, items in exact.items():
+        for k, places in items.items():
+            for p in b.of_item[k]:
+                for at in places:
+                    around(d, at, p)
+    owner = b.owner.tolist()
+    none: dict[int, list[int]] = {}
+    last, present = -1, set()
+    for d, at, word in anchors:
+        if d != last:
+            last, present = d, has(d)
+        held = exact.get(d, none)
+        for p, within in b.anchored[word]:
+            if owner[p] not in held and b.answer_words[p] <= present:
                 # the window that has the passage in its middle, and the two that any run near by has
-                spare = max(0, 2 * b.step(p) - len(b.passage(p))) // 2
-                asked.add((max(0, at - within - spare), p))
-                ask(at, p)
-    vectors: dict[tuple[int, int], np.ndarray] = {}
-    best: dict[int, tuple[str, float, float | None]] = {}
-    for at, p in sorted(asked):
-        step = b.step(p)
-        if (at, step) not in vectors:
-            v = b.rows[codes[at : at + 2 * step]].sum(axis=0)
-            vectors[at, step] = v / (np.linalg.norm(v) + 1e-12)
-        k, cosine = int(b.owner[p]), float(vectors[at, step] @ b.latent[p])
-        if k in exact:
-            if k not in best or best[k][1] < cosine:
-                best[k] = ("verbatim", cosine, None)
-        elif cosine >= PARAPHRASE_COSINE and (k not in best or best[k][1] < cosine):
-            passage = b.passage(p)
-            near = codes[max(0, at - len(passage)) : at + 2 * step + len(passage)]
-            if np.isin(passage, near).mean() >= PARAPHRASE_SHARE and all(_holds(near, s) for s in b.needed[p]):
-                share = _common_subsequence(passage, near) / len(passage)
-                if share >= PARAPHRASE_SHARE:
-                    best[k] = ("paraphrase", cosine, share)
-    return [(k, *got) for k, got in best.items()]
+                out.add((d, max(0, at - within - b.spare[p]), p))
+                around(d, at, p)
+    return np.array(sorted(out), dtype=np.int64).reshape(-1, 3)
+
+
+def _cosines(b: Block, codes: np.ndarray, starts: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The cosine of each window to its passage; windows asked for several passages are summed once."""
+    document, first, passage = asked.T
+    step = np.array(b.steps, dtype=np.int64)[passage]
+    windows, which = np.unique(np.column_stack([starts[document] + first, np.minimum(starts[document] + first + 2 * step, starts[document + 1] - 1)]), axis=0, return_inverse=True)
+    which = which.reshape(-1)
+    order = np.argsort(which, kind="stable")
+    out, at = np.empty(len(asked), dtype=np.float32), 0
+    for lo in range(0, len(windows), 1024):
+        some = windows[lo : lo + 1024]
+        sizes = some[:, 1] - some[:, 0]
+        ends = np.cumsum(sizes)
+        inside = np.arange(ends[-1]) + np.repeat(some[:, 0] - (ends - sizes), sizes)
+        sums = np.add.reduceat(b.rows[codes[inside]], ends - sizes, axis=0)
+        sums /= np.linalg.norm(sums, axis=1, keepdims=True) + 1e-12
+        upto = at + int(np.searchsorted(which[order[at:]], lo + 1024))
+        mine = order[at:upto]
+        for k in range(0, len(mine), 16_384):
+            part = mine[k : k + 16_384]
+            out[part] = np.einsum("ij,ij->i", sums[which[part] - lo], b.latent[passage[part]])
+        at = upto
+    return out
 
 
 def _in_documents(b: Block, docs: list[np.ndarray]) -> Iterator[tuple[int, int, str, float, float | None]]:
     """(document, item, kind, cosine, lcs_share). All documents are looked through as one array, with -1 between them;
-    only those that hold something are taken up one by one."""
+    only windows that hold something are taken up one by one."""
     starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in docs])])
     flat = np.zeros(starts[-1], dtype=np.int64)
     for d, at in zip(docs, starts):
@@ -364,16 +382,35 @@ def _in_documents(b: Block, docs: list[np.ndarray]) -> Iterator[tuple[int, int,
     is_anchor = np.zeros(len(b.hashes) + 1, dtype=bool)
     is_anchor[list(b.anchored)] = True
     exact: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
-    anchors: dict[int, list[int]] = defaultdict(list)
     for at, k in b.found(codes):
         d = int(np.searchsorted(starts, at, "right")) - 1
         exact[d][k].append(at - int(starts[d]))
     where = np.flatnonzero(is_anchor[codes])
-    for d, at in zip((np.searchsorted(starts, where, "right") - 1).tolist(), where.tolist()):
-        anchors[d].append(at - int(starts[d]))
-    for d in sorted({*exact, *anchors}):
-        for found in _in_document(b, codes[starts[d] : starts[d] + len(docs[d])], exact.get(d, {}), anchors.get(d, [])):
-            yield d, *found
+    d = np.searchsorted(starts, where, "right") - 1
+    asked = _asked(b, exact, list(zip(d.tolist(), (where - starts[d]).tolist(), codes[where].tolist())), lambda d: set(codes[starts[d] : starts[d + 1] - 1].tolist()))
+    if not len(asked):
+        return
+    cosines = _cosines(b, codes, starts, asked)
+    owner = b.owner[asked[:, 2]]
+    best: dict[tuple[int, int], tuple[str, float, float | None]] = {}
+    held = np.array([k in exact.get(d, ()) for d, k in zip(asked[:, 0].tolist(), owner.tolist())])
+    for i in np.flatnonzero(held | (cosines >= PARAPHRASE_COSINE)):
+        (d, at, p), cosine = asked[i].tolist(), float(cosines[i])
+        key = (d, int(owner[i]))
+        if key in best and best[key][1] >= cosine:
+            continue
+        if held[i]:
+            best[key] = ("verbatim", cosine, None)
+            continue
+        passage = b.passage(p)
+        document = codes[starts[d] : starts[d + 1] - 1]
+        near = document[max(0, at - len(passage)) : at + 2 * b.steps[p] + len(passage)]
+        if np.isin(passage, near).mean() >= PARAPHRASE_SHARE and all(_holds(near, s) for s in b.needed[p]):
+            share = _common_subsequence(passage, near) / len(passage)
+            if share >= PARAPHRASE_SHARE:
+                best[key] = ("paraphrase", cosine, share)
+    for (d, k), got in best.items():
+        yield d, k, *got
 
 
 def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
