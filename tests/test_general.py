@@ -369,6 +369,34 @@ def test_stream_of_logs(spark, tmp_path):
     assert {(r["title"], r["views"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} >= {("A", 5)}
 
 
+def test_lookup_join_beyond_its_bound(spark, monkeypatch):
+    big = spark.range(3000).selectExpr("id", "case when id % 3 = 0 then 'hot' else concat('k', id % 50) end as k", "id % 7 as salted")
+    small = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(40)], "k string, v int")
+    want = as_set(big.join(small, "k"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    near = runtime.lookup_join(big, small, ["k"])
+    monkeypatch.setattr(runtime, "LOOKUP_ROWS", 10)
+    far = runtime.lookup_join(big, small, ["k"])
+    assert "broadcast" in plan(near) and "broadcast" not in plan(far) and "_salt" in plan(far)
+    assert as_set(near) == want and {(r["k"], r["id"], r["salted"], r["v"]) for r in far.collect()} == want and far.count() == len(want)
+
+
+def test_cut_tables(spark):
+    import os
+
+    odd = spark.createDataFrame([(i % 5, f"x{i}") for i in range(100)], "k int, `a.b` string")
+    back, seen = runtime.cut_counting(odd, n=F.count("*"), most=F.max("k"))
+    assert seen == {"n": 100, "most": 4} and back.columns == ["k", "a.b"] and as_set(back) == as_set(odd)
+    one = runtime.cut_bucketed(odd.select("k"), 4, "k")
+    two = runtime.cut_bucketed(one.groupBy("k").count(), 4, "k", placed=True)
+    both = one.join(two.hint("merge"), "k")
+    assert both.count() == 100 and "Exchange" not in both._jdf.queryExecution().sparkPlan().toString() and "Exchange" not in one.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    files = [f.removeprefix("file:") for f in (*back.inputFiles(), *one.inputFiles())]
+    assert files and all(os.path.exists(f) for f in files)
+    runtime.clear_cuts(spark)
+    assert not any(os.path.exists(f) for f in files)
+
+
 def test_queries_and_sql_fit_together():
     import __spark_entry__ as entry
 
